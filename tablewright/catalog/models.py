@@ -24,7 +24,7 @@ RISK_REG_PARAM = 0.01
 
 
 def _risk_vectors(spark, folder):
-    rows = risk_rows(spark, folder)
+    rows = risk_rows(spark, folder, for_training=True)
     train, test = split_train_test(rows, line_keys(), 80, risk.SPLIT_SEED)
     assembled = fit_stages(table_stages([], RISK_FEATURES), train)
     vectors = materialize(assembled.transform(train).select("features", "target"), "risk-train")
@@ -53,7 +53,7 @@ def score_held_out(spark, folder):
 
 def _risk(spark, folder):
     return risk.fit_risk(
-        risk_rows(spark, folder),
+        risk_rows(spark, folder, for_training=True),
         RISK_FEATURES,
         "target",
         keys=line_keys(),
@@ -90,11 +90,11 @@ def fit_multilabel(spark, folder):
 
 
 def _income(spark, folder):
-    return income_rows(spark, folder), INCOME_CATEGORICAL, INCOME_NUMERIC, "label", line_keys()
+    return income_rows(spark, folder, for_training=True), INCOME_CATEGORICAL, INCOME_NUMERIC, "label", line_keys()
 
 
 def _cross_validation(spark, folder):
-    train, _ = split_train_test(income_rows(spark, folder), line_keys(), 80, income.SPLIT_SEED)
+    train, _ = split_train_test(income_rows(spark, folder, for_training=True), line_keys(), 80, income.SPLIT_SEED)
     folded = materialize(
         kfold_assign(train, line_keys(), 3, income.SPLIT_SEED).select(
             *INCOME_CATEGORICAL, *INCOME_NUMERIC, "label", "fold"
@@ -122,7 +122,7 @@ def tuned_logreg_metrics(spark, folder):
 
 
 def _income_vectors(spark, folder):
-    train, test = split_train_test(income_rows(spark, folder), line_keys(), 80, income.SPLIT_SEED)
+    train, test = split_train_test(income_rows(spark, folder, for_training=True), line_keys(), 80, income.SPLIT_SEED)
     prepared = fit_stages(table_stages(INCOME_CATEGORICAL, INCOME_NUMERIC), train)
     vectors = materialize(prepared.transform(train).select("features", "label"), "income-train")
     return vectors, prepared.transform(test).select("features", "label")

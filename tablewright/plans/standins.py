@@ -44,9 +44,14 @@ def labeled_texts(spark: SparkSession, folder: str) -> DataFrame:
 RISK_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def risk_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Numeric columns of ``lineitem`` with a 0/1 ``target`` on the discounted price."""
+def risk_rows(spark: SparkSession, folder: str, for_training: bool = False) -> DataFrame:
+    """Numeric columns of ``lineitem`` with a 0/1 ``target`` on the discounted price.
+
+    A fit reads its rows many times, so for training a file of few splits is spread out.
+    """
     lines = table(spark, folder, "lineitem", *LINE_KEYS, *RISK_FEATURES)
+    if for_training:
+        lines = spread(lines, *LINE_KEYS)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return lines.withColumn("target", F.when(net > 50000, 1).otherwise(0))
 
@@ -55,12 +60,14 @@ INCOME_CATEGORICAL = ["l_returnflag", "l_linestatus", "p_type", "p_brand"]
 INCOME_NUMERIC = ["l_quantity", "p_size", "p_retailprice"]
 
 
-def income_rows(spark: SparkSession, folder: str) -> DataFrame:
+def income_rows(spark: SparkSession, folder: str, for_training: bool = False) -> DataFrame:
     """``lineitem`` with its parts: mixed columns and a 0/1 ``label``."""
     lines = table(
         spark, folder, "lineitem",
         *LINE_KEYS, *LINE_FRACTIONS, "l_returnflag", "l_linestatus",
     )
+    if for_training:
+        lines = spread(lines, *LINE_KEYS)
     parts = table(spark, folder, "part", "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
     factor = F.when(F.col("l_returnflag") == "R", 1.5).otherwise(1.0)
     worth = F.col("l_quantity") * F.col("p_retailprice") * factor

@@ -19,6 +19,7 @@ def get_session(app: str = "tablewright", cores: int | None = None) -> SparkSess
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
