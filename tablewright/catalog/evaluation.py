@@ -8,7 +8,7 @@ from tablewright.operators import score as scoring
 from tablewright.operators.features import hashed_term_frequency
 from tablewright.operators.ordering import best_model_per_metric as best_models
 from tablewright.catalog.features import SLOT_SQL, WORDS
-from tablewright.plans.standins import LINE_KEYS, RISK_FEATURES, risk_rows, texts
+from tablewright.plans.standins import LINE_KEYS, RISK_FEATURES, risk_rows, table
 
 # Two fixed models of the risk target: a weighted sum, and the bare quantity.
 WEIGHTS = {"l_quantity": 0.01, "l_extendedprice": 0.0001, "l_discount": -6.0, "l_tax": 0.5}
@@ -231,7 +231,8 @@ def threshold_predict(spark, folder):
 )
 def score_linear_long(spark, folder):
     """Every hashed slot has a weight derived from its number."""
-    values = hashed_term_frequency(texts(spark, folder), "doc_id", "text")
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    values = hashed_term_frequency(documents, "doc_id", "text")
     weights = spark.range(10_000).select(
         F.col("id").cast("int").alias("slot"), ((F.col("id") % 7 - 3) * 0.001).alias("weight")
     )

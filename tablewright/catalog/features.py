@@ -39,6 +39,10 @@ WORDS = f"words as (select doc_id, unnest({WORDS_SQL}) as term from documents)"
 SLOT_SQL = f"cast({bucket_sql('slot', 10000, 'term')} as integer)"
 
 
+def _documents(spark, folder):
+    return table(spark, folder, "documents", "doc_id", "text")
+
+
 @query(
     f"""with t as (select doc_id, {WORDS_SQL} as words from documents)
     select doc_id, len(words)::integer as n_words, md5(array_to_string(words, chr(31))) as words_md5 from t"""
@@ -51,17 +55,17 @@ def tokenize(spark, folder):
 
 @query(f"with {WORDS} select doc_id, term, count(*) as tf from words group by all")
 def term_frequency(spark, folder):
-    return ops.term_frequency(texts(spark, folder), "doc_id", "text")
+    return ops.term_frequency(_documents(spark, folder), "doc_id", "text")
 
 
 @query(f"with {WORDS} select doc_id, {SLOT_SQL} as slot, count(*) as tf from words group by all")
 def hashed_term_frequency(spark, folder):
-    return ops.hashed_term_frequency(texts(spark, folder), "doc_id", "text")
+    return ops.hashed_term_frequency(_documents(spark, folder), "doc_id", "text")
 
 
 @query(f"with {WORDS} select term, count(distinct doc_id) as df from words group by term")
 def document_frequency(spark, folder):
-    return ops.document_frequency(ops.term_frequency(texts(spark, folder), "doc_id", "text"))
+    return ops.document_frequency(texts(spark, folder), "text")
 
 
 @query(
@@ -71,8 +75,7 @@ def document_frequency(spark, folder):
     from words group by term"""
 )
 def idf(spark, folder):
-    rows = texts(spark, folder)
-    counts = ops.document_frequency(ops.term_frequency(rows, "doc_id", "text"))
+    counts = ops.document_frequency(texts(spark, folder), "text")
     documents = table(spark, folder, "documents", "doc_id")
     return ops.idf(counts, documents).withColumn("idf", F.round("idf", 6))
 
@@ -90,17 +93,22 @@ def _weighted(key):
     where tf.doc_id not in (select doc_id from labels)"""
 
 
-def _train_and_test(tf, spark, folder):
-    labels = table(spark, folder, "labels", "doc_id")
-    return tf.join(labels, "doc_id", "left_semi"), tf.join(labels, "doc_id", "left_anti"), labels
+def _train_and_test(spark, folder):
+    documents, labels = _documents(spark, folder), table(spark, folder, "labels", "doc_id")
+    return (
+        documents.join(labels, "doc_id", "left_semi"),
+        documents.join(labels, "doc_id", "left_anti"),
+        labels,
+    )
 
 
 @query(_weighted("term"))
 def tf_idf(spark, folder):
-    tf = materialize(ops.term_frequency(texts(spark, folder), "doc_id", "text"), "tf")
-    train, test, labels = _train_and_test(tf, spark, folder)
-    weights = materialize(ops.idf(ops.document_frequency(train), labels), "idf")
-    return ops.tf_idf(test, weights, "doc_id").select(
+    train, test, labels = _train_and_test(spark, folder)
+    counts = ops.document_frequency(train, "text")
+    weights = materialize(ops.idf(counts, labels), "idf")
+    tf = ops.term_frequency(test, "doc_id", "text")
+    return ops.tf_idf(tf, weights, "doc_id").select(
         "doc_id",
         F.col("term").alias("unit"),
         "tf",
@@ -111,10 +119,11 @@ def tf_idf(spark, folder):
 
 @query(_weighted(SLOT_SQL))
 def hashed_tf_idf(spark, folder):
-    tf = materialize(ops.hashed_term_frequency(texts(spark, folder), "doc_id", "text"), "tf")
-    train, test, labels = _train_and_test(tf, spark, folder)
-    weights = ops.idf(ops.document_frequency(train, "slot"), labels)
-    return ops.hashed_tf_idf(test, weights, "doc_id").select(
+    train, test, labels = _train_and_test(spark, folder)
+    train_tf = ops.hashed_term_frequency(train, "doc_id", "text")
+    weights = ops.idf(ops.hashed_document_frequency(train_tf), labels)
+    tf = ops.hashed_term_frequency(test, "doc_id", "text")
+    return ops.hashed_tf_idf(tf, weights, "doc_id").select(
         "doc_id",
         F.col("slot").alias("unit"),
         "tf",

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import hash_bucket, tokens
 from tablewright.operators.joins import lookup_hot_keys
+from tablewright.session import materialize
 
 # Fixed value: size of the hashed text features.
 TEXT_FEATURES = 10_000
@@ -38,9 +39,10 @@ def tokenize(df: DataFrame, text: str, name: str = "words") -> DataFrame:
 def term_frequency(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, term, tf)``: how often each word occurs in each text.
 
-    Words are counted in the task that reads the text, before anything is shuffled.
+    The texts are shuffled by key before they are split into words, as they are much
+    smaller than their word counts; the counting then needs no shuffle of its own.
     """
-    words = df.select(key, F.explode(tokens(text)).alias("term"))
+    words = df.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("term"))
     return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -51,14 +53,24 @@ def hashed_term_frequency(
 
     Words that share a slot add up.
     """
-    words = df.select(key, F.explode(tokens(text)).alias("term"))
+    words = df.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("term"))
     slot = hash_bucket("term", salt="slot", buckets=size).cast("int")
     return words.groupBy(key, slot.alias("slot")).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_frequency(tf: DataFrame, term: str = "term") -> DataFrame:
-    """``(term, df)``: in how many texts each term occurs."""
-    return tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
+def document_frequency(df: DataFrame, text: str) -> DataFrame:
+    """``(term, df)``: in how many texts (rows) each term occurs.
+
+    Words are made distinct within the row and counted per task before the shuffle,
+    so only one partial count per task and term travels.
+    """
+    words = df.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def hashed_document_frequency(tf: DataFrame) -> DataFrame:
+    """``(slot, df)`` from a :func:`hashed_term_frequency` table."""
+    return tf.groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
 
 
 def idf(frequencies: DataFrame, texts: DataFrame, min_df: int = 0) -> DataFrame:
@@ -95,31 +107,26 @@ MOST_CATEGORIES = 100_000
 def string_index(df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> DataFrame:
     """``(column, category, n, idx)``: categories numbered from most to least frequent.
 
-    Ties are numbered alphabetically; nulls are no category.  Each category is to become
-    a slot of a feature vector, so a column with more than ``most`` of them is an error
-    (hash it instead).  One pass for all columns.
+    Ties are numbered alphabetically; nulls are no category.  One pass counts all columns.
+    Each category is to become a slot of a feature vector, so a column with more than
+    ``most`` of them is an error (hash it instead); that also bounds the sort per column.
     """
     long = df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "category"
     )
-    counts = (
+    counts = materialize(
         long.filter(F.col("category").isNotNull())
         .groupBy("column", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    number = F.row_number().over(
-        Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("category"))
-    )
-    too_many = F.raise_error(
-        F.concat(F.lit(f"more than {most} categories in column "), F.col("column"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "categories",
     )
-    return counts.withColumn("_number", number).select(
-        "column",
-        "category",
-        "n",
-        F.when(F.col("_number") > most, too_many.cast("int"))
-        .otherwise(F.col("_number") - 1)
-        .alias("idx"),
+    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
+    too_many = [r["column"] for r in sizes.filter(F.col("size") > most).collect()]
+    if too_many:
+        raise ValueError(f"more than {most} categories in {too_many}")
+    by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), "category")
+    return counts.select(
+        "column", "category", "n", (F.row_number().over(by_count) - 1).alias("idx")
     )
 
 
@@ -129,15 +136,16 @@ def apply_index(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) ->
     The dictionary of each column is bounded by :func:`string_index`, so all joins are
     broadcast joins in the task that reads the rows.
     """
-    sizes = dictionary.groupBy("column").agg(F.count(F.lit(1)).cast("int").alias("size"))
     out = df
     for c in columns:
-        mine = dictionary.filter(F.col("column") == c).select(
-            F.col("category").alias(c), F.col("idx").alias(f"{c}_idx")
+        mine = dictionary.filter(F.col("column") == c)
+        lookup = mine.select(F.col("category").alias(c), F.col("idx").alias(f"{c}_idx"))
+        unknown = mine.agg(F.count(F.lit(1)).cast("int")).scalar()
+        out = (
+            out.join(F.broadcast(lookup), out[c].cast("string") == lookup[c], "left")
+            .drop(lookup[c])
+            .withColumn(f"{c}_idx", F.coalesce(f"{c}_idx", unknown))
         )
-        size = sizes.filter(F.col("column") == c).select("size").scalar()
-        out = out.join(F.broadcast(mine), out[c].cast("string") == mine[c], "left").drop(mine[c])
-        out = out.withColumn(f"{c}_idx", F.coalesce(f"{c}_idx", size, F.lit(0)))
     return out
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 INF = float("inf")
 MOST_BINS = 10_000
@@ -34,12 +35,11 @@ def add_order_bins(
     shares = [i / bins for i in range(1, bins)]
     sketches = df.select(*columns).approxQuantile(list(columns), shares, 0.5 / bins)
     splits = [[-INF, *_inner(cuts), INF] for cuts in sketches]
-    return Bucketizer(
-        inputCols=list(columns),
-        outputCols=[c + suffix for c in columns],
-        splitsArray=splits,
-        handleInvalid="keep",
+    names = [c + suffix for c in columns]
+    binned = Bucketizer(
+        inputCols=list(columns), outputCols=names, splitsArray=splits, handleInvalid="keep"
     ).transform(df)
+    return binned.withColumns({n: F.col(n).cast("int") for n in names})
 
 
 def _inner(cuts: Sequence[float]) -> list[float]:

@@ -134,7 +134,7 @@ def quantiles(
         F.struct(
             F.lit(c).alias("feature"),
             F.col(c).alias("value"),
-            F.col(f"{c}_bin").cast("int").alias("bin"),
+            F.col(f"{c}_bin").alias("bin"),
         )
         for c in columns
     ]

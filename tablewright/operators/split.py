@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import hash_bucket
 
 
-def split_train_test(
-    df: DataFrame, keys: Sequence, train_percent: int = 80, seed: int = 47
-) -> tuple[DataFrame, DataFrame]:
-    """Two disjoint parts that cover the table; equal keys always share a side.
+def in_train(keys: Sequence, train_percent: int = 80, seed: int = 47) -> Column:
+    """Whether a row belongs to the training part.  Equal keys always share a side.
 
     ``keys`` are column names or expressions; give whole-number forms of fractions.
     """
-    bucket = hash_bucket(*keys, salt=seed, buckets=100)
-    return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
+    return hash_bucket(*keys, salt=seed, buckets=100) < train_percent
+
+
+def split_train_test(
+    df: DataFrame, keys: Sequence, train_percent: int = 80, seed: int = 47
+) -> tuple[DataFrame, DataFrame]:
+    """Two disjoint parts that cover the table."""
+    train = in_train(keys, train_percent, seed)
+    return df.filter(train), df.filter(~train)
 
 
 def sample_fraction(df: DataFrame, keys: Sequence, percent: int = 40, seed: int = 47) -> DataFrame:

@@ -7,6 +7,7 @@ cached: every fit reads them more than once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -69,7 +70,7 @@ def fit_multilabel(
     """
 
     def fit(label: str) -> Model:
-        model = fit_logreg(
+        return fit_logreg(
             train,
             label,
             regParam=reg_param,
@@ -78,10 +79,9 @@ def fit_multilabel(
             predictionCol=f"pred_{label}",
             **params,
         )
-        return model
 
-    tasks = [lambda label=label: fit(label) for label in labels]
-    return dict(zip(labels, _in_threads(tasks, parallelism, train.sparkSession)))
+    fits = [partial(fit, label) for label in labels]
+    return dict(zip(labels, _in_threads(fits, parallelism, train.sparkSession)))
 
 
 def fit_random_forest(
@@ -112,31 +112,35 @@ def cross_validate(
     grid: Sequence[dict],
     fold: str = "fold",
     folds: int = 3,
-    parallelism: int = 3,
+    parallelism: int = 8,
 ) -> DataFrame:
     """``(reg_param, fold, auc)`` for every grid point and fold.
 
     Feature stages are fitted on the training rows of each fold only, once per fold
-    rather than once per fit, and all grid points share the fold's feature tables.
+    rather than once per fit; all grid points share the fold's feature tables.  A fit is
+    a chain of short jobs, so up to ``parallelism`` of them run side by side.
     """
     spark = df.sparkSession
     label = estimator.getLabelCol()
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
 
-    def run_fold(k: int) -> list[tuple[float, int, float]]:
+    def prepare(k: int) -> tuple[DataFrame, DataFrame]:
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
         prepared = fit_stages(stages, train)
-        train = materialize(prepared.transform(train).select("features", label), "fold-train")
-        valid = materialize(prepared.transform(valid).select("features", label), "fold-valid")
+        return tuple(
+            materialize(prepared.transform(part).select("features", label), name)
+            for part, name in ((train, "fold-train"), (valid, "fold-valid"))
+        )
 
-        def one(params: dict) -> tuple[float, int, float]:
-            model = estimator.copy(params).fit(train)
-            return (params[estimator.regParam], k, evaluator.evaluate(model.transform(valid)))
+    tables = _in_threads([partial(prepare, k) for k in range(folds)], parallelism, spark)
 
-        return [one(p) for p in grid]
+    def fit_one(k: int, params: dict) -> tuple[float, int, float]:
+        train, valid = tables[k]
+        model = estimator.copy(params).fit(train)
+        return (params[estimator.regParam], k, evaluator.evaluate(model.transform(valid)))
 
-    results = _in_threads([lambda k=k: run_fold(k) for k in range(folds)], parallelism, spark)
-    rows = [row for part in results for row in part]
+    fits = [partial(fit_one, k, params) for params in grid for k in range(folds)]
+    rows = _in_threads(fits, parallelism, spark)
     return spark.createDataFrame(rows, "reg_param double, fold int, auc double")
 
 

@@ -14,7 +14,7 @@ from tablewright.operators.clean import CleanSpec, clean_table
 from tablewright.operators.evaluate import evaluate_model
 from tablewright.operators.features import fit_stages, table_stages
 from tablewright.operators.joins import union_all
-from tablewright.operators.split import kfold_assign, split_train_test
+from tablewright.operators.split import in_train, kfold_assign
 from tablewright.operators.train import (
     CV_MAX_ITER,
     REG_PARAMS,
@@ -93,20 +93,18 @@ def score_models(models: Mapping[str, Model], df: DataFrame, label: str) -> Data
     return out.select(label, F.inline(F.array(*results)))
 
 
-def _feature_tables(
-    df: DataFrame,
-    categorical: Sequence[str],
-    numeric: Sequence[str],
-    label: str,
-    keys: Sequence,
-    seed: int,
-):
-    train, test = split_train_test(df, keys, 80, seed)
-    stages = table_stages(categorical, numeric)
-    prepared = fit_stages(stages, train)
-    vectors = materialize(prepared.transform(train).select("features", label), "income-train")
-    held_out = prepared.transform(test).select("features", label)
-    return train, stages, prepared.transform(train.limit(0)), vectors, held_out
+def _split_table(
+    df: DataFrame, columns: Sequence[str], keys: Sequence, folds: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Training rows with their fold, and held-out rows, from one written table.
+
+    The input may be a join; it runs once.
+    """
+    folded = kfold_assign(df, keys, folds, seed)
+    fold = F.when(in_train(keys, 80, seed), F.col("fold")).otherwise(-1)
+    marked = folded.select(*columns, fold.alias("fold"))
+    table = materialize(marked, "income-rows")
+    return table.filter(F.col("fold") >= 0), table.filter(F.col("fold") < 0).drop("fold")
 
 
 def fit_tuned_logreg(
@@ -119,29 +117,28 @@ def fit_tuned_logreg(
     folds: int = 3,
     seed: int = SPLIT_SEED,
     max_iter: int = CV_MAX_ITER,
-    parallelism: int = 3,
+    parallelism: int = 8,
 ) -> TunedResult:
     """Choose the regularization by cross-validation, refit on all training rows, evaluate."""
-    train, stages, named, vectors, held_out = _feature_tables(
-        df, categorical, numeric, label, keys, seed
-    )
-    columns = [*categorical, *numeric, label]
-    folded = materialize(
-        kfold_assign(train, keys, folds, seed).select(*columns, "fold"), "income-folds"
-    )
+    train, test = _split_table(df, [*categorical, *numeric, label], keys, folds, seed)
+    stages = table_stages(categorical, numeric)
     estimator = logreg(label, maxIter=max_iter)
     grid = cross_validate(
-        folded, stages, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
+        train, stages, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
     )
     best = best_params(grid)
     reg_param = best.first()["reg_param"]
+    prepared = fit_stages(stages, train)
+    vectors = materialize(prepared.transform(train).select("features", label), "income-train")
     model = fit_logreg(vectors, label, maxIter=max_iter, regParam=reg_param)
-    scored = materialize(score_models({"LR": model}, held_out, label), "income-scored")
+    scored = materialize(
+        score_models({"LR": model}, prepared.transform(test), label), "income-scored"
+    )
     return TunedResult(
         model=model,
         grid=grid,
         best=best,
-        coefficients=coefficients_table(model, named),
+        coefficients=coefficients_table(model, vectors),
         scored=scored,
         metrics=evaluate_model(scored, label, "prediction", "score"),
     )
@@ -158,12 +155,14 @@ def compare_trees(
     **params,
 ) -> ComparedResult:
     """Fit a random forest and a decision tree on the same features and evaluate both."""
-    _, _, _, vectors, held_out = _feature_tables(df, categorical, numeric, label, keys, seed)
+    train, test = _split_table(df, [*categorical, *numeric, label], keys, 1, seed)
+    prepared = fit_stages(table_stages(categorical, numeric), train)
+    vectors = materialize(prepared.transform(train).select("features", label), "income-train")
     models = {
         "RF": fit_random_forest(vectors, label, trees, seed, **params),
         "DT": fit_decision_tree(vectors, label, seed, **params),
     }
-    scored = materialize(score_models(models, held_out, label), "income-scored")
+    scored = materialize(score_models(models, prepared.transform(test), label), "income-scored")
     return ComparedResult(
         models=models,
         scored=scored,

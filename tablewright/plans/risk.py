@@ -72,10 +72,9 @@ def fit_risk(
     predictions = materialize(
         scored.select(*(report or features), target, "prediction", "risk"), "risk-scored"
     )
-    named = assembled.transform(train.limit(0))
     return RiskResult(
         model=model,
-        coefficients=coefficients_table(model, named),
+        coefficients=coefficients_table(model, vectors),
         predictions=predictions,
         metrics=class_one_metrics(predictions, target, "prediction", "risk"),
         confusion=confusion_matrix(predictions, target, "prediction"),

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_swept: set[str] = set()
 
 
 def get_session(app: str = "tablewright", cores: int | None = None) -> SparkSession:
@@ -53,9 +54,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, unique to this application and call."""
+    """A fresh path below the shared folder, unique to this application and call.
+
+    The application's folder is deleted when its driver exits.
+    """
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tablewright/{app}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tablewright/{app}"
+    if app not in _swept:
+        _swept.add(app)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
