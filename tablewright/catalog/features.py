@@ -145,6 +145,13 @@ def hashing_tf(spark, folder):
     return totals.select(pairs).select("slot", "pair.tf", "pair.df")
 
 
+@query(f"with {WORDS} select count(*)::double as n_words from words")
+def hashing_tf_total(spark, folder):
+    """The hashed counts of all slots add up to the number of words."""
+    slots = hashing_tf(spark, folder)
+    return slots.agg(F.sum("tf").alias("n_words"))
+
+
 @query()
 def idf_model(spark, folder):
     """Weight of every slot, fitted on the labeled texts."""

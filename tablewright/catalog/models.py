@@ -2,15 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from tablewright.catalog.registry import query
+from tablewright.catalog.registry import LINE_KEY_SQL, RISK, bucket_sql, query
 from tablewright.operators import train as ops
 from tablewright.operators.features import fit_stages, table_stages
+from tablewright.operators.score import risk_score as add_risk
 from tablewright.operators.score import score as score_rows
 from tablewright.operators.split import kfold_assign, split_train_test
 from tablewright.plans import comments, income, risk
 from tablewright.plans.standins import (
     INCOME_CATEGORICAL,
     INCOME_NUMERIC,
+    LINE_KEYS,
     RISK_FEATURES,
     income_rows,
     labeled_texts,
@@ -44,11 +46,18 @@ def fit_logreg_l2(spark, folder):
     return ops.coefficients_table(ops.fit_logreg_l2(vectors, "target"), vectors)
 
 
-@query()
+@query(
+    f"""with {RISK} select {', '.join(LINE_KEYS)}, target, true as valid from risk
+    where {bucket_sql(str(risk.SPLIT_SEED), 100, *LINE_KEY_SQL)} >= 80"""
+)
 def score_held_out(spark, folder):
+    """Every held-out row gets a probability and the class that goes with it."""
     vectors, test = _risk_vectors(spark, folder)
     model = ops.fit_logreg(vectors, "target", regParam=RISK_REG_PARAM)
-    return score_rows(model, test).select("l_orderkey", "l_linenumber", "target", "prediction")
+    scored = add_risk(score_rows(model, test))
+    expected = F.when(F.col("risk") > 0.5, 1.0).otherwise(0.0)
+    valid = F.col("risk").between(0.0, 1.0) & (F.col("prediction") == expected)
+    return scored.select(*LINE_KEYS, "target", valid.alias("valid"))
 
 
 def _risk(spark, folder):

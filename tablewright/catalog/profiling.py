@@ -62,16 +62,13 @@ def any_label_share(spark, folder):
 
 
 @query(
-    """select l.doc_id is not null as labeled, source, count(*) as n,
-              round(avg(case when n_chars > 2000 then 1.0 else 0.0 end), 6) as rate
-       from documents d left join labels l on d.doc_id = l.doc_id
-       where l.doc_id is not null group by all"""
+    """select lang, count(*) as n, round(avg(case when toxic = 1 then 1.0 else 0.0 end), 6) as rate
+       from documents d join labels l on d.doc_id = l.doc_id group by lang"""
 )
 def rate_by_group(spark, folder):
-    documents = table(spark, folder, "documents", "doc_id", "source", "n_chars")
-    rows = documents.join(table(spark, folder, "labels", "doc_id"), "doc_id")
-    rates = profile.rate_by_group(rows, "source", F.col("n_chars") > 2000)
-    return _rounded(rates.withColumn("labeled", F.lit(True)), "labeled", "source", "n")
+    documents = table(spark, folder, "documents", "doc_id", "lang")
+    rows = documents.join(table(spark, folder, "labels", "doc_id", "toxic"), "doc_id")
+    return _rounded(profile.rate_by_group(rows, "lang", F.col("toxic") == 1), "lang", "n")
 
 
 @query("select doc_id, length(text) as text_length from documents")

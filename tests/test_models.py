@@ -59,6 +59,25 @@ def test_risk_model(spark, risk_result):
     assert risk_result.confusion.agg(F.sum("count")).first()[0] == risk_result.predictions.count()
 
 
+@pytest.mark.parametrize("reg_param", [0.01, 0.1])
+def test_fit_is_the_optimum(spark, reg_param):
+    """At the optimum of a convex loss the gradient is zero in every direction."""
+    rows = risk_rows(spark, FOLDER)
+    vectors = fit_stages(table_stages([], RISK_FEATURES), rows).transform(rows)
+    model = train.fit_logreg(vectors.select("features", "target"), "target", regParam=reg_param, tol=1e-10)
+    weights = dict(zip(RISK_FEATURES, model.coefficients))
+    scored = score.score_linear(rows, weights, model.intercept)
+    error = F.col("score") - F.col("target")
+    sums = scored.agg(
+        F.avg(error).alias("intercept"),
+        *[(F.avg(error * F.col(c)) / F.stddev_samp(c)).alias(c) for c in RISK_FEATURES],
+        *[F.stddev_samp(c).alias(f"{c}_std") for c in RISK_FEATURES],
+    ).first()
+    assert abs(sums["intercept"]) < 1e-6
+    for c in RISK_FEATURES:
+        assert abs(sums[c] + reg_param * sums[f"{c}_std"] * weights[c]) < 1e-6
+
+
 def test_linear_score_equals_model(spark, risk_result):
     """Scoring from the coefficient table gives the model's probabilities."""
     weights, intercept = score.weights_of(risk_result.coefficients)
