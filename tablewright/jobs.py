@@ -32,11 +32,9 @@ from tablewright.sources import (
 
 
 def run_comments(spark: SparkSession, train: str, test: str, out: str) -> DataFrame:
-    labeled = scan_csv_text(spark, train, COMMENTS.labeled)
+    labeled = scan_csv_text(spark, train)
     rows, labels = comments.clean_train(labeled, COMMENTS.key, COMMENTS.text)
-    unlabeled = comments.clean_test(
-        scan_csv_text(spark, test, COMMENTS.unlabeled), COMMENTS.text
-    )
+    unlabeled = comments.clean_test(scan_csv_text(spark, test), COMMENTS.text)
     write_predictions(comments.predict_labels(rows, unlabeled, labels), f"{out}/predictions")
     written = spark.read.parquet(f"{out}/predictions")
     return sample_fraction(written, [COMMENTS.key], 40).limit(50)

@@ -218,12 +218,17 @@ def fit_stages(stages: Sequence, train: DataFrame) -> PipelineModel:
 
 
 def feature_names(df: DataFrame, features: str = "features") -> list[str]:
-    """Names of the slots of a feature vector, read from the column's metadata."""
+    """Names of the slots of a feature vector, read from the column's metadata.
+
+    Hashed slots have no names, only numbers.
+    """
     attributes: Mapping = df.schema[features].metadata.get("ml_attr", {})
-    found = [a for group in attributes.get("attrs", {}).values() for a in group]
-    if not found:
-        raise ValueError(f"{features} does not name its slots")
-    return [a["name"] for a in sorted(found, key=lambda a: a["idx"])]
+    named = [a for group in attributes.get("attrs", {}).values() for a in group]
+    if named:
+        return [a["name"] for a in sorted(named, key=lambda a: a["idx"])]
+    if "num_attrs" in attributes:
+        return [f"{features}_{i}" for i in range(attributes["num_attrs"])]
+    raise ValueError(f"{features} does not describe its slots")
 
 
 def sum_columns(columns: Sequence[Column]) -> Column:

@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,9 +106,34 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str)
     )
 
 
+# One aggregation of many ``corr`` calls runs out of generated code and crawls.
+FEW_PAIRS = 10
+
+CORRELATIONS = "row string, col string, corr double"
+
+
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(row, col, corr)`` over the rows where both values are present.
+
+    Many pairs of columns without gaps come from one pass of the matrix routine of
+    ``pyspark.ml``; pairs with gaps are computed a few at a time.
+    """
     used = sorted({c for pair in pairs for c in pair})
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in used])
+    plain = [F.col(c).cast("double").alias(c) for c in used]
+    numbers = df.select(*plain).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in used])
+    if len(pairs) <= FEW_PAIRS:
+        return _corr_aggregates(numbers, pairs)
+    present = numbers.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in used])
+    counts = present.first()
+    full = [c for c in used if counts[c] == counts["_rows"]]
+    parts = [_corr_matrix(numbers, full, [p for p in pairs if set(p) <= set(full)])]
+    gaps = [p for p in pairs if not set(p) <= set(full)]
+    for i in range(0, len(gaps), FEW_PAIRS):
+        parts.append(_corr_aggregates(numbers, gaps[i : i + FEW_PAIRS]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _corr_aggregates(numbers: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     wide = numbers.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"c{i}").alias("corr"))
@@ -115,6 +142,19 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
+def _corr_matrix(
+    numbers: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    rows = []
+    if pairs:
+        vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numbers)
+        matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
+        at = {c: i for i, c in enumerate(columns)}
+        rows = [(a, b, float(matrix[at[a], at[b]])) for a, b in pairs]
+    found = numbers.sparkSession.createDataFrame(rows, CORRELATIONS)
+    return found.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+
+
 # --- exact quantiles -------------------------------------------------------
 
 

@@ -34,7 +34,8 @@ class RiskResult:
 def clean_heart(df: DataFrame) -> DataFrame:
     """Typed measurements; rows with a missing value cannot be used and go."""
     whole = [c for c in HEART.columns if c not in HEART.fractional]
-    return cast_columns(df, {"float": HEART.fractional, "int": whole}).na.drop("any")
+    named = df.select(*HEART.columns)
+    return cast_columns(named, {"float": HEART.fractional, "int": whole}).na.drop("any")
 
 
 def class_one_metrics(predictions: DataFrame, target: str, prediction: str, risk: str) -> DataFrame:

@@ -29,14 +29,6 @@ class CommentsLayout:
     # Fixed value: a text that is only this stray quote is not a comment.
     junk_text: str = '"'
 
-    @property
-    def labeled(self) -> T.StructType:
-        return string_fields((self.key, self.text, *self.labels))
-
-    @property
-    def unlabeled(self) -> T.StructType:
-        return string_fields((self.key, self.text))
-
 
 @dataclass(frozen=True)
 class HeartLayout:

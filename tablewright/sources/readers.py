@@ -10,14 +10,28 @@ from pyspark.sql import types as T
 from tablewright.sources.layouts import RESULTS, string_fields
 
 
-def scan_csv_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line, typed by ``schema``; fields that do not parse are null."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+def _read_with_header(
+    spark: SparkSession, path: str, schema: T.StructType | None, options: dict
+) -> DataFrame:
+    """Take the column names from the header line, and their types from ``schema`` by name."""
+    options = {"header": True, "mode": "PERMISSIVE", **options}
+    names = spark.read.options(**options).csv(path).columns
+    fields = {f.name: f for f in schema or []}
+    missing = sorted(set(fields) - set(names))
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    typed = [fields.get(n, T.StructField(n, T.StringType())) for n in names]
+    return spark.read.schema(T.StructType(typed)).options(**options).csv(path)
+
+
+def scan_csv_header(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """CSV with a header line, in any column order.
+
+    Columns not in ``schema`` are text; fields that do not parse are null.
+    """
+    return _read_with_header(spark, path, schema, {})
 
 
 def scan_csv_headerless(
@@ -38,18 +52,15 @@ def scan_csv_headerless(
     )
 
 
-def scan_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_csv_text(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     """CSV with a header whose quoted fields hold newlines, commas and doubled quotes.
 
     Such a file cannot be split, so keep the input in many files: one task reads one.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
+    return _read_with_header(
+        spark, path, schema, {"multiLine": True, "quote": '"', "escape": '"'}
     )
 
 

@@ -1,10 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import hash_bucket, strip_dots, tokens
 from tablewright.operators import clean
 from tablewright.plans import income
-from tablewright.sources import CENSUS, scan_csv_headerless, scan_csv_text
+from tablewright.sources import CENSUS, scan_csv_header, scan_csv_headerless, scan_csv_text
 from tablewright.sources.layouts import COMMENTS
 
 
@@ -21,7 +22,7 @@ def test_quoted_text_csv(spark, tmp_path):
         '3,"""",1,0,0,0,0,0\n'
         "4,plain,0,0,0,0,0,0\n"
     )
-    rows = scan_csv_text(spark, str(path), COMMENTS.labeled)
+    rows = scan_csv_text(spark, str(path))
     assert values(rows, "id", "comment_text", "toxic") == [
         ("1", "line one\nline two, with comma", "1"),
         ("2", 'say "hi" now, ok', "0"),
@@ -69,6 +70,16 @@ def test_non_numeric_rows_go(spark, tmp_path):
     assert values(clean.filter_non_numeric_rows(rows, "age"), "age") == [("25",), ("44",), ("38",)]
 
 
+def test_header_columns_match_by_name(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("b,extra,a\n2.5,x,1\noops,y,2\n")
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ("a", "b")])
+    rows = scan_csv_header(spark, str(path), schema)
+    assert values(rows, "a", "b", "extra") == [(1.0, 2.5, "x"), (2.0, None, "y")]
+    with pytest.raises(ValueError, match="no columns"):
+        scan_csv_header(spark, str(path), T.StructType([T.StructField("c", T.DoubleType())]))
+
+
 def test_cast_is_tolerant(spark):
     rows = spark.createDataFrame([("1", "x"), ("2.5", "3")], "a string, b string")
     cast = clean.cast_columns(rows, {"float": ["a"], "int": ["b"]})

@@ -57,6 +57,13 @@ def test_feature_names(spark, letters):
     assert features.feature_names(vectors) == ["n", "c_vec_a", "c_vec_b", "c_vec_c", "c_vec_d"]
 
 
+def test_hashed_slots_are_numbered(spark):
+    rows = spark.createDataFrame([(1, "a b")], "id int, text string")
+    stages = features.text_stages("text", 4)
+    vectors = features.fit_stages(stages, rows).transform(rows)
+    assert features.feature_names(vectors, "features_tf") == [f"features_tf_{i}" for i in range(4)]
+
+
 def test_idf_formula(spark):
     rows = spark.createDataFrame([(1, "a a b"), (2, "b"), (3, "c")], "id int, text string")
     weights = features.idf(features.document_frequency(rows, "text"), rows)

@@ -94,6 +94,27 @@ def test_correlation_equals_pandas(spark, numbers):
     assert got[0]["corr"] == pytest.approx(numbers["x"].corr(numbers["y"]), abs=1e-12)
 
 
+@pytest.mark.parametrize("gaps", [0, 1, 3])
+def test_wide_correlation_equals_pandas(spark, gaps):
+    rng = np.random.default_rng(gaps)
+    base = rng.normal(size=(400, 7))
+    frame = pd.DataFrame(base @ rng.normal(size=(7, 7)), columns=[f"x{i}" for i in range(7)])
+    for i in range(gaps):
+        frame.loc[rng.choice(400, 60, replace=False), f"x{i}"] = np.nan
+    got = profile.correlation_matrix(spark.createDataFrame(frame), list(frame.columns)).collect()
+    want = frame.corr()
+    assert len(got) == 21
+    for row in got:
+        assert row["corr"] == pytest.approx(want.loc[row["row"], row["col"]], abs=1e-9)
+
+
+def test_correlation_of_constant_is_null(spark):
+    rows = spark.range(30).select(F.lit(1.0).alias("one"), *[(F.col("id") * i).alias(f"x{i}") for i in range(1, 6)])
+    got = profile.correlation_matrix(rows, rows.columns).collect()
+    assert len(got) == 15
+    assert {r["corr"] for r in got if "one" in (r["row"], r["col"])} == {None}
+
+
 def test_label_profiles(spark):
     rows = spark.createDataFrame(
         [(0, 0), (1, 0), (1, 1), (None, 1)], "toxic int, threat int"
