@@ -167,16 +167,15 @@ def quantiles(
     the bins that hold a wanted rank.  No task ever holds a whole column.  Nulls and
     NaNs do not count; rows with a null in ``by`` are left out.
     """
-    group = [*by, "feature"]
     numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     binned = add_order_bins(numbers, columns)
+    # A slot is one bin of one column: a single number, cheap to group and to join by.
     cells = [
         F.struct(
-            F.lit(c).alias("feature"),
             F.col(c).alias("value"),
-            F.col(f"{c}_bin").alias("bin"),
+            (F.lit(i * SLOTS_PER_COLUMN) + F.col(f"{c}_bin")).cast("bigint").alias("slot"),
         )
-        for c in columns
+        for i, c in enumerate(columns)
     ]
     long = binned.select(*by, F.inline(F.array(*cells))).filter(
         F.col("value").isNotNull() & ~F.isnan("value")
@@ -184,15 +183,15 @@ def quantiles(
     for c in by:
         long = long.filter(F.col(c).isNotNull())
 
-    ranks = materialize(_wanted_ranks(long, group, probs), "ranks")
-    bins = [*group, "bin"]
+    ranks = materialize(_wanted_ranks(long, by, probs), "ranks")
+    slots = [*by, "slot"]
     counted = (
-        long.join(ranks.select(*bins).distinct(), bins)
-        .groupBy(*bins, "value")
+        long.join(ranks.select("slot").distinct(), "slot")
+        .groupBy(*slots, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy(*bins).orderBy("value"))
-    at_rank = counted.withColumn("upto", upto).join(ranks, bins).filter(
+    upto = F.sum("n").over(Window.partitionBy(*slots).orderBy("value"))
+    at_rank = counted.withColumn("upto", upto).join(ranks, slots).filter(
         (F.col("offset") >= F.col("upto") - F.col("n")) & (F.col("offset") < F.col("upto"))
     )
 
@@ -205,18 +204,28 @@ def quantiles(
         low, high = side(name, "low"), side(name, "high")
         return (low + (high - low) * weight).alias(name)
 
-    return at_rank.groupBy(*group).agg(*[interpolated(name) for name in probs])
+    feature = F.element_at(F.lit(list(columns)), _column_of_slot() + 1).alias("feature")
+    return at_rank.groupBy(*by, feature).agg(*[interpolated(name) for name in probs])
+
+
+# More than the number of bins of any column.
+SLOTS_PER_COLUMN = 1_000_000
+
 
+def _column_of_slot() -> Column:
+    return F.floor(F.col("slot") / SLOTS_PER_COLUMN).cast("int")
 
-def _wanted_ranks(long: DataFrame, group: list[str], probs: Mapping[str, float]) -> DataFrame:
-    """Bin, and rank inside the bin, of the two neighbours of every quantile."""
-    counts = long.groupBy(*group, "bin").agg(F.count(F.lit(1)).alias("n"))
+
+def _wanted_ranks(long: DataFrame, by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """Slot, and rank inside the slot, of the two neighbours of every quantile."""
+    counts = long.groupBy(*by, "slot").agg(F.count(F.lit(1)).alias("n"))
+    column = Window.partitionBy(*by, _column_of_slot())
     running = counts.select(
-        *group,
-        "bin",
+        *by,
+        "slot",
         "n",
-        F.sum("n").over(Window.partitionBy(*group).orderBy("bin")).alias("upto"),
-        F.sum("n").over(Window.partitionBy(*group)).alias("total"),
+        F.sum("n").over(column.orderBy("slot")).alias("upto"),
+        F.sum("n").over(column).alias("total"),
     )
     wanted = []
     for name, p in probs.items():
@@ -232,11 +241,11 @@ def _wanted_ranks(long: DataFrame, group: list[str], probs: Mapping[str, float])
                 )
             )
     return (
-        running.select(*group, "bin", "n", "upto", F.inline(F.array(*wanted)))
+        running.select(*by, "slot", "n", "upto", F.inline(F.array(*wanted)))
         .filter((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
         .select(
-            *group,
-            "bin",
+            *by,
+            "slot",
             "stat",
             "side",
             "weight",
@@ -277,22 +286,28 @@ def five_number_by_class(df: DataFrame, columns: Sequence[str], by: str) -> Data
     box; values beyond them are counted as outliers.
     """
     boxes = materialize(quantiles(df, columns, QUARTILES, [by]), "boxes")
+    wide = boxes.groupBy(by).pivot("feature", list(columns)).agg(
+        *[F.first(q).alias(q) for q in QUARTILES]
+    )
     numbers = df.select(by, *[F.col(c).cast("double").alias(c) for c in columns])
-    reach = 1.5 * (F.col("q75") - F.col("q25"))
-    low, high = F.col("q25") - reach, F.col("q75") + reach
-    inside = F.col("value").between(low, high)
-    return (
-        _long(numbers, columns, ("feature", "value"), [by])
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .join(boxes, [by, "feature"])
-        .groupBy(by, "feature", *QUARTILES)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("outliers"),
+
+    def box(c: str) -> Column:
+        value = F.when(~F.isnan(c), F.col(c))
+        q25, q75 = F.col(f"{c}_q25"), F.col(f"{c}_q75")
+        reach = 1.5 * (q75 - q25)
+        inside = value.between(q25 - reach, q75 + reach)
+        return F.struct(
+            F.lit(c).alias("feature"),
+            *[F.max(f"{c}_{q}").alias(q) for q in QUARTILES],
+            F.count(value).alias("n"),
+            F.min(F.when(inside, value)).alias("whisker_low"),
+            F.max(F.when(inside, value)).alias("whisker_high"),
+            F.count(F.when(~inside, True)).alias("outliers"),
         )
-    )
+
+    # One row per class on the right, and no row is multiplied on the left.
+    per_class = numbers.join(wide, by).groupBy(by).agg(*[box(c).alias(c) for c in columns])
+    return per_class.select(by, F.inline(F.array(*columns))).filter(F.col("n") > 0)
 
 
 # --- histograms ------------------------------------------------------------
@@ -334,13 +349,13 @@ def _fixed_bins(numbers: DataFrame, keep, bins: int, low: float, high: float) ->
         .groupBy(*keep, place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    if keep:
-        grid = found.select(*keep).distinct().select(*keep, all_bins)
-    else:
-        grid = numbers.sparkSession.range(1).select(all_bins)
-    filled = grid.join(found, [*keep, "bin"], "left").select(
-        *keep, "bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    # At most one entry per bin, so a group's counts fit in one row.
+    entries = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
+    filled = (
+        found.groupBy(*keep)
+        .agg(entries.alias("counts"))
+        .select(*keep, "counts", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .withColumn("n", F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)))
     )
     return filled.select(
         *keep,

@@ -72,6 +72,23 @@ def test_describe_equals_pandas(spark, numbers):
             assert row[name] == pytest.approx(column[key], abs=1e-9)
 
 
+def test_box_numbers(spark, numbers):
+    rows = spark.createDataFrame(numbers).withColumn(
+        "x", F.when(F.rand(3) > 0.1, F.col("x"))
+    ).cache()
+    frame = rows.toPandas()
+    got = profile.five_number_by_class(rows, ["x", "y"], "g").collect()
+    assert len(got) == 4
+    for row in got:
+        column = frame[frame.g == row["g"]][row["feature"]].dropna()
+        q25, q75 = column.quantile(0.25), column.quantile(0.75)
+        inside = column[column.between(q25 - 1.5 * (q75 - q25), q75 + 1.5 * (q75 - q25))]
+        assert row["n"] == len(column)
+        assert row["q50"] == pytest.approx(column.median())
+        assert (row["whisker_low"], row["whisker_high"]) == (inside.min(), inside.max())
+        assert row["outliers"] == len(column) - len(inside)
+
+
 def test_histogram_equals_numpy(spark, numbers):
     rows = spark.createDataFrame(numbers)
     counts, edges = np.histogram(numbers["x"], bins=17)
