@@ -61,6 +61,7 @@ def scan_csv_text(spark, folder):
     path = scratch_path(spark, "csv-text")
     (
         table(spark, folder, "documents", "doc_id", "text")
+        .toDF("id", "comment_text")
         .write.option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)

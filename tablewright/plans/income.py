@@ -57,9 +57,13 @@ class TunedResult:
 @dataclass(frozen=True)
 class ComparedResult:
     models: Mapping[str, Model]
+    label: str
     scored: DataFrame
     metrics: DataFrame
-    raw_metrics: DataFrame
+
+    def raw_metrics(self) -> DataFrame:
+        """The same metrics with rows ranked by raw scores, for comparison only."""
+        return evaluate_model(self.scored, self.label, "prediction", "raw_score")
 
 
 def clean_census(*files: DataFrame) -> DataFrame:
@@ -165,7 +169,7 @@ def compare_trees(
     scored = materialize(score_models(models, prepared.transform(test), label), "income-scored")
     return ComparedResult(
         models=models,
+        label=label,
         scored=scored,
         metrics=evaluate_model(scored, label, "prediction", "score"),
-        raw_metrics=evaluate_model(scored, label, "prediction", "raw_score"),
     )

@@ -154,7 +154,7 @@ def test_income_models(spark):
     }
     assert set(areas) == {"RF", "DT"} and min(areas.values()) > 0.9
     raw = {
-        r["model"]: r["value"] for r in trees.raw_metrics.filter("metric = 'areaUnderROC'").collect()
+        r["model"]: r["value"] for r in trees.raw_metrics().filter("metric = 'areaUnderROC'").collect()
     }
     assert raw["DT"] < areas["DT"]
 
