@@ -41,6 +41,7 @@ def term_frequency(df: DataFrame, key: str, text: str) -> DataFrame:
 
     The texts are shuffled by key before they are split into words, as they are much
     smaller than their word counts; the counting then needs no shuffle of its own.
+    So ``key`` must identify the text: all texts of one key go to one task.
     """
     words = df.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("term"))
     return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -32,6 +32,16 @@ def test_risk_job(spark, tmp_path):
     assert read_results(spark, f"{out}/confusion", "confusion").count() >= 2
 
 
+def test_command_line_runs_a_job(spark, tmp_path, capsys):
+    rng = np.random.default_rng(6)
+    rows = [[int(v) for v in rng.integers(0, 3, 13)] + [int(rng.integers(0, 2))] for _ in range(150)]
+    # Columns in another order than usual, found by name.
+    path = write(tmp_path / "heart.csv", HEART.columns[::-1], [r[::-1] for r in rows])
+    jobs.main(["risk", path, "--out", str(tmp_path / "out")])
+    assert "risk" in capsys.readouterr().out
+    assert (tmp_path / "out" / "coefficients" / "_SUCCESS").exists()
+
+
 def census_rows(rng, n, dot):
     rows = []
     for _ in range(n):
