@@ -33,8 +33,11 @@ def top_k_abs(df: DataFrame, value: str, order: Sequence, k: int = 15) -> DataFr
 
 
 def best_model_per_metric(metrics: DataFrame) -> DataFrame:
-    """For each metric of a long metric table the best model; ties go to the first name."""
-    return metrics.groupBy("metric").agg(
+    """For each metric of a long metric table the best model; ties go to the first name.
+
+    A metric that is null for a model, as AUC is without both classes, does not compete.
+    """
+    return metrics.filter(F.col("value").isNotNull()).groupBy("metric").agg(
         F.min_by("model", F.struct(-F.col("value"), F.col("model"))).alias("model"),
         F.max("value").alias("value"),
     )

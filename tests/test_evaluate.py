@@ -124,6 +124,13 @@ def test_compare_and_best(spark):
     assert best == {"f1": ("DT", 0.8), "auc": ("LR", 0.9)}
 
 
+def test_best_ignores_missing_values(spark):
+    metrics = spark.createDataFrame(
+        [("A", "auc", None), ("B", "auc", 0.4)], "model string, metric string, value double"
+    )
+    assert [tuple(r) for r in ordering.best_model_per_metric(metrics).collect()] == [("auc", "B", 0.4)]
+
+
 def test_linear_score(spark):
     rows = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     got = threshold_predict(score_linear(rows, {"a": 0.5, "b": -1.0}, 0.25), "score").first()
