@@ -6,13 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, warc
+from tablewright.llm import dac, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
+URL_RULES = [
+    url_filter.Rule("net/", "block"),
+    url_filter.Rule("example.net/en/", "allow"),
+    url_filter.Rule("example.com/de/", "block"),
+    url_filter.Rule("org/fr/", "allow"),
+]
+
+
+@query()
+def op1_url_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule or naive Bayes verdict on every page's url; names are split by the words of all documents."""
+    return url_filter.judge_urls(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"), URL_RULES)
+
 
 @query("""
 with p as (select page_id, coalesce(html, '') as html from pages),
