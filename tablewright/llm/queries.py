@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, url_filter, warc
+from tablewright.llm import dac, merkle, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -46,6 +46,12 @@ def op5_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text, and how alike they are."""
+    return merkle.fingerprint_edits(read_table(spark, folder, "documents"))
+
+
 @query()
 def op10_direct_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written as directly addressable codes and read back."""
