@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, merkle, url_filter, warc
+from tablewright.llm import dac, decontam, merkle, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -52,6 +52,42 @@ def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.fingerprint_edits(read_table(spark, folder, "documents"))
 
 
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+with item as (select item_id, {_ITEM_WORDS} as w from benchmark),
+     win as (select item_id, least(len(w), 10) as n,
+                    unnest([array_to_string(w[i : i + 9], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) as win
+             from item where len(w) > 0),
+     size as materialized (select distinct n from win),
+     doc as materialized (select doc_id, {_ITEM_WORDS} as w from documents),
+     place as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as pos, w from doc, size where len(w) >= n),
+     hit as materialized (
+       select p.doc_id, p.pos, p.n, win.item_id
+       from (select doc_id, n, pos, array_to_string(w[pos : pos + n - 1], ' ') as win from place) p
+       join win on p.win = win.win and p.n = win.n),
+     words as (select doc_id, count(distinct x) as n_hit
+               from (select doc_id, unnest(range(pos, pos + n)) as x from hit) group by doc_id),
+     items as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+               from (select distinct doc_id, cast(item_id as varchar) as id from hit) group by doc_id)
+select doc.doc_id, len(doc.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join words using (doc_id) left join items using (doc_id)
+""")
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in a passage of the benchmark, and the items they come from."""
+    found = decontam.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query()
 def op10_direct_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written as directly addressable codes and read back."""
