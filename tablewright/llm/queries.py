@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, decontam, merkle, url_filter, warc
+from tablewright.llm import dac, decontam, merkle, near_dups, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -52,6 +52,29 @@ def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.fingerprint_edits(read_table(spark, folder, "documents"))
 
 
+@query(r"""
+with recursive word as (
+       select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x20\x09-\x0D]+') as w from documents),
+     shingle as materialized (
+       select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+              else [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] end) as s from word),
+     size as materialized (select doc_id, count(*) as n from shingle group by doc_id),
+     common as (select a.doc_id as a, b.doc_id as b, count(*) as k
+              from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+     link as materialized (
+       select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+     edge as materialized (select a, b from link union select b, a from link),
+     reach as (select doc_id, doc_id as r from documents union select reach.doc_id, edge.b from reach join edge on edge.a = reach.r)
+select d.doc_id, coalesce(n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join size on size.doc_id = d.doc_id
+     join (select doc_id, min(r) as component_id from reach group by doc_id) c on c.doc_id = d.doc_id
+""")
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of 75 % shared 5-word shingles."""
+    return near_dups.near_duplicates(read_table(spark, folder, "documents"))
+
+
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
