@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, decontam, merkle, near_dups, url_filter, warc
+from tablewright.llm import dac, decontam, lang_cnn, merkle, near_dups, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -27,6 +27,14 @@ def op1_url_words(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"), URL_RULES)
 
 
+@query()
+def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, by a network that learns from the documents that are not held out."""
+    docs = read_table(spark, folder, "documents")
+    found = lang_cnn.identify(docs, lang_cnn.learn_languages(docs), "doc_id")
+    return found.select("doc_id", lang_cnn.held_out(found).alias("held_out"), "lang_pred", "score")
+
+
 @query("""
 with p as (select page_id, coalesce(html, '') as html from pages),
      d as (select page_id, strlen(html) as n, sha256(html) as digest from p),
