@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, decontam, lang_cnn, merkle, near_dups, url_filter, warc
+from tablewright.llm import dac, decontam, lang_cnn, merkle, near_dups, pii, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -27,6 +27,15 @@ def op1_url_words(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"), URL_RULES)
 
 
+@query()
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: matches of the patterns, and what the network adds."""
+    docs = read_table(spark, folder, "documents")
+    found = pii.detect(docs, pii.learn(docs), "doc_id")
+    counts = [F.regexp_count("base", F.lit(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 @query()
 def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, by a network that learns from the documents that are not held out."""
