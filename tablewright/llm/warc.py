@@ -1,8 +1,9 @@
 """WARC archives written by Spark's text sink, and a reader that salvages damaged ones.
 
-A record is a version line, header lines, an empty line, the block and two line ends. The sink puts
-the two line ends after each value, so plain files of any number of records arise without a task
-holding more than one record.
+A record is a version line, header lines, an empty line, the block and two line ends. The sink puts a
+separator after each value, so files of any number of records arise without a task holding them.
+In plain files the separator is the two line ends. In compressed files every record is a gzip member;
+its last byte, the highest of the content's length, is zero below 16 MB, and that zero is the separator.
 """
 
 from __future__ import annotations
@@ -59,8 +60,23 @@ def _html():
     return F.coalesce(F.col("html"), F.lit(""))
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, at_least: int = 100) -> None:
-    """Write a record per row of (page_id, url, html) below ``path`` as plain WARC files.
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every record as a gzip member without its last byte, which is zero."""
+    empty = zlib.compress(b"", wbits=31)
+    for batch in batches:
+        members = []
+        for record in batch.column(0).to_pylist():
+            data = record.encode() + b"\r\n\r\n"
+            member = zlib.compress(data, wbits=31)
+            # A longer record is followed by an empty member, which ends in zeros.
+            members.append((member if len(data) < 1 << 24 else member + empty)[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["value"])
+
+
+def write_warc(
+    pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, at_least: int = 100, compress: bool = True
+) -> None:
+    """Write a record per row of (page_id, url, html) below ``path``, as gzip members or plain.
 
     Null html is an empty payload, a null url has no target line, a null page_id no record id. Line ends
     in urls are percent-encoded. Rows that repeat a page_id repeat its record. Other columns are ignored.
@@ -99,9 +115,11 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_
         F.lit(LINE_END),
         block,
     )
-    rows.select(record.alias("value")).write.option("lineSep", LINE_END * 2).option(
-        "maxRecordsPerFile", records_per_file
-    ).text(path)
+    out = rows.select(record.alias("value"))
+    if compress:
+        out = out.mapInArrow(_zipped, "value binary").select(F.col("value").cast("string").alias("value"))
+    separator = "\0" if compress else LINE_END * 2
+    out.write.option("lineSep", separator).option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def parse_record(data: bytes, at: int) -> Record | None:
