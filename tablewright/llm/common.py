@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Texts handled together inside a task, in characters (UTF-8 bytes for Arrow buffers).
 BATCH_CHARS = 2_000_000
@@ -25,6 +26,16 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def with_more(docs: DataFrame, keep: Sequence[str], more: str) -> StructType:
+    """The fields of ``keep`` as they are in ``docs``, then those of the DDL string ``more``."""
+    return StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL(more).fields])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): all columns in one, so that no name can clash with what an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
 def slices(lengths: Sequence[int], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose lengths add up to about ``limit``; a longer row stands alone."""
     start = total = 0
@@ -80,15 +91,28 @@ _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6C
 _pow_cache = {"up": _powers(_BASE, 1), "down": _powers(_INVERSE, 1)}
 
 
+class SpanHashes:
+    """64-bit hashes of spans of one byte array; equal spans have equal hashes wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data) + 1
+        if len(_pow_cache["up"]) < n:
+            _pow_cache["up"], _pow_cache["down"] = _powers(_BASE, n), _powers(_INVERSE, n)
+        self.sums = np.zeros(n, np.uint64)
+        coded = _BYTE_CODE[data]
+        coded *= _pow_cache["up"][: n - 1]
+        np.cumsum(coded, out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        value = self.sums[ends]
+        value -= self.sums[starts]
+        value *= _pow_cache["down"][starts]
+        value += (ends - starts).astype(np.uint64)
+        return mix64(value)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans; equal spans have equal hashes wherever they stand."""
-    n = len(data) + 1
-    if len(_pow_cache["up"]) < n:
-        _pow_cache["up"], _pow_cache["down"] = _powers(_BASE, n), _powers(_INVERSE, n)
-    sums = np.zeros(n, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * _pow_cache["up"][: n - 1], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * _pow_cache["down"][starts]
-    return mix64(value + (ends - starts).astype(np.uint64))
+    return SpanHashes(data)(starts, ends)
 
 
 #: ASCII white space that ends a word: 0x20 and 0x09 to 0x0D.

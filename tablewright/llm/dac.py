@@ -17,16 +17,17 @@ Segments are the rows of a Parquet table (part, seq, n_ids, segment), ordered by
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import slices, sub_batches, text_or_empty
+from tablewright.llm.common import slices, span_hashes, sub_batches, text_or_empty, utf8
 
 # Fixed values of the format.
 MAGIC = b"TDAC"
@@ -34,6 +35,12 @@ FORMAT_VERSION = 1
 RANK_BITS = 512
 
 SEGMENT_IDS = 1 << 20
+
+#: Longest piece that is remembered.
+MEMO_BYTES = 48
+
+AFTER_SPACE, AFTER_LINE, AT_START = 0, 1, 2
+_KINDS = np.array([0, 0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 SEGMENT_SCHEMA = "part int, seq long, n_ids long, segment binary"
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -148,11 +155,14 @@ class ByteBpeEncoder:
     The split before the merges never joins text across a single space or a single line end between two
     other characters, so texts are cut there. The distinct pieces of a batch are looked up among the known
     ones; the unknown are encoded in long runs, parted by line ends, which are one token of their own.
-    Texts with other runs of white space are encoded whole. Known pieces are forgotten when there are
-    ``remembered`` of them, or 40 times as many characters.
+    Texts with other runs of white space are encoded whole. A known piece of up to MEMO_BYTES bytes is
+    found by its hash, length and first eight bytes together. All are forgotten when there are
+    ``remembered`` of them.
     """
 
-    def __init__(self, tokenizer_path: str, remembered: int = 1_200_000):
+    def __init__(self, tokenizer_path: str, remembered: int = 1_000_000):
+        # A task has one core; threads of its own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -165,10 +175,9 @@ class ByteBpeEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        # Keys: a piece after a space; with a line end in front after one; with a zero byte at a text's start.
-        self.known: dict[str, int] = {}
-        self.begins, self.sizes, self.ids = (np.empty(0, t) for t in (np.int64, np.int64, np.uint32))
-        self.chars = 0
+        self.keys, self.marks = np.empty(0, np.uint64), np.empty(0, np.uint64)  # sorted by key
+        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.ids = np.empty(0, np.uint32)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -177,82 +186,105 @@ class ByteBpeEncoder:
             out += [np.array(x.ids, np.uint32) for x in found]
         return out
 
-    def _learn(self, keys: list[str]) -> None:
-        """Encode pieces and remember where their ids are."""
-        clean, odd = [], []
-        for k in keys:
-            (clean if len(k.split()) == 1 and k[:2] != "\n\n" else odd).append(k)
-        begins, sizes, ids = [self.begins], [self.sizes], [self.ids]
-        total = len(self.ids)
-        forms = [k if k[0] == "\n" else "\n" + k[1:] if k[0] == "\0" else "\n " + k for k in clean]
-        runs = ["".join(forms[a:b]) for a, b in slices([len(k) for k in clean], 100_000)]
-        for run in self._plain(runs):
+    def _encode(self, kinds: list[int], pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces in one array, with begin and size of each; a line end in front is part of its ids."""
+        n = len(pieces)
+        begins, sizes = np.zeros(n, np.int64), np.zeros(n, np.int32)
+        lead = np.array([k == AFTER_LINE for k in kinds], np.int64)
+        clean = np.array([len(p.split()) == 1 for p in pieces], bool)
+        forms = [" " + p if k == AFTER_SPACE else p for k, p in zip(kinds, pieces, strict=True)]
+        flat, total, at = [], 0, np.flatnonzero(clean)
+        texts = [forms[i] for i in at.tolist()]
+        for (a, b), run in zip(spans := [*slices([len(t) for t in texts], 100_000)], self._plain(["\n" + "\n".join(texts[a:b]) for a, b in spans]), strict=True):
             cuts = np.append(np.flatnonzero(run == self.line_end), len(run))
-            begins.append(cuts[:-1] + total + 1)
-            sizes.append(np.diff(cuts) - 1)
-            ids.append(run)
+            if len(cuts) != b - a + 1:
+                raise RuntimeError("a run of pieces was not cut as expected")
+            mine = at[a:b]
+            begins[mine] = cuts[:-1] + 1 - lead[mine] + total
+            sizes[mine] = np.diff(cuts) - 1 + lead[mine]
+            flat.append(run)
             total += len(run)
-        for run in self._plain([k if k[0] == "\n" else k[1:] if k[0] == "\0" else " " + k for k in odd]):
-            begins.append(np.array([total]))
-            sizes.append(np.array([len(run)]))
-            ids.append(run)
+        odd = np.flatnonzero(~clean).tolist()
+        for i, run in zip(odd, self._plain(["\n" * int(lead[i]) + forms[i] for i in odd]), strict=True):
+            begins[i], sizes[i] = total, len(run)
+            flat.append(run)
             total += len(run)
-        self.begins, self.sizes, self.ids = map(np.concatenate, (begins, sizes, ids))
-        first = len(self.known)
-        # The line end in front of a piece is part of its ids.
-        lines = np.array([first + i for i, k in enumerate(clean) if k[0] == "\n"], np.int64)
-        self.begins[lines] -= 1
-        self.sizes[lines] += 1
-        if len(self.begins) != first + len(keys):
-            raise RuntimeError("runs of pieces were not cut as expected")
-        self.known.update(zip([*clean, *odd], range(first, first + len(keys)), strict=True))
-        self.chars += sum(map(len, keys))
+        return np.concatenate([np.empty(0, np.uint32), *flat]), begins, sizes
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the offsets that cut them by text."""
-        if len(self.known) > self.remembered or self.chars > 40 * self.remembered:
+        if len(self.keys) > self.remembered:
             self._forget()
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        offsets = cut.offsets.to_numpy().astype(np.int64)
-        coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        heads = offsets[:-1]
-        inner = np.ones(len(which), bool)
-        inner[heads] = False
-        # White space at a piece's edge belongs to a run of white space; a zero byte marks a text's start.
-        bad = np.fromiter((not w or w[0] == "\0" or w[-1].isspace() or w[0].isspace() and w[0] != "\n" for w in words), bool, len(words))
-        first = [words[i] for i in which[heads].tolist()]
-        whole = np.logical_or.reduceat(bad[which] & inner, heads) if len(heads) else np.empty(0, bool)
-        whole |= np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in first), bool, len(first))
-        used = np.zeros(len(words), bool)
-        used[which[inner & ~np.repeat(whole, np.diff(offsets))]] = True
-        keys = [w for w, u in zip(words, used.tolist(), strict=True) if u]
-        starts = ["\0" + w for w, alone in zip(first, whole.tolist(), strict=True) if not alone]
-        new = [k for k in keys if k not in self.known]
-        new += {k for k in starts if k not in self.known}
-        if new:
-            self._learn(new)
-        at = np.zeros(len(words) + len(heads), np.int64)
-        at[np.flatnonzero(used)] = [*map(self.known.__getitem__, keys)]
-        at[len(words) + np.flatnonzero(~whole)] = [*map(self.known.__getitem__, starts)]
-        # Whole texts follow the known ids.
-        plain = self._plain(pc.filter(texts, pa.array(whole)).to_pylist())
-        ids = np.concatenate([self.ids, *plain])
-        n = np.array([len(x) for x in plain], np.int64)
-        begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(n) - n])
-        sizes = np.concatenate([self.sizes, n])
-        at[len(words) + np.flatnonzero(whole)] = len(self.begins) + np.arange(len(n))
-        which[heads] = len(words) + np.arange(len(heads))
-        keep = ~np.repeat(whole, np.diff(offsets))
-        keep[heads] = True
-        at = at[which[keep]]
-        counts = sizes[at]
-        ends = np.cumsum(counts)
-        places = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins[at] - (ends - counts), counts)
-        kept = np.concatenate(([0], np.cumsum(keep)))[offsets]
-        return ids[places], np.concatenate(([0], ends))[kept]
+        data, offsets = utf8(texts)
+        size, n_texts = len(data), len(offsets) - 1
+        raw = data.tobytes()
+        # A piece starts at each text and after each space and line end.
+        cuts = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        starts = np.concatenate([offsets[:-1], cuts + 1])
+        kinds = np.concatenate([np.full(n_texts, AT_START, np.uint8), np.where(data[cuts] == 0x20, AFTER_SPACE, AFTER_LINE).astype(np.uint8)])
+        order = np.argsort(starts, kind="stable")
+        # An empty text's start precedes that of the next text; a piece may start where its text ends.
+        rows = np.concatenate([np.arange(n_texts), np.searchsorted(offsets, cuts, side="right") - 1])
+        order = order[np.argsort(rows[order], kind="stable")]
+        starts, kinds, rows = starts[order], kinds[order], rows[order]
+        first = np.searchsorted(rows, np.arange(n_texts))
+        ends = np.empty_like(starts)
+        ends[:-1] = starts[1:] - 1
+        ends[first[1:] - 1] = offsets[1:-1]
+        ends[-1:] = size
+        lengths = ends - starts
+        key = span_hashes(data, starts, ends) ^ _KINDS[kinds]
+        unique, at, which = np.unique(key, return_index=True, return_inverse=True)
+        head = np.zeros(size + 8, np.uint8)
+        head[:size] = data
+        n = lengths[at]
+        window = np.lib.stride_tricks.sliding_window_view(head, 8)[starts[at]].copy()
+        window[np.arange(8) >= n[:, None]] = 0
+        mark = window.view(np.uint64)[:, 0] ^ n.astype(np.uint64) << np.uint64(56)
+        slot = np.searchsorted(self.keys, unique)
+        slot[slot == len(self.keys)] = 0
+        known = (self.keys[slot] == unique) & (self.marks[slot] == mark) if len(self.keys) else np.zeros(len(unique), bool)
+        short = n <= MEMO_BYTES
+        begins, sizes = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int32)
+        begins[known], sizes[known] = self.begins[slot[known]], self.sizes[slot[known]]
+        known &= short
+        # White space at a piece's edge belongs to a run of white space.
+        bad = n == 0
+        new = np.flatnonzero(~known & ~bad)
+        pieces = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
+        edge = np.array([p[0].isspace() or p[-1].isspace() for p in pieces], bool)
+        bad[new[edge]] = True
+        whole = np.zeros(n_texts, bool)
+        whole[rows[bad[which]]] = True
+        new, pieces = new[~edge], [p for p, e in zip(pieces, edge.tolist(), strict=True) if not e]
+        fresh, begins_new, sizes_new = self._encode(kinds[at[new]].tolist(), pieces)
+        begins[new], sizes[new] = begins_new + len(self.ids), sizes_new
+        keep = new[short[new]]
+        plain = self._plain([raw[offsets[i] : offsets[i + 1]].decode() for i in np.flatnonzero(whole).tolist()])
+        table = np.concatenate([self.ids, fresh, *plain])
+        if len(keep):
+            self.ids = table[: len(self.ids) + len(fresh)]
+            merged = np.concatenate([self.keys, unique[keep]])
+            into = np.argsort(merged, kind="stable")
+            self.keys = merged[into]
+            self.marks = np.concatenate([self.marks, mark[keep]])[into]
+            self.begins = np.concatenate([self.begins, begins[keep]])[into]
+            self.sizes = np.concatenate([self.sizes, sizes[keep]])[into]
+        n_plain = np.array([len(x) for x in plain], np.int64)
+        begin = begins[which]
+        count = np.where(whole[rows], 0, sizes[which]).astype(np.int64)
+        begin[first[whole]] = len(table) - n_plain.sum() + np.cumsum(n_plain) - n_plain
+        count[first[whole]] = n_plain
+        stops = np.cumsum(count)
+        total = int(stops[-1]) if len(stops) else 0
+        places = np.arange(total) + np.repeat(begin - (stops - count), count)
+        return table[places], np.concatenate([np.concatenate(([0], stops))[first], [total]])
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_path: str) -> ByteBpeEncoder:
+    """The encoder of a worker, kept with what it remembers from task to task."""
+    return ByteBpeEncoder(tokenizer_path)
 
 
 def write_codes(
@@ -273,7 +305,7 @@ def write_codes(
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = ByteBpeEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         ends: list[int] = []
@@ -287,7 +319,7 @@ def write_codes(
             )
 
         for batch in batches:
-            for some in sub_batches(batch, 1, 8_000_000):
+            for some in sub_batches(batch, 1):
                 ids, cuts = encoder(some.column(1))
                 ids = np.insert(ids, cuts[1:], end_id)
                 cuts = (cuts + np.arange(len(cuts))).tolist()

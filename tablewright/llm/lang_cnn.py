@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import sub_batches, text_or_empty, utf8
+from tablewright.llm.common import packed, sub_batches, text_or_empty, utf8, with_more
 
 WINDOW = 256
 OVERLAP = 8
@@ -202,8 +202,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     ``score`` is the mean probability of the language over all windows of the whole text. A text that is
     null or has no letter is ``und`` with score 0, as is every text if the model knows no language.
     """
-    fields = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"])
+    schema = with_more(docs, keep, "lang_pred string, score double")
     names, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +229,17 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
 
 
+def in_known_language(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and a language of at least ``least_score``, unchanged.
+
+    Without any language to know, every text with a letter stays.
+    """
+    found = identify(packed(docs), model, "row")
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+
+
 def learn_languages(docs: DataFrame) -> Model:
     """A model of the languages in ``lang``, from the bounded sample of ``training_sample``."""
     return train(*training_sample(docs))

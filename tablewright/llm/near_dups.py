@@ -290,3 +290,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS,
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) without near duplicates: of each component, one row.
+
+    It is a row of the smallest doc_id; of rows that repeat it, any. Rows without a doc_id stay. Only ids are
+    shuffled, except for rows that repeat a doc_id.
+    """
+    found = materialize(near_duplicates(docs), "near-duplicates")
+    away = found.filter("not kept").select(F.col("doc_id").alias("_away")).distinct()
+    again = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    again = again.filter("n > 1").select(F.col("doc_id").alias("_away"))
+    away, again = materialize(away, "away"), materialize(again, "again")
+    n_away, n_again = away.count(), again.count()
+
+    def without(ids: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(ids) if n <= MOST_BROADCAST_ROWS else ids
+
+    out = docs.join(without(away, n_away), F.col("doc_id") == F.col("_away"), "left_anti")
+    if not n_again:
+        return out
+    single = out.join(without(again, n_again), F.col("doc_id") == F.col("_away"), "left_anti")
+    repeated = out.join(without(again, n_again), F.col("doc_id") == F.col("_away"), "left_semi")
+    return single.unionByName(repeated.dropDuplicates(["doc_id"]))

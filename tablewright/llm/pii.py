@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import slices, text_or_empty
+from tablewright.llm.common import packed, slices, text_or_empty, with_more
 
 # The kinds in the order of the report, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -451,8 +451,7 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     Both are strings of kind:start:end, ordered by kind and start. A null text is empty and has none;
     repeated rows get the same spans; other columns are ignored. Without a model, spans are the base ones.
     """
-    fields = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), SCHEMA])
+    schema = with_more(docs, keep, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -470,6 +469,30 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
 
 
+def mask(docs: DataFrame, model: Model | None) -> DataFrame:
+    """All rows of ``docs`` with every span in ``text`` as its kind in angle brackets.
+
+    ``n_chars``, if there, becomes the length of a text that changed. Null texts and other columns stay.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            found = find_all([t or "" for t in texts], model)
+            new = [masked(t, [*b, *more]) if b or more else t for t, (b, more) in zip(texts, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "_text"])
+
+    rows = packed(docs).select("row", "text")
+    out = rows.mapInArrow(run, with_more(rows, ["row"], "_text string"))
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
+    columns.append(F.col("_text").alias("text"))
+    if "n_chars" in docs.columns:
+        changed = ~F.col("_text").eqNullSafe(F.col("row.text"))
+        count = F.char_length("_text").cast(docs.schema["n_chars"].dataType)
+        columns.append(F.when(changed, count).otherwise(F.col("row.n_chars")).alias("n_chars"))
+    return out.select(*columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def masked(text: str, spans: Sequence[Span]) -> str:
     """The text with every span as its kind in angle brackets; of overlapping spans the outer part is one."""
     out, done = [], 0

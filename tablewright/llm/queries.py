@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, decontam, lang_cnn, merkle, near_dups, pii, url_filter, warc
+from tablewright.llm import dac, decontam, importance, lang_cnn, merkle, near_dups, pii, sp_codec, url_filter, warc
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
 from tablewright.session import scratch_path
@@ -36,6 +36,13 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+@query()
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document by the streaming Viterbi, and whether decoding gives the text back."""
+    docs = read_table(spark, folder, "documents")
+    return sp_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), "doc_id", ids=False)
+
+
 @query()
 def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, by a network that learns from the documents that are not held out."""
@@ -69,6 +76,13 @@ def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.fingerprint_edits(read_table(spark, folder, "documents"))
 
 
+@query()
+def op7_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Importance weight of every document towards those of good quality, and a sample of a tenth of them."""
+    good = read_table(spark, folder, "labels").filter("quality = 1")
+    return importance.resample(read_table(spark, folder, "documents"), good, share=0.1)
+
+
 @query(r"""
 with recursive word as (
        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
