@@ -381,19 +381,26 @@ def read_ids(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
     (place, id) in any order; repeated places come back repeated, places that are null or outside the
     table are not returned. Places meet their segments by a band join on blocks of places.
     """
-    starts = segment_starts(spark, path)
-    table = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
     block = 1 << 20
-    spans = table.join(starts, ["part", "seq"]).withColumn(
-        "block", F.explode(F.expr(f"sequence(first div {block}, (first + n_ids - 1) div {block})"))
+    spans = segment_starts(spark, path).join(
+        spark.read.schema(SEGMENT_SCHEMA).parquet(path).select("part", "seq", "n_ids"), ["part", "seq"]
     )
-    asked = places.select(F.col("place").cast("long").alias("place")).withColumn("block", F.expr(f"place div {block}"))
-    met = asked.join(spans, "block").filter("place >= first and place < first + n_ids")
-    grouped = met.groupBy("part", "seq", F.expr("pmod(xxhash64(place), 64)").alias("salt"))
+    spans = spans.withColumn("block", F.explode(F.expr(f"sequence(first div {block}, (first + n_ids - 1) div {block})")))
+    asked = places.select(F.col("place").cast("long").alias("place")).groupBy("place").agg(F.count("*").alias("times"))
+    met = asked.withColumn("block", F.expr(f"place div {block}")).join(spans, "block")
+    met = met.filter("place >= first and place < first + n_ids").groupBy("part", "seq", "first")
+    # Distinct places of a segment are at most as many as its ids.
+    wanted = met.agg(F.collect_list(F.struct("place", "times")).alias("wanted"))
+    table = spark.read.schema(SEGMENT_SCHEMA).parquet(path).select("part", "seq", "segment")
+    rows = wanted.join(table, ["part", "seq"]).select("first", "wanted", "segment")
 
-    def read(_, batch: pa.Table) -> pa.Table:
-        segment = Segment(batch.column("segment")[0].as_py())
-        ids = [segment[p - f] for p, f in zip(batch.column("place").to_pylist(), batch.column("first").to_pylist(), strict=True)]
-        return pa.table({"place": batch.column("place"), "id": pa.array(ids, pa.int64())})
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, wanted, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                segment = Segment(data)
+                at, times = [w["place"] for w in wanted], [w["times"] for w in wanted]
+                columns = [np.array(at, np.int64), np.array(times, np.int64), np.array([segment[p - first] for p in at], np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "times", "id"])
 
-    return grouped.applyInArrow(read, "place long, id long")
+    found = rows.mapInArrow(read, "place long, times long, id long")
+    return found.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("place", "id")

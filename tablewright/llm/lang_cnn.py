@@ -229,7 +229,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
 
 
-def in_known_language(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
+def in_known_language(docs: DataFrame, model: Model, least_score: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose text has a letter and a language of at least ``least_score``, unchanged.
 
     Without any language to know, every text with a letter stays.

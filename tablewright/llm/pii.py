@@ -337,12 +337,14 @@ def stitched(weights: Weights, texts: Sequence[np.ndarray], at_once: int = 512)
 def decode(weights: Weights, scores: np.ndarray) -> list[Span]:
     """Spans of the best tag sequence of one text, given its scores over tag 0.
 
-    A tag other than 0 whose score is below minus twice the largest gain of any transition is never on
-    the best path, so the text falls into stretches that are decoded one by one.
+    A tag is never on the best path if its score, with the largest gains of two transitions, is below the
+    smallest of going through tag 0 there. So the text falls into stretches that are decoded one by one.
     """
     step = weights["step"] - weights["step"][0, 0]
-    gain = max(float(step.max()), float((weights["first"] - weights["first"][0]).max()), float((weights["last"] - weights["last"][0]).max()), 0.0)
-    open_ = np.flatnonzero(scores.max(axis=1) >= -2 * gain)
+    ends = [weights["first"] - weights["first"][0], weights["last"] - weights["last"][0]]
+    most = max(float(x.max()) for x in (step, *ends))
+    least = min(float(step[:, 0].min()), 0.0) + min(float(step[0].min()), 0.0)
+    open_ = np.flatnonzero(scores.max(axis=1) >= least - 2 * max(most, 0.0))
     out: list[Span] = []
     if not len(open_):
         return out

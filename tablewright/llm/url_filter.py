@@ -121,7 +121,10 @@ def split_names(names: DataFrame, words: DataFrame, known: Sequence[str] = SEED_
 
 
 def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:
-    """(host, tokens): the words of the a-z runs of each host in order, and ``#`` for each run of digits."""
+    """(host, tokens): the distinct words of the a-z runs of each host, and ``#`` if it has digits.
+
+    A token counts once for a host and once for a path, so a url that repeats one cannot outweigh others.
+    """
     runs = hosts.select("host", F.posexplode(F.expr(r"regexp_extract_all(host, '([a-z]+|[0-9]+)', 1)")).alias("at", "name"))
     names = runs.filter("name rlike '^[a-z]'").select("name").distinct()
     split = split_names(names, words)
@@ -129,7 +132,7 @@ def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:
     placed = placed.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))
     found = placed.select("host", F.flatten(F.col("parts.words")).alias("tokens"))
     return hosts.select("host").join(found, "host", "left").select(
-        "host", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
+        "host", F.array_distinct(F.coalesce("tokens", F.array().cast("array<string>"))).alias("tokens")
     )
 
 
@@ -139,7 +142,7 @@ def path_shape(path: Column) -> Column:
 
 
 def path_tokens(shape: Column) -> Column:
-    return F.filter(F.split(shape, r"[\x00-\x22\x24-\x2F\x3A-\x60\x7B-\x7F]+"), lambda x: x != "")
+    return F.array_distinct(F.array_remove(F.split(shape, r"[\x00-\x22\x24-\x2F\x3A-\x60\x7B-\x7F]+"), ""))
 
 
 def fit_naive_bayes(examples: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float]:
