@@ -15,7 +15,7 @@ from tablewright.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those of which the network is less than half sure."""
+    """Drops texts without a letter, and those of which the network finds no language likely."""
     return lang_cnn.in_known_language(docs, lang_cnn.learn_languages(docs))
 
 
