@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 _swept: set[str] = set()
+_shipped: set[str] = set()
 
 
 def get_session(app: str = "tablewright", cores: int | None = None) -> SparkSession:
@@ -81,6 +86,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application.
+
+    Workers then import it without being started from its folder. The archive is made on the driver, and
+    Spark hands it to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tablewright-source-")
+    path = os.path.join(folder, "tablewright-source.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for place, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(place, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(root)))
+    context.addPyFile(path)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a scan by ``keys`` when its files split into too few tasks.
 
