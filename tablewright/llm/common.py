@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewright.session import share_package
+
 #: Texts handled together inside a task, in characters (UTF-8 bytes for Arrow buffers).
 BATCH_CHARS = 2_000_000
 
@@ -26,6 +28,12 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` by a function of this library, which workers can import wherever they run."""
+    share_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def with_more(docs: DataFrame, keep: Sequence[str], more: str) -> StructType:
     """The fields of ``keep`` as they are in ``docs``, then those of the DDL string ``more``."""
     return StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL(more).fields])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import slices, span_hashes, sub_batches, text_or_empty, utf8
+from tablewright.llm.common import map_arrow, slices, span_hashes, sub_batches, text_or_empty, utf8
 
 # Fixed values of the format.
 MAGIC = b"TDAC"
@@ -335,7 +335,7 @@ def write_codes(
         if doc_ids:
             yield close()
 
-    rows.mapInArrow(encode, SEGMENT_SCHEMA).write.parquet(path)
+    map_arrow(rows, encode, SEGMENT_SCHEMA).write.parquet(path)
 
 
 def segment_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -368,7 +368,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "seq", "doc_id", "place", "n_tokens", "ids_crc32"])
 
     table = spark.read.schema(SEGMENT_SCHEMA).parquet(path).select("part", "seq", "segment")
-    found = table.mapInArrow(read, "part int, seq long, doc_id long, place long, n_tokens long, ids_crc32 long")
+    found = map_arrow(table, read, "part int, seq long, doc_id long, place long, n_tokens long, ids_crc32 long")
     starts = segment_starts(spark, path)
     return found.join(starts, ["part", "seq"]).select(
         "doc_id", (F.col("first") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"
@@ -402,5 +402,5 @@ def read_ids(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
                 columns = [np.array(at, np.int64), np.array(times, np.int64), np.array([segment[p - first] for p in at], np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "times", "id"])
 
-    found = rows.mapInArrow(read, "place long, times long, id long")
+    found = map_arrow(rows, read, "place long, times long, id long")
     return found.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("place", "id")

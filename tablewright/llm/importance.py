@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import mix64, sub_batches, text_or_empty, with_more, word_hashes
+from tablewright.llm.common import map_arrow, mix64, sub_batches, text_or_empty, with_more, word_hashes
 from tablewright.session import materialize
 
 BUCKETS = 10_000
@@ -61,7 +61,7 @@ def gram_counts(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])], names=["bucket", "raw", "target"])
 
-    sums = rows.mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    sums = map_arrow(rows, run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in sums.collect():
         raw[r.bucket], target[r.bucket] = r.raw, r.target
@@ -89,7 +89,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, *keep: str) -> DataFrame:
                     [*(some.column(i) for i in range(len(keep))), pa.array(weight, pa.float64())], names=[*keep, "log_weight"]
                 )
 
-    return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*keep, text_or_empty().alias("_text")), run, schema)
 
 
 def gumbel(*key: str, seed: int) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import packed, sub_batches, text_or_empty, utf8, with_more
+from tablewright.llm.common import map_arrow, packed, sub_batches, text_or_empty, utf8, with_more
 
 WINDOW = 256
 OVERLAP = 8
@@ -226,7 +226,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                     names=[*keep, "lang_pred", "score"],
                 )
 
-    return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*keep, text_or_empty().alias("_text")), run, schema)
 
 
 def in_known_language(docs: DataFrame, model: Model, least_score: float = 0.3) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import mix64, text_or_empty
+from tablewright.llm.common import map_arrow, mix64, text_or_empty
 
 #: True for the byte pairs (as first * 256 + second) in front of a space after which a leaf may end.
 _CUT = (mix64(np.arange(65536, dtype=np.uint64) + np.uint64(1)) & np.uint64(7)) == 0
@@ -218,4 +218,4 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         if out:
             yield flush()
 
-    return rows.mapInArrow(run, SCHEMA)
+    return map_arrow(rows, run, SCHEMA)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import map_arrow
+
 from tablewright.session import materialize
 
 #: Longest word of the unigram model, and longest name that is split (the limit of a DNS label).
@@ -117,7 +119,7 @@ def split_names(names: DataFrame, words: DataFrame, known: Sequence[str] = SEED_
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["name", "words"])
 
-    return rows.mapInArrow(split, "name string, words array<string>")
+    return map_arrow(rows, split, "name string, words array<string>")
 
 
 def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:

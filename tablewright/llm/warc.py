@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import map_arrow
+
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 LINE_END = "\r\n"
@@ -117,7 +119,7 @@ def write_warc(
     )
     out = rows.select(record.alias("value"))
     if compress:
-        out = out.mapInArrow(_zipped, "value binary").select(F.col("value").cast("string").alias("value"))
+        out = map_arrow(out, _zipped, "value binary").select(F.col("value").cast("string").alias("value"))
     separator = "\0" if compress else LINE_END * 2
     out.write.option("lineSep", separator).option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -266,4 +268,4 @@ def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    return files.mapInArrow(read, schema)
+    return map_arrow(files, read, schema)
