@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import mix64, sub_batches, text_or_empty, word_hashes
+from tablewright.llm.common import map_arrow, mix64, sub_batches, text_or_empty, word_hashes
 from tablewright.llm.components import components
-from tablewright.session import materialize
+from tablewright.session import materialize, share_package
 
 SHINGLE = 5
 PERCENT = 75
@@ -41,9 +41,13 @@ BATCHES = 6
 #: Largest list of ids that is broadcast, in rows of 8 bytes.
 MOST_BROADCAST_ROWS = 4_000_000
 
-#: The last step compares all pairs that are left once they are at most so many per class.
-PAIRS_PER_CLASS = 4
-MOST_ROUNDS = 12
+#: The pairs that are left meet each other once they are at most so many per class, or once a further round
+#: with chosen members has left more than this share of them. Neither changes the result, only the work.
+PAIRS_PER_CLASS = 5000
+WORTH = 0.5
+
+#: Members of a larger bucket are compared inside tasks, block by block.
+SMALL_BUCKET = 48
 
 _SEEDS = mix64(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _TIMES = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -153,7 +157,7 @@ def sign(docs: DataFrame, rows: int = BAND_ROWS, percent: int = PERCENT, miss: f
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n long, cls long, bands array<long>, bits array<long>")
+    return map_arrow(texts, run, "doc_id long, n long, cls long, bands array<long>, bits array<long>")
 
 
 def _close_enough(a: str, b: str, percent: int, prune: float) -> Column:
@@ -201,7 +205,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                             keep.append(i)
                 yield some.select([0, 1]).take(pa.array(keep, pa.int32()))
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(rows, run, "a long, b long").distinct()
 
 
 def link_classes(signed: DataFrame, docs: DataFrame, percent: int = PERCENT, prune: float = PRUNE) -> tuple[DataFrame, DataFrame]:
@@ -216,9 +220,8 @@ def link_classes(signed: DataFrame, docs: DataFrame, percent: int = PERCENT, pru
     members = materialize(buckets.join(first.select("band", "lead"), "band").select("band", "cls", "lead"), "members")
 
     # One doc_id with several texts links their classes.
-    links = solid.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z")
-    links = solid.join(links, "doc_id").filter("cls > a").select("a", F.col("cls").alias("b")).distinct()
-    links = materialize(links, "links")
+    again = solid.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a < z")
+    links = materialize(solid.join(again, "doc_id").filter("cls > a").select("a", F.col("cls").alias("b")).distinct(), "links")
 
     def survivors(pairs: DataFrame) -> DataFrame:
         left = traits.select(F.col("cls").alias("a"), F.col("it").alias("x"))
@@ -226,17 +229,13 @@ def link_classes(signed: DataFrame, docs: DataFrame, percent: int = PERCENT, pru
         met = pairs.join(left, "a").join(right, "b").filter(_close_enough("x", "y", percent, prune))
         return met.select("a", "b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
 
-    tested = None
-    pairs = members.filter("cls > lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-    n_classes = classes.count()
-    for turn in range(MOST_ROUNDS):
-        alive = materialize(survivors(pairs), "candidates")
-        if tested is not None:
-            alive = alive.join(tested, ["a", "b"], "left_anti")
-        found = materialize(_verified(alive, docs, percent), "links")
-        links = links.unionByName(found)
-        done = alive.select("a", "b")
-        tested = done if tested is None else tested.unionByName(done)
+    # Round 0: every member of a bucket meets its smallest.
+    alive = materialize(survivors(members.filter("cls > lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()), "candidates")
+    tested = alive.select("a", "b")
+    links = links.unionByName(_verified(alive, docs, percent))
+    n_classes, before = classes.count(), float("inf")
+    while True:
+        links = materialize(links, "links")
         roots = materialize(components(links), "roots")
         placed = members.select("band", "cls").join(roots, F.col("cls") == F.col("node"), "left")
         placed = placed.select("band", "cls", F.coalesce("root", "cls").alias("root"))
@@ -246,22 +245,141 @@ def link_classes(signed: DataFrame, docs: DataFrame, percent: int = PERCENT, pru
         left_over = by_root.groupBy("band").agg(((F.sum("k") ** 2 - F.sum(F.col("k") ** 2)) / 2).alias("pairs"))
         count = left_over.agg(F.sum("pairs")).first()[0] or 0
         if not count:
+            return links, classes
+        if count <= PAIRS_PER_CLASS * n_classes or count > WORTH * before:
             break
-        if count <= PAIRS_PER_CLASS * n_classes or turn == MOST_ROUNDS - 1:
-            rich = members.join(traits, "cls")
-            left = rich.select("band", F.col("cls").alias("a"), F.col("root").alias("r"), F.col("it").alias("x"))
-            right = rich.select("band", F.col("cls").alias("b"), F.col("root").alias("q"), F.col("it").alias("y"))
-            met = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("r") != F.col("q")) & _close_enough("x", "y", percent, prune))
-            alive = met.select("a", "b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b")).distinct()
-            alive = alive.join(tested, ["a", "b"], "left_anti")
-            links = links.unionByName(materialize(_verified(alive, docs, percent), "links"))
-            break
+        before = count
         # Another member of each bucket meets those outside its component.
-        chance = F.xxhash64("cls", "band", F.lit(turn))
-        lead = members.groupBy("band").agg(F.min(F.struct(chance.alias("h"), "cls", "root")).alias("lead"))
+        lead = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("cls", "band", F.lit(count)).alias("h"), "cls", "root")).alias("lead"))
         pairs = members.join(lead, "band").filter("root != lead.root")
         pairs = pairs.select(F.least("cls", "lead.cls").alias("a"), F.greatest("cls", "lead.cls").alias("b")).distinct()
-    return links, classes
+        alive = materialize(survivors(pairs.join(tested, ["a", "b"], "left_anti")), "candidates")
+        tested = tested.unionByName(alive.select("a", "b"))
+        links = links.unionByName(_verified(alive, docs, percent))
+
+    # The rest meet each other: in small buckets by a join, each pair in the first band that it shares.
+    sizes = members.groupBy("band").agg(F.count("*").alias("k")).filter(F.col("k") > SMALL_BUCKET)
+    sizes = materialize(sizes.select(F.col("band").alias("big_band"), "k"), "big-buckets")
+    placed = members.join(sizes, F.col("band") == F.col("big_band"), "left")
+    rich = placed.filter("k is null").join(one.select("cls", F.struct("rep", "n", "bits", "bands").alias("it")), "cls")
+    left = rich.select("band", F.col("cls").alias("a"), F.col("root").alias("r"), F.col("it").alias("x"))
+    right = rich.select("band", F.col("cls").alias("b"), F.col("root").alias("q"), F.col("it").alias("y"))
+    shared = F.array_position(F.zip_with("x.bands", "y.bands", lambda u, v: u == v), F.lit(True))
+    here = F.array_position(F.col("x.bands"), F.col("band"))
+    apart = (F.col("a") < F.col("b")) & (F.col("r") != F.col("q"))
+    met = left.join(right, "band").filter(apart & _close_enough("x", "y", percent, prune)).filter(shared == here)
+    alive = met.select("a", "b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
+    found = materialize(_verified(alive.join(tested, ["a", "b"], "left_anti"), docs, percent), "links")
+    links = links.unionByName(found)
+    if sizes.isEmpty():
+        return links, classes
+    large = placed.filter("k is not null").select("band", "k", "cls", "root").join(one.select("cls", "rep", "n", "bits"), "cls")
+    return links.unionByName(materialize(_links_of_large(large, docs, percent, prune), "links")), classes
+
+
+def _tiles(rows: DataFrame, size: str, most: int) -> DataFrame:
+    """Rows of groups cut into blocks of about ``most``, once for each pair of blocks: columns i, j, block."""
+    blocks = F.ceil(F.col(size) / most).cast("int")
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _survivors_in_tile(table: pa.Table, percent: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs of a tile that stay candidates: of different components, and from its two blocks.
+
+    All pairs are compared by their first batch of bits; later batches look only at those that are left.
+    """
+    root, n, block = (_numbers(table, x) for x in ("root", "n", "block"))
+    bits = table.column("bits").combine_chunks().values.to_numpy().view(np.uint64).reshape(len(n), -1)
+    two = _numbers(table, "i")[0] != _numbers(table, "j")[0]
+    out_a, out_b = [], []
+    for start in range(0, len(n), 128):
+        rows = np.arange(start, min(start + 128, len(n)))
+        matches = BATCH_BITS - np.bitwise_count(bits[rows, None, 0] ^ bits[None, :, 0]).astype(np.int64)
+        ok = (matches >= least[0]) & (root[rows, None] != root[None])
+        ok &= (block[rows, None] < block[None]) if two else (rows[:, None] < np.arange(len(n))[None])
+        ok &= np.minimum(n[rows, None], n[None]) * 100 >= np.maximum(n[rows, None], n[None]) * percent
+        a, b = np.nonzero(ok)
+        seen = matches[a, b]
+        a = rows[a]
+        for k in range(1, BATCHES):
+            seen = seen + BATCH_BITS - np.bitwise_count(bits[a, k] ^ bits[b, k])
+            keep = seen >= least[k]
+            a, b, seen = a[keep], b[keep], seen[keep]
+        out_a.append(a)
+        out_b.append(b)
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def _links_of_large(large: DataFrame, docs: DataFrame, percent: int, prune: float) -> DataFrame:
+    """Links (a, b) inside large buckets, for rows (band, k, cls, root, rep, n, bits).
+
+    Pairs never become rows. Blocks of a bucket are compared by their bits inside a task, which gives a
+    spanning forest of the pairs that stay candidates. Its trees over all buckets are families of alike
+    texts; blocks of a family, now with their texts, are compared inside a task once more, and the
+    survivors verified there.
+    """
+    least = least_matches(percent, prune)
+
+    def forest(table):
+        a, b = _survivors_in_tile(table, percent, least)
+        label = np.arange(table.num_rows)
+        while len(a):
+            low = np.minimum(label[a], label[b])
+            before = label.copy()
+            np.minimum.at(label, a, low)
+            np.minimum.at(label, b, low)
+            label = label[label]
+            if np.array_equal(before, label):
+                break
+        cls = _numbers(table, "cls")
+        out = label != np.arange(len(label))
+        return pa.table({"a": pa.array(cls[out]), "b": pa.array(cls[label[out]])})
+
+    share_package(docs.sparkSession)
+    tiles = _tiles(large, "k", 2000).select("band", "i", "j", "block", "cls", "root", "n", "bits")
+    trees = materialize(tiles.groupBy("band", "i", "j").applyInArrow(forest, "a long, b long").distinct(), "trees")
+    family = materialize(components(trees).withColumnRenamed("root", "family"), "families")
+    sizes = family.groupBy("family").agg(F.count("*").alias("size"))
+    traits = large.select("cls", "root", "rep", "n", "bits").dropDuplicates(["cls"])
+    rows = traits.join(family.join(sizes, "family"), F.col("cls") == F.col("node")).drop("node")
+    rows = materialize(rows, "family-members")
+    wanted = rows.select(F.col("rep").alias("id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
+    few = rows.count() <= MOST_BROADCAST_ROWS
+    texts = texts.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    rows = rows.join(texts.dropDuplicates(["id", "text"]), F.col("rep") == F.col("id"))
+
+    def verify(table):
+        sets = shingle_sets(table.column("text").combine_chunks())
+        # A repeated doc_id brings all of its texts; only that of the class counts.
+        own = [set_key(s) == c for s, c in zip(sets, table.column("cls").to_pylist(), strict=True)]
+        table, sets = table.filter(pa.array(own)), [s for s, o in zip(sets, own, strict=True) if o]
+        cls = _numbers(table, "cls")
+        found = []
+        if table.num_rows:
+            a, b = _survivors_in_tile(table, percent, least)
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            cuts = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                mine, others = sets[a[start]], [sets[k] for k in b[start:end]]
+                lengths = np.array([len(x) for x in others])
+                joined = np.concatenate(others)
+                at = np.minimum(np.searchsorted(mine, joined), len(mine) - 1)
+                both = np.add.reduceat((mine[at] == joined).astype(np.int64), np.cumsum(lengths) - lengths)
+                good = 100 * both >= percent * (len(mine) + lengths - both)
+                found += [(cls[a[start]], cls[k]) for k in b[start:end][good]]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs.min(axis=1)), "b": pa.array(pairs.max(axis=1))})
+
+    tiles = _tiles(rows, "size", 500).select("family", "i", "j", "block", "cls", "root", "n", "bits", "text")
+    return tiles.groupBy("family", "i", "j").applyInArrow(verify, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS, prune: float = PRUNE) -> DataFrame:
