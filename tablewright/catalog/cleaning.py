@@ -63,7 +63,10 @@ def derive_per_label(spark, folder):
     return ops.derive_per_label(rows, {"high": share, "low": 1.0 - share}, 0.3).drop("value")
 
 
-@query("select md5('|' || cast(o_orderkey as varchar)) as uid, o_orderkey from orders")
+@query(
+    """select md5('|' || length(cast(o_orderkey as varchar)) || ':' || cast(o_orderkey as varchar)) as uid,
+    o_orderkey from orders"""
+)
 def surrogate_id(spark, folder):
     return ops.surrogate_id(table(spark, folder, "orders", "o_orderkey"), ["o_orderkey"])
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablewright.catalog.registry import (
     INCOME,
-    LABELED,
     LINE_KEY_SQL,
     RISK,
     bucket_sql,
@@ -82,15 +81,16 @@ def idf(spark, folder):
 
 def _weighted(key):
     """Weights from the labeled texts applied to the unlabeled ones."""
-    return f"""with {LABELED}, {WORDS},
-    tf as (select doc_id, {key} as unit, count(*) as tf from words group by all),
-    weights as (
+    return f"""with {WORDS},
+    tf as materialized (select doc_id, {key} as unit, count(*) as tf from words group by all),
+    known as materialized (select tf.unit, tf.doc_id from tf semi join labels on tf.doc_id = labels.doc_id),
+    weights as materialized (
       select unit,
              ln(((select count(*) from labels) + 1) / (count(*) + 1)::double) as idf
-      from tf where doc_id in (select doc_id from labels) group by unit)
+      from known group by unit)
     select tf.doc_id, tf.unit, tf.tf, round(idf, 6) as idf, round(tf.tf * idf, 6) as tfidf
-    from tf join weights on tf.unit = weights.unit
-    where tf.doc_id not in (select doc_id from labels)"""
+    from (select tf.* from tf anti join labels on tf.doc_id = labels.doc_id) tf
+    join weights on tf.unit = weights.unit"""
 
 
 def _train_and_test(spark, folder):

@@ -26,8 +26,16 @@ def hash_bucket(*keys, salt="", buckets: int = 100) -> Column:
 
 
 def stable_id(*keys, salt="") -> Column:
-    """128-bit row id derived from the key columns (as 32 hex digits)."""
-    return F.md5(_key_text(keys, salt))
+    """128-bit row id derived from the key columns (as 32 hex digits).
+
+    Every part is preceded by its length, nulls by a mark of their own, so that different keys
+    never give the same text.
+    """
+    parts = []
+    for k in keys:
+        text = _col(k).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws("|", F.lit(str(salt)), *parts))
 
 
 def tokens(text) -> Column:

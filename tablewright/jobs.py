@@ -37,7 +37,7 @@ def run_comments(spark: SparkSession, train: str, test: str, out: str) -> DataFr
     unlabeled = comments.clean_test(scan_csv_text(spark, test), COMMENTS.text)
     write_predictions(comments.predict_labels(rows, unlabeled, labels), f"{out}/predictions")
     written = spark.read.parquet(f"{out}/predictions")
-    return sample_fraction(written, [COMMENTS.key], 40).limit(50)
+    return sample_fraction(written, [COMMENTS.key], 40).orderBy(COMMENTS.key).limit(50)
 
 
 def run_risk(spark: SparkSession, path: str, out: str) -> DataFrame:

@@ -11,8 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.order_bins import add_order_bins
+from tablewright.operators.joins import union_all
+from tablewright.operators.order_bins import add_order_bins, bin_count
 from tablewright.operators.profile import histogram
+from tablewright.session import materialize
+
+#: Bins of a ranking per shuffle partition, so that hashing them to tasks evens out.
+BINS_PER_TASK = 16
 
 # --- confusion -------------------------------------------------------------
 
@@ -145,36 +150,35 @@ def weighted_f1(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # --- ranking ---------------------------------------------------------------
 
 
-def _ranked_bins(
-    df: DataFrame, label: str, score: str, by: Sequence[str], extra: Sequence[Column] = ()
-) -> DataFrame:
+def _ranked_bins(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Per group and score bin: positives, negatives, and pairs ordered right in the bin.
 
-    Equal scores are merged before the shuffle; ties count half.
+    Rows go to their bin in a single shuffle.  Scores that many rows share show up as repeated
+    cut points; only those are merged per task first.  Ties count half.
     """
+    value = F.col(label).cast("double")
     rows = df.select(
         *by,
-        F.col(label).cast("int").alias("_label"),
         F.col(score).cast("double").alias("_score"),
-        *extra,
-    ).filter(F.col("_label").isNotNull() & F.col("_score").isNotNull())
-    extra_names = rows.columns[len(by) + 2 :]
-    merged = (
-        add_order_bins(rows, ["_score"])
-        .groupBy(*by, "_score_bin", "_score")
-        .agg(
-            F.sum(F.when(F.col("_label") == 1, 1).otherwise(0)).alias("p"),
-            F.sum(F.when(F.col("_label") == 0, 1).otherwise(0)).alias("n"),
-            *[F.sum(c).alias(c) for c in extra_names],
-        )
-    )
+        F.when(value == 1, 1).otherwise(0).cast("bigint").alias("p"),
+        F.when(value == 0, 1).otherwise(0).cast("bigint").alias("n"),
+    ).filter("p + n = 1 and _score is not null and not isnan(_score)")
+    binned, common = add_order_bins(rows, ["_score"], bins=BINS_PER_TASK * bin_count(df.sparkSession), common=True)
+    if common:
+        often = F.col("_score").isin(common)
+        merged = binned.filter(often).groupBy(*by, "_score_bin", "_score")
+        merged = merged.agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+        binned = binned.filter(~often).unionByName(merged)
+    # From here on everything of a bin is in one task: no further shuffle.
+    by_score = binned.repartition(*by, "_score_bin").groupBy(*by, "_score_bin", "_score")
+    ties = by_score.agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     inside = Window.partitionBy(*by, "_score_bin").orderBy("_score")
     below = F.sum("n").over(inside) - F.col("n")
     pairs = F.col("p").cast("double") * (below + F.col("n") / 2)
     return (
-        merged.withColumn("pairs", pairs)
+        ties.withColumn("pairs", pairs)
         .groupBy(*by, "_score_bin")
-        .agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs", *extra_names)])
+        .agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
     )
 
 
@@ -193,8 +197,12 @@ def _area(p: str = "p", n: str = "n", pairs: str = "pairs") -> Column:
 
 
 def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve: share of (1, 0) pairs ranked right, ties half."""
-    bins = _with_lower_bins(_ranked_bins(df, label, score, by), by)
+    """Exact area under the ROC curve: share of (1, 0) pairs ranked right, ties half.
+
+    Rows with another label, or without a score (null or NaN), do not take part.
+    """
+    narrow = materialize(df.select(*by, label, score), "scores")
+    bins = _with_lower_bins(_ranked_bins(narrow, label, score, by), by)
     sums = bins.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
     return sums.select(*by, _area().alias("auc"))
 
@@ -202,34 +210,32 @@ def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
 def evaluate_model(
     df: DataFrame, label: str, prediction: str, score: str, by: Sequence[str] = ("model",)
 ) -> DataFrame:
-    """All five metrics of 0/1 classifiers in one aggregation: ``(*by, metric, value)``."""
-    actual = F.col(label).cast("int")
-    guess = F.col(prediction).cast("int")
-    hits = F.when((actual == 1) & (guess == 1), 1).otherwise(0).alias("tp")
-    alarms = F.when((actual == 0) & (guess == 1), 1).otherwise(0).alias("fp")
-    bins = _with_lower_bins(_ranked_bins(df, label, score, by, [hits, alarms]), by)
-    sums = bins.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs", "tp", "fp")])
-
-    p, n, tp, fp = (F.col(c) for c in ("p", "n", "tp", "fp"))
-    tn, fn = n - fp, p - tp
-    total = p + n
-    precision = {1: _ratio(tp, tp + fp), 0: _ratio(tn, tn + fn)}
-    recall = {1: _ratio(tp, p), 0: _ratio(tn, n)}
-    f1 = {c: _f1(precision[c], recall[c]) for c in (0, 1)}
-
-    def weighted(metric: dict[int, Column]) -> Column:
-        return (p * metric[1] + n * metric[0]) / total
-
-    wide = sums.select(
-        *by,
-        ((tp + tn) / total).alias("accuracy"),
-        weighted(precision).alias("weightedPrecision"),
-        weighted(recall).alias("weightedRecall"),
-        weighted(f1).alias("f1"),
-        _area().alias("areaUnderROC"),
+    """All five metrics of classifiers: ``(*by, metric, value)``.
+
+    Accuracy, precision, recall and F1 count every row with a label, over all classes; a missing
+    prediction is an error.  The area under the ROC curve is that of class 1 against class 0.
+    """
+    rows = df.select(
+        *by, F.col(label).alias("_label"), F.col(prediction).alias("_guess"), F.col(score).alias("_score")
     )
-    metrics = [c for c in wide.columns if c not in set(by)]
-    return wide.unpivot(list(by), metrics, "metric", "value")
+    rows = materialize(rows.filter(F.col("_label").isNotNull()), "evaluated")
+    counts = rows.groupBy(*by, F.col("_label").alias("target"), F.col("_guess").alias("prediction"))
+    counts = materialize(counts.agg(F.count(F.lit(1)).alias("count")), "confusion")
+    area = auc_roc(rows, "_label", "_score", by)
+    if by:  # a group without a scored pair has no area, but a row
+        area = counts.select(*by).distinct().join(area, list(by), "left")
+    parts = {
+        "accuracy": accuracy(counts, by),
+        "weightedPrecision": weighted_precision(counts, by),
+        "weightedRecall": weighted_recall(counts, by),
+        "f1": weighted_f1(counts, by),
+        "areaUnderROC": area,
+    }
+    long = [
+        part.select(*by, F.lit(name).alias("metric"), F.col(part.columns[-1]).alias("value"))
+        for name, part in parts.items()
+    ]
+    return union_all(*long)
 
 
 def compare_models(metrics: DataFrame, models: Sequence[str]) -> DataFrame:

@@ -28,6 +28,9 @@ from tablewright.session import materialize
 # Fixed value: size of the hashed text features.
 TEXT_FEATURES = 10_000
 
+# Largest dictionary that is broadcast, in rows of about 100 bytes.
+MOST_BROADCAST_ROWS = 500_000
+
 # --- text, as tables -------------------------------------------------------
 
 
@@ -87,30 +90,27 @@ def tf_idf(tf: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     Common words make up most of the rows, so the join spreads them over many tasks.
     Terms without a weight, unseen in training, drop out.
     """
-    joined = lookup_hot_keys(tf, weights, "term", rows="df", spread_by=key)
+    joined = lookup_hot_keys(tf, weights, "term", spread_by=key)
     return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def hashed_tf_idf(tf: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """``(key, slot, tf, idf, tfidf)`` on hashed slots.
 
-    The weight table has at most one row per slot, whatever the size of the text.
+    The weight table has at most one row per slot; it is broadcast if it is counted to be small.
     """
-    joined = tf.join(F.broadcast(weights.select("slot", "idf")), "slot")
+    joined = tf.join(_small(weights.select("slot", "idf"), weights.count()), "slot")
     return joined.select(key, "slot", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 # --- categories, as tables -------------------------------------------------
 
-MOST_CATEGORIES = 100_000
-
-
-def string_index(df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> DataFrame:
+def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, category, n, idx)``: categories numbered from most to least frequent.
 
     Ties are numbered alphabetically; nulls are no category.  One pass counts all columns.
-    Each category is to become a slot of a feature vector, so a column with more than
-    ``most`` of them is an error (hash it instead); that also bounds the sort per column.
+    The counts are range-partitioned in that order; each part numbers its own rows, and the
+    few sizes of the parts give where its numbers start.  So any number of categories works.
     """
     long = df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "category"
@@ -121,31 +121,43 @@ def string_index(df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGOR
         .agg(F.count(F.lit(1)).alias("n")),
         "categories",
     )
-    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
-    too_many = [r["column"] for r in sizes.filter(F.col("size") > most).collect()]
-    if too_many:
-        raise ValueError(f"more than {most} categories in {too_many}")
-    by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), "category")
-    return counts.select(
-        "column", "category", "n", (F.row_number().over(by_count) - 1).alias("idx")
+    order = ["column", F.col("n").desc(), "category"]
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = materialize(
+        counts.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
+        "ordered-categories",
     )
+    sizes = placed.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("column", "_part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("column", "_part").orderBy(F.col("n").desc(), "category")
+    numbered = placed.withColumn("_nth", F.row_number().over(inside)).join(starts, ["column", "_part"])
+    return numbered.select(
+        "column", "category", "n", (F.col("_start") + F.col("_nth") - 1).cast("int").alias("idx")
+    )
+
+
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """The table, hinted for a broadcast if it has no more than ``MOST_BROADCAST_ROWS`` rows."""
+    return F.broadcast(table) if rows <= MOST_BROADCAST_ROWS else table
 
 
 def apply_index(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_idx`` for every column; unseen and null values get the next free index.
 
-    The dictionary of each column is bounded by :func:`string_index`, so all joins are
-    broadcast joins in the task that reads the rows.
+    Dictionaries counted to be small are broadcast, so rows are not shuffled for them.
     """
+    sizes = dictionary.filter(F.col("column").isin(list(columns))).groupBy("column")
+    sizes = {r["column"]: r["n"] for r in sizes.agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         mine = dictionary.filter(F.col("column") == c)
         lookup = mine.select(F.col("category").alias(c), F.col("idx").alias(f"{c}_idx"))
-        unknown = mine.agg(F.count(F.lit(1)).cast("int")).scalar()
+        known = sizes.get(c, 0)
         out = (
-            out.join(F.broadcast(lookup), out[c].cast("string") == lookup[c], "left")
+            out.join(_small(lookup, known), out[c].cast("string") == lookup[c], "left")
             .drop(lookup[c])
-            .withColumn(f"{c}_idx", F.coalesce(f"{c}_idx", unknown))
+            .withColumn(f"{c}_idx", F.coalesce(f"{c}_idx", F.lit(known)))
         )
     return out
 
@@ -160,8 +172,8 @@ def one_hot(
     long = df.select(*key, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         list(key), list(columns), "column", "category"
     )
-    known = F.broadcast(dictionary.select("column", "category", F.col("idx").alias("slot")))
-    return long.join(known, ["column", "category"]).select(
+    known = dictionary.select("column", "category", F.col("idx").alias("slot"))
+    return long.join(_small(known, dictionary.count()), ["column", "category"]).select(
         *key, "column", "slot", F.lit(1.0).alias("value")
     )
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import materialize
+
 
 def union_all(*tables: DataFrame) -> DataFrame:
     """All rows of all tables, duplicates kept, columns matched by name."""
@@ -34,27 +36,28 @@ def lookup_hot_keys(
     facts: DataFrame,
     table: DataFrame,
     key: str,
-    rows: str,
     spread_by: str,
     hot_share: float = 0.001,
-    copies: int = 64,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner-join ``facts`` to a table with one row per key, though few keys hold most rows.
+    """Join ``facts`` to a table with one row per key, though few keys hold most rows.
 
-    ``table`` holds in ``rows`` how many fact rows each key has, and should be
-    materialized, as it is read three times.  A key with more than ``hot_share`` of all fact rows is
-    split over ``copies`` tasks by a hash of ``spread_by``; there are fewer than
-    ``1 / hot_share`` such keys, so their list is small enough to broadcast.
+    Hot keys are counted on the facts, known to the table or not.  A key with more than
+    ``hot_share`` of all rows is split over as many tasks as it has such shares, by a hash of
+    ``spread_by``; there are fewer than ``1 / hot_share`` such keys, so their list is small
+    enough to broadcast.  Null keys are spread as well; ``how`` is ``inner`` or ``left``.
     """
-    total = table.agg(F.sum(rows)).scalar()
-    is_hot = F.col(rows) > F.lit(hot_share) * total
-    hot = table.filter(is_hot).select(key, F.lit(True).alias("_hot"))
-    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(copies))).otherwise(F.lit(0))
-    salted = (
-        facts.join(F.broadcast(hot), key, "left")
-        .withColumn("_part", part.cast("int"))
-        .drop("_hot")
+    counts = materialize(facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    copies = F.ceil(F.col("_n") / F.lit(max(hot_share * total, 1.0))).cast("int")
+    hot = counts.filter(F.col("_n") > hot_share * total).select(
+        F.col(key).alias("_hot"), copies.alias("_copies")
     )
-    last = F.when(is_hot, F.lit(copies - 1)).otherwise(F.lit(0))
-    spread = table.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    return salted.join(spread, [key, "_part"], "inner").drop("_part")
+    hot = materialize(hot, "hot-keys")
+    part = F.pmod(F.xxhash64(spread_by), F.coalesce("_copies", F.lit(1))).cast("int")
+    salted = facts.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    salted = salted.withColumn("_part", part).drop("_hot", "_copies")
+    spread = table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    last = F.coalesce("_copies", F.lit(1)) - 1
+    spread = spread.withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_hot", "_copies")
+    return salted.join(spread, [key, "_part"], how).drop("_part")

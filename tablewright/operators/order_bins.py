@@ -10,6 +10,7 @@ the work: the results do not depend on them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
@@ -27,19 +28,28 @@ def bin_count(spark: SparkSession) -> int:
 
 
 def add_order_bins(
-    df: DataFrame, columns: Sequence[str], suffix: str = "_bin", bins: int | None = None
-) -> DataFrame:
+    df: DataFrame,
+    columns: Sequence[str],
+    suffix: str = "_bin",
+    bins: int | None = None,
+    common: bool = False,
+):
     """Add ``<column><suffix>``: bin numbers that rise with the (double) column.
 
-    Runs one pass over ``df`` for the quantile sketches; only the cut points come back.
+    Runs one pass over ``df`` for the quantile sketches; only the cut points come back.  With
+    ``common`` also returns the values of the first column that are a cut point more than once.
     """
     bins = bins or bin_count(df.sparkSession)
-    splits = [[-INF, *_inner(cuts), INF] for cuts in _cut_points(df, columns, bins)]
+    cuts = _cut_points(df, columns, bins)
+    splits = [[-INF, *_inner(c), INF] for c in cuts]
     names = [c + suffix for c in columns]
     binned = Bucketizer(
         inputCols=list(columns), outputCols=names, splitsArray=splits, handleInvalid="keep"
     ).transform(df)
-    return binned.withColumns({n: F.col(n).cast("int") for n in names})
+    binned = binned.withColumns({n: F.col(n).cast("int") for n in names})
+    if not common:
+        return binned
+    return binned, sorted({a for a, b in pairwise(sorted(cuts[0])) if a == b})
 
 
 def _cut_points(df: DataFrame, columns: Sequence[str], bins: int) -> list[Sequence[float]]:

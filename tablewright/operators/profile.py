@@ -9,8 +9,6 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,53 +104,31 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str)
     )
 
 
-# One aggregation of many ``corr`` calls runs out of generated code and crawls.
-FEW_PAIRS = 10
-
-CORRELATIONS = "row string, col string, corr double"
-
-
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(row, col, corr)`` over the rows where both values are present.
 
-    Many pairs of columns without gaps come from one pass of the matrix routine of
-    ``pyspark.ml``; pairs with gaps are computed a few at a time.
+    Each row gives its value pairs as rows, which are summed up per task: one pass, one row per
+    pair and task in the shuffle, for any number of pairs.
     """
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "row string, col string, corr double")
     used = sorted({c for pair in pairs for c in pair})
     plain = [F.col(c).cast("double").alias(c) for c in used]
     numbers = df.select(*plain).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in used])
-    if len(pairs) <= FEW_PAIRS:
-        return _corr_aggregates(numbers, pairs)
-    present = numbers.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in used])
-    counts = present.first()
-    full = [c for c in used if counts[c] == counts["_rows"]]
-    parts = [_corr_matrix(numbers, full, [p for p in pairs if set(p) <= set(full)])]
-    gaps = [p for p in pairs if not set(p) <= set(full)]
-    for i in range(0, len(gaps), FEW_PAIRS):
-        parts.append(_corr_aggregates(numbers, gaps[i : i + FEW_PAIRS]))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def _corr_aggregates(numbers: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    wide = numbers.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"c{i}").alias("corr"))
+        F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
         for i, (a, b) in enumerate(pairs)
     ]
-    return wide.select(F.inline(F.array(*cells)))
-
-
-def _corr_matrix(
-    numbers: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]
-) -> DataFrame:
-    rows = []
-    if pairs:
-        vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numbers)
-        matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
-        at = {c: i for i, c in enumerate(columns)}
-        rows = [(a, b, float(matrix[at[a], at[b]])) for a, b in pairs]
-    found = numbers.sparkSession.createDataFrame(rows, CORRELATIONS)
-    return found.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+    both = numbers.select(F.inline(F.array(*cells))).filter("x is not null and y is not null")
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    found = both.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("corr"))
+    rows, cols = F.lit([a for a, _ in pairs]), F.lit([b for _, b in pairs])
+    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    return every.join(found, "pair", "left").select(
+        F.element_at(rows, F.col("pair") + 1).alias("row"),
+        F.element_at(cols, F.col("pair") + 1).alias("col"),
+        F.when(~F.isnan("corr"), F.col("corr")).alias("corr"),
+    )
 
 
 # --- exact quantiles -------------------------------------------------------
@@ -258,8 +234,14 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, extremes and exact quartiles per column."""
+    """Count, mean, standard deviation, extremes and exact quartiles per column.
+
+    Nulls and NaNs do not count.
+    """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = materialize(
+        numbers.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns]), "numbers"
+    )
     moments = numbers.agg(
         *[
             F.struct(
@@ -275,7 +257,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).select(F.inline(F.array(*columns)))
     # Both sides hold one row per profiled column.
     return moments.join(
-        F.broadcast(quantiles(df, columns, QUARTILES)), "feature", "left"
+        F.broadcast(quantiles(numbers, columns, QUARTILES)), "feature", "left"
     ).select("feature", "n", "mean", "std", "min", *QUARTILES, "max")
 
 
@@ -320,14 +302,19 @@ def histogram(
     low: float | None = None,
     high: float | None = None,
     by: str | None = None,
+    own_range: bool = False,
 ) -> DataFrame:
     """Equal-width bins with their counts, empty bins included: ``([by], bin, low, high, n)``.
 
     Without bounds the range of the data is used.  Values outside the bounds do not
-    count; the last bin includes its upper end.
+    count, nor do NaNs; the last bin includes its upper end.  With ``own_range`` every
+    group of ``by`` has the bins of its own range.
     """
     keep = [by] if by else []
     numbers = df.select(*keep, F.col(column).cast("double").alias("value"))
+    numbers = numbers.filter(~F.isnan("value"))
+    if own_range:
+        return _own_bins(numbers, keep, bins)
     if low is None or high is None:
         ends = numbers.agg(F.min("value"), F.max("value")).first()
         low = ends[0] if low is None else low
@@ -340,6 +327,32 @@ def histogram(
     return _fixed_bins(numbers, keep, bins, low, high)
 
 
+def _own_bins(numbers: DataFrame, keep, bins: int) -> DataFrame:
+    """Bin counts per group, each group cut at its own range."""
+    ends = numbers.filter("value is not null").groupBy(*keep).agg(
+        F.min("value").alias("_low"), F.max("value").alias("_high")
+    )
+    single = F.col("_low") == F.col("_high")
+    ends = ends.select(
+        *keep,
+        F.when(single, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
+        F.when(single, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
+    )
+    ends = materialize(ends, "ranges")
+    width = (F.col("_high") - F.col("_low")) / bins
+    place = F.least(F.floor((F.col("value") - F.col("_low")) / width).cast("int"), F.lit(bins - 1))
+    found = numbers.filter("value is not null").join(ends, keep).groupBy(*keep, place.alias("bin"))
+    found = found.agg(F.count(F.lit(1)).alias("n"))
+    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(found, [*keep, "bin"], "left").select(
+        *keep,
+        "bin",
+        (F.col("_low") + F.col("bin") * width).alias("low"),
+        (F.col("_low") + (F.col("bin") + 1) * width).alias("high"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+    )
+
+
 def _fixed_bins(numbers: DataFrame, keep, bins: int, low: float, high: float) -> DataFrame:
     """Bin counts of the column ``value`` per ``keep`` group, zeros filled in."""
     width = (high - low) / bins

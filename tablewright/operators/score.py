@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import sigmoid, vector_element
 from tablewright.operators.features import sum_columns
+from tablewright.operators.joins import lookup_hot_keys
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -48,16 +49,13 @@ def score_linear(
     return df.withColumn(name, sigmoid(sum_columns([F.lit(float(intercept)), *terms])))
 
 
-def weights_of(coefficients: DataFrame, most: int = 1_000) -> tuple[dict[str, float], float]:
+def weights_of(coefficients: DataFrame) -> tuple[dict[str, float], float]:
     """Weights and intercept of a coefficient table, for :func:`score_linear`.
 
-    The table is read to the driver and must not exceed ``most`` features.
+    The table has a row per feature of a fitted model, which is on the driver anyway.
     """
-    rows = coefficients.select("feature", "coefficient").limit(most + 2).collect()
-    found = {r["feature"]: r["coefficient"] for r in rows}
+    found = {r["feature"]: r["coefficient"] for r in coefficients.select("feature", "coefficient").collect()}
     intercept = found.pop("intercept", 0.0)
-    if len(found) > most:
-        raise ValueError(f"more than {most} weights: use score_linear_long")
     return found, intercept
 
 
@@ -66,20 +64,15 @@ def score_linear_long(
 ) -> DataFrame:
     """The same score from a long ``(key, feature, value)`` table: ``(key, z, score)``.
 
-    ``weights`` holds ``(feature, weight)``.  Whether it is broadcast is up to its size.
-    Products are summed per task before the shuffle by key.
+    ``weights`` holds ``(feature, weight)``; features without a weight add nothing.  As in
+    :func:`score_linear`, a null value of a weighted feature makes the score null.  Features that
+    many rows share are spread over many tasks; products are summed per task before the shuffle by key.
     """
-    return (
-        values.join(weights, feature, "left")
-        .groupBy(key)
-        .agg(
-            (
-                F.lit(float(intercept))
-                + F.sum(F.col(value) * F.coalesce(F.col("weight"), F.lit(0.0)))
-            ).alias("z")
-        )
-        .withColumn("score", sigmoid("z"))
-    )
+    joined = lookup_hot_keys(values, weights, feature, spread_by=key, how="left")
+    product = F.when(F.col("weight").isNotNull(), F.col(value) * F.col("weight")).otherwise(F.lit(0.0))
+    unknown = F.max(F.col("weight").isNotNull() & F.col(value).isNull())
+    z = F.when(~unknown, F.lit(float(intercept)) + F.sum(product))
+    return joined.groupBy(key).agg(z.alias("z")).withColumn("score", sigmoid("z"))
 
 
 def threshold_predict(

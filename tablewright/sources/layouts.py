@@ -88,6 +88,16 @@ RESULTS: dict[str, T.StructType] = {
             T.StructField("value", T.DoubleType()),
         ]
     ),
+    "run_metrics": T.StructType(
+        [T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())]
+    ),
+    "classifier_metrics": T.StructType(
+        [
+            T.StructField("classifier", T.StringType()),
+            T.StructField("metric", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+        ]
+    ),
     "coefficients": T.StructType(
         [
             T.StructField("feature", T.StringType()),
@@ -102,3 +112,24 @@ RESULTS: dict[str, T.StructType] = {
         ]
     ),
 }
+
+
+def _label_prediction_type(name: str) -> T.DataType:
+    if name == "UID":
+        return T.LongType()
+    if name.startswith("proba_"):
+        return T.FloatType()
+    return T.DoubleType() if name.startswith("pred_") else T.StringType()
+
+
+def _sample_prediction_type(name: str) -> T.DataType:
+    # The columns besides the features, and their types.
+    fixed = {"target": T.IntegerType(), "prediction": T.DoubleType(), "risk": T.FloatType()}
+    return fixed.get(name, T.DoubleType())
+
+
+# Result tables whose columns depend on the task: types by column name.
+NAMED_TYPES = {
+    "label_predictions": _label_prediction_type,
+    "sample_predictions": _sample_prediction_type,
+}

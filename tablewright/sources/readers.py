@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.sources.layouts import RESULTS, string_fields
+from tablewright.sources.layouts import NAMED_TYPES, RESULTS, string_fields
 
 
 def _read_with_header(
     spark: SparkSession, path: str, schema: T.StructType | None, options: dict
 ) -> DataFrame:
-    """Take the column names from the header line, and their types from ``schema`` by name."""
-    options = {"header": True, "mode": "PERMISSIVE", **options}
+    """Take the column names from the header line, and their types from ``schema`` by name.
+
+    All files must have the same header: one that names or orders its columns differently is an error.
+    """
+    options = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False, **options}
     names = spark.read.options(**options).csv(path).columns
     fields = {f.name: f for f in schema or []}
     missing = sorted(set(fields) - set(names))
@@ -27,7 +30,7 @@ def _read_with_header(
 def scan_csv_header(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """CSV with a header line, in any column order.
+    """CSV with a header line, in any column order that all files share.
 
     Columns not in ``schema`` are text; fields that do not parse are null.
     """
@@ -73,10 +76,20 @@ def scan_by_uri(
 
 
 def read_results(spark: SparkSession, path: str, kind: str, fmt: str = "csv") -> DataFrame:
-    """Read a result table of a known kind (see ``RESULTS``) back with its types.
+    """Read a result table of a known kind back with its types.
 
-    A CSV whose header does not name the expected columns is an error.
+    Kinds are those of ``RESULTS``, and ``label_predictions`` and ``sample_predictions``, whose
+    columns depend on the labels and features: the types follow from the names.  A CSV whose
+    header does not name the expected columns is an error.
     """
+    if kind in NAMED_TYPES:
+        names = spark.read.format(fmt).option("header", True).load(path).columns
+        types = [NAMED_TYPES[kind](n) for n in names]
+        schema = T.StructType([T.StructField(n, t) for n, t in zip(names, types, strict=True)])
+        reader = spark.read.schema(schema)
+        if fmt == "csv":
+            reader = reader.option("header", True).option("enforceSchema", False)
+        return reader.format(fmt).load(path)
     reader = spark.read.schema(RESULTS[kind])
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)

@@ -34,11 +34,6 @@ def test_string_index_equals_stage(spark, letters):
     assert {r["c_idx"] for r in ours.filter("i >= 90").collect()} == {4}
 
 
-def test_string_index_refuses_too_many(spark, letters):
-    with pytest.raises(ValueError, match="more than 3"):
-        features.string_index(letters, ["c"], most=3)
-
-
 def test_one_hot_equals_stages(spark, letters):
     stages = features.table_stages(["c"], [])
     more = letters.union(spark.createDataFrame([(90, "zzz"), (91, None)], letters.schema))
@@ -123,7 +118,7 @@ def test_hot_lookup_is_an_inner_join(spark, share):
         facts.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 'k7'").withColumn("w", F.length("k")),
         "hot",
     )
-    got = lookup_hot_keys(facts, table, "k", "n", "id", hot_share=share, copies=5)
+    got = lookup_hot_keys(facts, table, "k", "id", hot_share=share)
     want = facts.join(table, "k")
     columns = ["id", "k", "w"]
     assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
