@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import packed, slices, text_or_empty, with_more
+from tablewright.llm.common import map_arrow, packed, slices, text_or_empty, with_more
+from tablewright.session import materialize
 
 # The kinds in the order of the report, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -87,12 +88,13 @@ def span_text(spans: Sequence[Span]) -> str:
 
 WINDOW = 512
 OVERLAP = 64
-HIDDEN = 8
+HIDDEN = 6
 TAGS = 1 + len(KINDS)  # 0 is outside
 
-#: Training sample: texts with labelled spans and texts without, chosen by a hash of doc_id, and the
-#: characters around a span that a training window has.
-TEXTS_WITH = 500
+#: Training sample: documents looked at, texts with labelled spans and texts without taken from them, and the
+#: characters of a training window.
+SAMPLE = 8000
+TEXTS_WITH = 400
 TEXTS_WITHOUT = 300
 TRAIN_WINDOW = 96
 
@@ -305,8 +307,8 @@ def train(texts: Sequence[str], epochs: int = 12, seed: int = 11, rate: float =
 # --- decoding ---
 
 
-def stitched(weights: Weights, texts: Sequence[np.ndarray], at_once: int = 512) -> np.ndarray:
-    """Scores of every tag over those of tag 0, (characters of all texts, TAGS - 1)."""
+def stitched(weights: Weights, texts: Sequence[np.ndarray], at_once: int = 1024) -> np.ndarray:
+    """Scores of every tag over those of tag 0, (TAGS - 1, characters of all texts)."""
     step, half = WINDOW - OVERLAP, OVERLAP // 2
     places: list[tuple[int, int, int, int]] = []  # first and end of the characters it decides, of its codes
     base = 0
@@ -318,7 +320,7 @@ def stitched(weights: Weights, texts: Sequence[np.ndarray], at_once: int = 512)
             places.append((base + (s + half if s else 0), base + (end if end == n else end - half), base + s, base + end))
         base += n
     whole = np.concatenate([*texts, np.full(WINDOW, _PAD, np.uint8)])
-    out = np.empty((base, TAGS - 1), np.float32)
+    out = np.empty((TAGS - 1, base), np.float32)
     # Windows of like length go together, so short texts are not padded much.
     order = sorted(range(len(places)), key=lambda i: places[i][3] - places[i][2])
     for a in range(0, len(order), at_once):
@@ -328,29 +330,36 @@ def stitched(weights: Weights, texts: Sequence[np.ndarray], at_once: int = 512)
         sizes = np.array([p[3] - p[2] for p in mine])
         some[np.arange(longest) >= sizes[:, None]] = _PAD
         scores = emissions(weights, some)
-        scores = np.ascontiguousarray((scores[:, 1:] - scores[:, :1]).transpose(2, 0, 1))
+        scores = np.ascontiguousarray((scores[:, 1:] - scores[:, :1]).transpose(1, 2, 0))
         for k, (first, end, start, _) in enumerate(mine):
-            out[first:end] = scores[k, first - start : end - start]
+            out[:, first:end] = scores[:, k, first - start : end - start]
     return out
 
 
 def decode(weights: Weights, scores: np.ndarray) -> list[Span]:
-    """Spans of the best tag sequence of one text, given its scores over tag 0.
+    """Spans of the best tag sequence of one text, given its scores over tag 0, (TAGS - 1, characters).
 
-    A tag is never on the best path if its score, with the largest gains of two transitions, is below the
-    smallest of going through tag 0 there. So the text falls into stretches that are decoded one by one.
+    A run of other tags is worth its scores, a transition inside for each character but one, and one in and
+    one out. Characters in no interval that could be worth more than nothing, at the largest transitions,
+    have tag 0 on the best path. So the text falls into stretches that are decoded one by one.
     """
     step = weights["step"] - weights["step"][0, 0]
-    ends = [weights["first"] - weights["first"][0], weights["last"] - weights["last"][0]]
-    most = max(float(x.max()) for x in (step, *ends))
-    least = min(float(step[:, 0].min()), 0.0) + min(float(step[0].min()), 0.0)
-    open_ = np.flatnonzero(scores.max(axis=1) >= least - 2 * max(most, 0.0))
+    first, last = weights["first"] - weights["first"][0], weights["last"] - weights["last"][0]
+    inside = float(step[1:, 1:].max())
+    in_and_out = max(float(step[0, 1:].max()), float(first[1:].max())) + max(float(step[1:, 0].max()), float(last[1:].max()))
+    n = scores.shape[1]
+    if not n:
+        return []
+    sums = np.zeros(n + 1)
+    np.cumsum(scores.max(axis=0) + np.float32(inside), dtype=np.float64, out=sums[1:])
+    best = np.maximum.accumulate(sums[:0:-1])[::-1] - np.minimum.accumulate(sums[:-1])
+    open_ = np.flatnonzero(best + in_and_out - inside > -0.01)
     out: list[Span] = []
     if not len(open_):
         return out
     breaks = np.flatnonzero(np.diff(open_) > 1)
     for a, b in zip(open_[np.concatenate(([0], breaks + 1))].tolist(), open_[np.concatenate((breaks, [len(open_) - 1]))].tolist(), strict=True):
-        out += _decode_stretch(weights, step, scores[a : b + 1], a, a == 0, b == len(scores) - 1)
+        out += _decode_stretch(weights, step, scores[:, a : b + 1].T, a, a == 0, b == n - 1)
     return out
 
 
@@ -408,20 +417,32 @@ def added_spans(text: str, found: Sequence[Span], base: Sequence[Span]) -> list[
 SCHEMA = "base string, spans string"
 
 
-def training_texts(docs: DataFrame, with_spans: int = TEXTS_WITH, without: int = TEXTS_WITHOUT, most_chars: int = 4000) -> list[str]:
-    """A bounded sample: texts that may hold spans, and others, with the smallest hashes of doc_id.
-
-    Of each text a stretch of ``most_chars`` around its first ``@`` or long number is taken.
+def training_texts(
+    docs: DataFrame, sample: int = SAMPLE, with_spans: int = TEXTS_WITH, without: int = TEXTS_WITHOUT, most_chars: int = 4000
+) -> list[str]:
+    """A bounded sample: of the ``sample`` documents with the smallest hashes of doc_id, at most so many
+    texts with labelled spans and so many without, and of each ``most_chars`` around its first span.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    likely = F.col("text").rlike(r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9]|[0-9]{12}|[0-9]\.[0-9]+\.[0-9]")
+    ids = [r.doc_id for r in known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).collect()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, found = [], []
+            for text in batch.column(2).to_pylist():
+                spans = base_spans(text)
+                start = max(0, min(s[1] for s in spans) - most_chars // 2) if spans else 0
+                parts.append(text[start : start + most_chars])
+                found.append(bool(spans))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(parts, pa.string()), pa.array(found, pa.bool_())], names=["h", "doc_id", "part", "found"]
+            )
+
+    rows = known.filter(F.col("doc_id").isin(ids)).select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("long"), "text")
+    rows = materialize(map_arrow(rows, cut, "h long, doc_id long, part string, found boolean"), "pii-sample")
     texts: list[str] = []
-    for rows, most in ((known.filter(likely), with_spans), (known.filter(~likely), without)):
-        ids = [r.doc_id for r in rows.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(most).collect()]
-        at = F.greatest(F.regexp_instr("text", F.lit(r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9]|[0-9]{12}|[0-9]\.[0-9]+\.[0-9]")) - most_chars // 2, F.lit(1))
-        part = F.substring(F.col("text"), at, F.lit(most_chars))
-        found = known.filter(F.col("doc_id").isin(ids)).select("doc_id", part.alias("text")).orderBy("doc_id", "text").limit(2 * most).collect()
-        texts += [r.text for r in found]
+    for some, most in ((rows.filter("found"), with_spans), (rows.filter("not found"), without)):
+        texts += [r.part for r in some.orderBy("h", "doc_id", "part").limit(most).collect()]
     return texts
 
 
@@ -432,7 +453,7 @@ def learn(docs: DataFrame) -> Model | None:
 
 def find_all(texts: list[str], model: Model | None) -> Iterator[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
-    for a, b in slices([len(t) for t in texts], 400_000):
+    for a, b in slices([len(t) for t in texts], 1_000_000):
         some = texts[a:b]
         base = [base_spans(t) for t in some]
         if model is None:
@@ -442,7 +463,7 @@ def find_all(texts: list[str], model: Model | None) -> Iterator[tuple[list[Span]
         scores = stitched(model.weights, cut)
         at = 0
         for text, mine in zip(some, base, strict=True):
-            found = decode(model.weights, scores[at : at + len(text)])
+            found = decode(model.weights, scores[:, at : at + len(text)])
             at += len(text)
             yield mine, added_spans(text, found, mine) if found else []
 
@@ -468,7 +489,7 @@ def detect(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
                 names=[*keep, "base", "spans"],
             )
 
-    return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*keep, text_or_empty().alias("_text")), run, schema)
 
 
 def mask(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -485,7 +506,7 @@ def mask(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "_text"])
 
     rows = packed(docs).select("row", "text")
-    out = rows.mapInArrow(run, with_more(rows, ["row"], "_text string"))
+    out = map_arrow(rows, run, with_more(rows, ["row"], "_text string"))
     columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
     columns.append(F.col("_text").alias("text"))
     if "n_chars" in docs.columns:

@@ -199,8 +199,8 @@ def test_decoding_in_stretches_equals_decoding_all(pii_model):
     draw = np.random.default_rng(2)
     for n in (1, 2, 30, 300):
         for shift in (-3, 0, 1):
-            scores = draw.normal(shift, 3, (n, pii.TAGS - 1)).astype(np.float32)
-            tags = full_viterbi(pii_model.weights, scores)
+            scores = draw.normal(shift, 3, (pii.TAGS - 1, n)).astype(np.float32)
+            tags = full_viterbi(pii_model.weights, scores.T)
             spans = [(t, i) for i, t in enumerate(tags) if t and (i == 0 or tags[i - 1] != t)]
             found = pii.decode(pii_model.weights, scores)
             assert [(k + 1, a) for k, a, _ in found] == spans
