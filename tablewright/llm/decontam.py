@@ -69,8 +69,11 @@ def _positions(docs: DataFrame, sizes: list[int], raw: bool) -> DataFrame:
         (raw_words(text) if raw else F.lit(None)).alias("raw"),
     )
     rows = rows.select("*", F.explode(F.sequence(F.lit(-1), F.size("low") - 1)).alias("at"))
-    keys = [F.when(F.col("at") >= 0, _key(F.col("low"), F.col("at"), n)) for n in sizes]
-    return rows.withColumn("key", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
+    keys = F.array(*[_key(F.col("low"), F.col("at"), n) for n in sizes])
+    none = F.array(F.lit(None).cast("long"))
+    if len(sizes) == 1:
+        return rows.withColumn("key", F.when(F.col("at") >= 0, _key(F.col("low"), F.col("at"), sizes[0])))
+    return rows.withColumn("key", F.explode(F.when(F.col("at") >= 0, keys).otherwise(none)))
 
 
 def rarest_shingles(windows: DataFrame, docs: DataFrame, most_rows: int = MOST_BROADCAST_ROWS) -> tuple[DataFrame, list[int]]:
