@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_arrow, mix64, sub_batches, text_or_empty, word_hashes
+from tablewright.llm.common import map_arrow, mix64, slices, sub_batches, text_or_empty, utf8, word_hashes
 from tablewright.llm.components import components
 from tablewright.session import materialize, share_package
 
@@ -99,6 +99,13 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def sets_in_parts(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """``shingle_sets`` of many texts, a few at a time, as hashing takes many times a text's size."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    lengths = np.diff(utf8(texts)[1]).tolist()
+    return [s for a, b in slices(lengths) for s in shingle_sets(texts.slice(a, b - a))]
+
+
 def set_key(hashes: np.ndarray) -> int:
     """Signed 64-bit key of a shingle set."""
     twisted = mix64(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
@@ -191,7 +198,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for some in sub_batches(batch, 3):
                 left = some.column(2).dictionary_encode()
-                sets_a, sets_b = shingle_sets(left.dictionary), shingle_sets(some.column(3))
+                sets_a, sets_b = sets_in_parts(left.dictionary), sets_in_parts(some.column(3))
                 keys_a = [set_key(s) for s in sets_a]
                 keep = []
                 for i, (a, b, which) in enumerate(
@@ -356,7 +363,7 @@ def _links_of_large(large: DataFrame, docs: DataFrame, percent: int, prune: floa
     rows = rows.join(texts.dropDuplicates(["id", "text"]), F.col("rep") == F.col("id"))
 
     def verify(table):
-        sets = shingle_sets(table.column("text").combine_chunks())
+        sets = sets_in_parts(table.column("text"))
         # A repeated doc_id brings all of its texts; only that of the class counts.
         own = [set_key(s) == c for s, c in zip(sets, table.column("cls").to_pylist(), strict=True)]
         table, sets = table.filter(pa.array(own)), [s for s, o in zip(sets, own, strict=True) if o]
