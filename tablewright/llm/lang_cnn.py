@@ -186,9 +186,14 @@ def training_sample(
     stretch of ``most_bytes`` characters of each is taken. These bounds are all that reaches the driver.
     """
     known = docs.filter(~held_out(docs) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ranked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    # Of a language with many documents only those below a hash that twice as many pass are ranked.
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    bound = F.least(F.lit(2.0 * per_language) / F.col("n"), F.lit(1.0)) * F.lit(float(2**63)) * 2 - F.lit(float(2**63))
+    ranked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(counts, F.col("lang") == F.col("of"))
+    ranked = ranked.filter(F.col("h").cast("double") <= bound)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = [r.doc_id for r in ranked.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language).select("doc_id").distinct().collect()]
+    ranked = ranked.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    ids = [r.doc_id for r in ranked.select("doc_id").distinct().collect()]
     room = F.greatest(F.length("text") - most_bytes, F.lit(0)) + 1
     start = (F.pmod(F.xxhash64("doc_id", "lang"), room) + 1).cast("int")
     part = F.substring(F.col("text"), start, F.lit(most_bytes))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import map_arrow, packed, slices, text_or_empty, with_more
+from tablewright.llm.common import map_arrow, packed, slices, smallest_hashes, text_or_empty, with_more
 from tablewright.session import materialize
 
 # The kinds in the order of the report, and their patterns.
@@ -424,7 +424,7 @@ def training_texts(
     texts with labelled spans and so many without, and of each ``most_chars`` around its first span.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ids = [r.doc_id for r in known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).collect()]
+    ids = smallest_hashes(known, sample)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
