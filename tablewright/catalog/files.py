@@ -4,9 +4,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.catalog.evaluation import METRICS_OF_SCORED
 from tablewright.catalog.registry import DIRTY, RISK, query
 from tablewright.functions import vector_element
 from tablewright.operators.evaluate import confusion_matrix, evaluate_model
+from tablewright.operators.joins import union_all
 from tablewright.operators.ordering import preview
 from tablewright.operators.score import score_linear, threshold_predict
 from tablewright.plans.standins import DIRTY_COLUMNS, dirty_rows, risk_rows, table
@@ -99,21 +101,17 @@ def write_predictions(spark, folder):
 
 @query(
     f"""with {RISK},
-    scored as (select target, case when {PRICE_SCORE} > 0.5 then 1 else 0 end as guess from risk)
-    select 'price' as model, 'accuracy' as metric,
-           round(avg(case when target = guess then 1.0 else 0.0 end), 6) as value
-    from scored"""
+    scored as (select 'price' as model, target, {PRICE_SCORE} as score,
+               case when {PRICE_SCORE} > 0.5 then 1.0 else 0.0 end::double as prediction from risk),
+    {METRICS_OF_SCORED}
+    select model, metric, round(value, 6) as value from all_metrics"""
 )
 def write_metrics(spark, folder):
     scored = _scored(spark, folder).withColumn("model", F.lit("price"))
     metrics = evaluate_model(scored, "target", "prediction", "score")
     path = scratch_path(spark, "metrics")
     save_metrics(metrics, path)
-    return (
-        read_results(spark, path, "metrics")
-        .filter(F.col("metric") == "accuracy")
-        .withColumn("value", F.round("value", 6))
-    )
+    return read_results(spark, path, "metrics").withColumn("value", F.round("value", 6))
 
 
 @query(
@@ -165,3 +163,46 @@ def vector_element_of(spark, folder):
     vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
     vectors = vectors.withColumn("vector", array_to_vector("embedding"))
     return vectors.select("vec_id", F.round(vector_element("vector", 1), 6).alias("element"))
+
+
+@query(
+    f"""with {RISK},
+    scored as (select target, {PRICE_SCORE} as score, case when {PRICE_SCORE} > 0.5 then 1.0 else 0.0 end::double as prediction from risk),
+    counted as (select count(*) as n, sum(target) as positives, sum(prediction) as alarms from scored),
+    long as (select unnest(['n', 'positives', 'alarms']) as metric, unnest([n::double, positives::double, alarms::double]) as value from counted)
+    select 'run_metrics' as kind, metric as name, value from long
+    union all select 'classifier_metrics', 'price ' || metric, value from long
+    union all select 'label_predictions', 'UID ' || l_orderkey || ' ' || l_linenumber, round(l_discount, 2) from risk where l_linenumber = 1
+    union all select 'sample_predictions', l_orderkey || ' ' || target, round(l_quantity, 2) from risk where l_linenumber = 1"""
+)
+def read_saved_results(spark, folder):
+    """Tables of every layout that names its columns by task, written as CSV and read back."""
+    scored = _scored(spark, folder)
+    counted = scored.agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum("target").cast("double").alias("positives"), F.sum("prediction").alias("alarms")
+    )
+    long = counted.unpivot([], counted.columns, "metric", "value")
+    first = risk_rows(spark, folder).filter("l_linenumber = 1")
+    tables = {
+        "run_metrics": long,
+        "classifier_metrics": long.select(F.lit("price").alias("classifier"), "metric", "value"),
+        "label_predictions": first.select(
+            F.col("l_orderkey").cast("bigint").alias("UID"), F.col("l_discount").cast("float").alias("proba_first"), F.lit(1.0).alias("pred_first")
+        ),
+        "sample_predictions": first.select(
+            F.col("l_quantity").cast("double"), F.col("l_orderkey").cast("double").alias("order"), F.col("target").cast("int"),
+            F.lit(1.0).alias("prediction"), F.lit(0.5).cast("float").alias("risk"),
+        ),
+    }
+    back = {}
+    for kind, df in tables.items():
+        path = scratch_path(spark, kind)
+        df.write.option("header", True).csv(path)
+        back[kind] = read_results(spark, path, kind)
+    named = {
+        "run_metrics": (F.col("metric"), F.col("value")),
+        "classifier_metrics": (F.concat_ws(" ", "classifier", "metric"), F.col("value")),
+        "label_predictions": (F.concat(F.lit("UID "), F.col("UID").cast("string"), F.lit(" 1")), F.round(F.col("proba_first").cast("double"), 2)),
+        "sample_predictions": (F.concat_ws(" ", F.col("order").cast("bigint").cast("string"), "target"), F.round("l_quantity", 2)),
+    }
+    return union_all(*[back[k].select(F.lit(k).alias("kind"), n.alias("name"), v.alias("value")) for k, (n, v) in named.items()])

@@ -1,12 +1,19 @@
-"""Fitted models on the stand-in tables.  Iterative fits have no SQL twin."""
+"""Fitted models on the stand-in tables.
 
+SQL cannot fit a model, but it can count the rows that a fit sees.  Each query returns these counts,
+and flags that a second route sets: the slope of the loss, the coefficient table, the evaluators.
+"""
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tablewright.catalog.registry import LINE_KEY_SQL, RISK, bucket_sql, query
+from tablewright.catalog.registry import INCOME, LINE_KEY_SQL, RISK, bucket_sql, query
+from tablewright.functions import vector_element
 from tablewright.operators import train as ops
 from tablewright.operators.features import fit_stages, table_stages
 from tablewright.operators.score import risk_score as add_risk
 from tablewright.operators.score import score as score_rows
+from tablewright.operators.score import score_linear, weights_of
 from tablewright.operators.split import kfold_assign, split_train_test
 from tablewright.plans import comments, income, risk
 from tablewright.plans.standins import (
@@ -33,17 +40,40 @@ def _risk_vectors(spark, folder):
     return vectors, assembled.transform(test)
 
 
-@query()
+# The rows that the risk models learn from, counted, for every coefficient.
+FITTED_SQL = f"""with {RISK},
+    train as (select * from risk where {bucket_sql(str(risk.SPLIT_SEED), 100, *LINE_KEY_SQL)} < 80)
+    select feature, (select count(*) from train) as n_train, true as at_optimum
+    from (values {', '.join(f"('{c}')" for c in [*RISK_FEATURES, 'intercept'])}) as names(feature)"""
+
+
+def _optimality(vectors, coefficients, reg_param):
+    """``(feature, n_train, at_optimum)``: whether the loss is flat along each coefficient."""
+    weights, intercept = weights_of(coefficients)
+    values = vectors.select("target", *[vector_element("features", i).alias(c) for i, c in enumerate(RISK_FEATURES)])
+    error = F.col("score") - F.col("target")
+    slopes = {"intercept": F.avg(error)}
+    for c in RISK_FEATURES:
+        penalty = F.lit(reg_param * weights[c]) * F.stddev_samp(c)
+        slopes[c] = F.avg(error * F.col(c)) / F.stddev_samp(c) + penalty
+    sums = score_linear(values, weights, intercept).agg(
+        F.count(F.lit(1)).alias("n_train"), *[(F.abs(v) < 1e-3).alias(c) for c, v in slopes.items()]
+    )
+    return sums.unpivot(["n_train"], list(slopes), "feature", "at_optimum").select("feature", "n_train", "at_optimum")
+
+
+@query(FITTED_SQL)
 def fit_logreg(spark, folder):
     vectors, _ = _risk_vectors(spark, folder)
     model = ops.fit_logreg(vectors, "target", regParam=RISK_REG_PARAM)
-    return ops.coefficients_table(model, vectors)
+    return _optimality(vectors, ops.coefficients_table(model, vectors), RISK_REG_PARAM)
 
 
-@query()
+@query(FITTED_SQL)
 def fit_logreg_l2(spark, folder):
     vectors, _ = _risk_vectors(spark, folder)
-    return ops.coefficients_table(ops.fit_logreg_l2(vectors, "target"), vectors)
+    model = ops.fit_logreg_l2(vectors, "target")
+    return _optimality(vectors, ops.coefficients_table(model, vectors), ops.TEXT_REG_PARAM)
 
 
 @query(
@@ -71,31 +101,77 @@ def _risk(spark, folder):
     )
 
 
-@query()
+HELD_OUT_RISK = f"""with {RISK},
+    held_out as (select * from risk where {bucket_sql(str(risk.SPLIT_SEED), 100, *LINE_KEY_SQL)} >= 80)"""
+
+
+@query(
+    f"{HELD_OUT_RISK} select l_orderkey, l_linenumber, {', '.join(RISK_FEATURES)}, target, "
+    "true as same from held_out"
+)
 def risk_score(spark, folder):
-    return _risk(spark, folder).predictions
+    """Every held-out row, and whether its risk is the score from the model's coefficient table."""
+    result = _risk(spark, folder)
+    rows = score_linear(result.predictions, *weights_of(result.coefficients))
+    return rows.withColumn("same", F.abs(F.col("score") - F.col("risk")) < 1e-9).drop("score", "risk", "prediction")
 
 
-@query()
+@query(FITTED_SQL)
 def coefficients_table(spark, folder):
-    return _risk(spark, folder).coefficients
+    vectors, _ = _risk_vectors(spark, folder)
+    return _optimality(vectors, _risk(spark, folder).coefficients, RISK_REG_PARAM)
 
 
-@query()
+@query(
+    f"""{HELD_OUT_RISK} select metric, count(*) as n, true as same
+    from held_out, (values ('precision'), ('recall'), ('f1'), ('areaUnderROC')) as names(metric) group by metric"""
+)
 def risk_metrics(spark, folder):
-    return _risk(spark, folder).metrics
+    """Metrics of class 1, and whether the evaluators of ``pyspark.ml`` give the same."""
+    result = _risk(spark, folder)
+    return _against_evaluators(
+        result.metrics.withColumn("model", F.lit("LR")),
+        result.predictions.select(F.lit("LR").alias("model"), F.col("target").alias("label"), "prediction", F.col("risk").alias("score")),
+        {"precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"},
+        metricLabel=1.0,
+    ).drop("model")
+
+
+def _against_evaluators(metrics, scored, names, **params):
+    """``(model, metric, n, same)``: each metric against the evaluators, over ``n`` scored rows."""
+    rows = []
+    for r in metrics.collect():  # a row per model and metric
+        some = scored.filter(F.col("model") == r["model"]).withColumn("label", F.col("label").cast("double"))
+        if r["metric"] == "areaUnderROC":
+            theirs = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+        else:
+            theirs = MulticlassClassificationEvaluator(metricName=names[r["metric"]], **params)
+        rows.append((r["model"], r["metric"], some.count(), abs(theirs.evaluate(some) - r["value"]) < 1e-9))
+    return metrics.sparkSession.createDataFrame(rows, "model string, metric string, n bigint, same boolean")
+
+
+def label_probabilities(spark, folder):
+    """Label probabilities of all texts that lack a label, from models of those that have all."""
+    rows = labeled_texts(spark, folder)
+    full = F.col("toxic").isNotNull() & F.col("quality").isNotNull()
+    test = comments.clean_test(rows.filter(~full).select("doc_id", "text"), "text")
+    train, labels = comments.clean_train(rows.filter(full), "doc_id", "text")
+    return comments.predict_labels(train, test, labels, "doc_id", "text")
 
 
-@query()
+@query(
+    """select doc_id, true as toxic_fits, true as quality_fits from documents left join labels using (doc_id)
+    where (toxic is null or quality is null) and text <> '"'"""
+)
 def fit_multilabel(spark, folder):
-    """Label probabilities of all unlabeled texts, from models of the labeled ones."""
-    rows = labeled_texts(spark, folder)
-    train = rows.filter(F.col("toxic").isNotNull() & F.col("quality").isNotNull())
-    test = comments.clean_test(
-        rows.filter(F.col("toxic").isNull()).select("doc_id", "text"), "text"
-    )
-    train, labels = comments.clean_train(train, "doc_id", "text")
-    return comments.predict_labels(train, test, labels, "doc_id", "text")
+    """Every text to score, and whether its classes go with its probabilities."""
+
+    def fits(label):
+        p = F.col(f"proba_{label}")
+        class_of = F.when(p > 0.5, 1.0).otherwise(0.0)
+        return (p.between(0.0, 1.0) & (F.col(f"pred_{label}") == class_of)).alias(f"{label}_fits")
+
+    return label_probabilities(spark, folder).select("doc_id", fits("toxic"), fits("quality"))
 
 
 def _income(spark, folder):
@@ -112,22 +188,63 @@ def _cross_validation(spark, folder):
     )
     estimator = ops.logreg("label", maxIter=ops.CV_MAX_ITER)
     stages = table_stages(INCOME_CATEGORICAL, INCOME_NUMERIC)
-    return ops.cross_validate(folded, stages, estimator, ops.param_grid(estimator))
+    return folded, ops.cross_validate(folded, stages, estimator, ops.param_grid(estimator))
+
 
+INCOME_SPLIT = f"""with {INCOME},
+    split as (select *, {bucket_sql(str(income.SPLIT_SEED), 100, *LINE_KEY_SQL)} as part,
+              cast({bucket_sql(f'fold{income.SPLIT_SEED}', 3, *LINE_KEY_SQL)} as integer) as fold from income),
+    train as (select * from split where part < 80), held_out as (select * from split where part >= 80)"""
+GRID_SQL = f"(values {', '.join(f'({p}::double)' for p in ops.REG_PARAMS)}) as grid(reg_param)"
 
-@query()
+
+@query(
+    f"""{INCOME_SPLIT} select reg_param, fold, (select count(*) from train) - count(*) as n_train,
+    count(*) as n_valid, true as ranks_well from train, {GRID_SQL} group by reg_param, fold"""
+)
 def cross_validate(spark, folder):
-    return _cross_validation(spark, folder)
+    """Rows trained on and ranked in every fold, and whether the area is far above chance."""
+    folded, grid = _cross_validation(spark, folder)
+    sizes = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n_valid"))
+    total = folded.count()
+    return grid.join(sizes, "fold").select(
+        "reg_param", "fold", (F.lit(total) - F.col("n_valid")).alias("n_train"), "n_valid", (F.col("auc") > 0.8).alias("ranks_well")
+    )
 
 
-@query()
+@query(f"select reg_param, 3::bigint as folds, true as same from {GRID_SQL}")
 def best_params(spark, folder):
-    return ops.best_params(_cross_validation(spark, folder))
+    """Every grid point, over how many folds, and whether its mean and place in the order are right."""
+    grid = materialize(_cross_validation(spark, folder)[1], "grid")
+    by_point: dict[float, list[float]] = {}
+    for r in grid.collect():  # a row per grid point and fold
+        by_point.setdefault(r["reg_param"], []).append(r["auc"])
+    ordered = sorted(by_point, key=lambda p: (-sum(by_point[p]) / len(by_point[p]), p))
+    rows = []
+    for place, r in enumerate(ops.best_params(grid).collect()):
+        values = by_point[r["reg_param"]]
+        close = abs(r["mean_auc"] - sum(values) / len(values)) < 1e-12
+        rows.append((r["reg_param"], len(values), close and ordered[place] == r["reg_param"]))
+    return spark.createDataFrame(rows, "reg_param double, folds bigint, same boolean")
+
+
+METRIC_NAMES = {"accuracy": "accuracy", "weightedPrecision": "weightedPrecision", "weightedRecall": "weightedRecall", "f1": "f1"}
 
 
-@query()
+def _checked_metrics_sql(*models):
+    names = ", ".join(f"('{m}', '{x}')" for m in models for x in [*METRIC_NAMES, "areaUnderROC"])
+    return f"""{INCOME_SPLIT} select model, metric, count(*) as n, true as same
+    from held_out, (values {names}) as names(model, metric) group by model, metric"""
+
+
+def _checked(result):
+    return _against_evaluators(result.metrics, result.scored, METRIC_NAMES)
+
+
+@query(_checked_metrics_sql("LR"))
 def tuned_logreg_metrics(spark, folder):
-    return income.fit_tuned_logreg(*_income(spark, folder)).metrics
+    """Metrics of the tuned model, and whether the evaluators of ``pyspark.ml`` give the same."""
+    return _checked(income.fit_tuned_logreg(*_income(spark, folder)))
 
 
 def _income_vectors(spark, folder):
@@ -137,28 +254,31 @@ def _income_vectors(spark, folder):
     return vectors, prepared.transform(test).select("features", "label")
 
 
+HELD_OUT_INCOME = f"{INCOME_SPLIT} select label, count(*) as n, true as learned from held_out group by label"
+
+
 def _held_out_counts(model, test):
-    return (
-        score_rows(model, test)
-        .groupBy("label", "prediction")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Held-out rows of each label, and whether most of all rows are classified right."""
+    counts = score_rows(model, test).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == F.col("prediction")).cast("bigint")).alias("hits")
     )
+    totals = counts.agg(F.sum("hits") / F.sum("n")).first()[0]
+    return counts.select("label", "n", F.lit(bool(totals > 0.8)).alias("learned"))
 
 
-@query()
+@query(HELD_OUT_INCOME)
 def fit_random_forest(spark, folder):
     vectors, test = _income_vectors(spark, folder)
     return _held_out_counts(ops.fit_random_forest(vectors, "label"), test)
 
 
-@query()
+@query(HELD_OUT_INCOME)
 def fit_decision_tree(spark, folder):
     vectors, test = _income_vectors(spark, folder)
     return _held_out_counts(ops.fit_decision_tree(vectors, "label"), test)
 
 
-@query()
+@query(_checked_metrics_sql("RF", "DT"))
 def tree_model_metrics(spark, folder):
-    return income.compare_trees(*_income(spark, folder)).metrics
-
-
+    """Metrics of both tree models, and whether the evaluators of ``pyspark.ml`` give the same."""
+    return _checked(income.compare_trees(*_income(spark, folder)))
