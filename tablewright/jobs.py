@@ -13,14 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.ordering import preview, top_k_abs
+from tablewright.operators import profile
+from tablewright.operators.evaluate import compare_models
+from tablewright.operators.joins import union_all
+from tablewright.operators.ordering import best_model_per_metric, preview, top_k_abs
 from tablewright.operators.split import sample_fraction
 from tablewright.plans import comments, income, risk
-from tablewright.session import get_session
+from tablewright.session import get_session, materialize
 from tablewright.sources import (
     CENSUS,
     COMMENTS,
     HEART,
+    read_results,
     scan_csv_header,
     scan_csv_headerless,
     scan_csv_text,
@@ -79,11 +83,84 @@ def run_income_trees(spark: SparkSession, train: str, test: str, out: str) -> Da
     return result.metrics.orderBy("model", "metric")
 
 
+def run_compare(spark: SparkSession, first: str, second: str, out: str) -> DataFrame:
+    """The metrics of two runs side by side, with the best model of each metric."""
+    metrics = union_all(*[read_results(spark, p, "metrics") for p in (first, second)])
+    models = sorted(r["model"] for r in metrics.select("model").distinct().collect())
+    best = best_model_per_metric(metrics).select("metric", F.col("model").alias("best"))
+    table = compare_models(metrics, models).join(best, "metric", "left").orderBy("metric")
+    table.write.mode("overwrite").option("header", True).csv(f"{out}/comparison")
+    return table
+
+
+def _write_profile(tables: dict[str, DataFrame], out: str) -> None:
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+
+
+def run_profile_comments(spark: SparkSession, train: str, out: str) -> DataFrame:
+    """Shape, label counts and combinations, and text lengths of the labelled comments."""
+    rows, labels = comments.clean_train(scan_csv_text(spark, train), COMMENTS.key, COMMENTS.text)
+    rows = materialize(profile.text_length(rows, COMMENTS.text).drop(COMMENTS.text), "profile")
+    tables = {
+        "shape": profile.table_shape(rows),
+        "label_counts": profile.label_counts(rows, labels),
+        "labels_per_row": profile.labels_per_row(rows, labels),
+        "any_label": profile.any_label_share(rows, labels),
+        "label_correlations": profile.correlation_matrix(rows, labels),
+        "text_length": profile.describe_numeric(rows, ["text_length"]),
+        "text_length_by_class": profile.histogram(rows, "text_length", 50, by=labels[0], own_range=True),
+    }
+    _write_profile(tables, out)
+    return tables["label_counts"]
+
+
+def run_profile_risk(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """Shape, balance, moments, correlations and class histograms of the measurements."""
+    rows = materialize(risk.clean_heart(scan_csv_header(spark, path, HEART.schema)), "profile")
+    features = list(HEART.features)
+    tables = {
+        "shape": profile.table_shape(rows),
+        "balance": profile.class_balance(rows, HEART.target),
+        "numbers": profile.describe_numeric(rows, features),
+        "correlations": profile.correlation_matrix(rows, [*features, HEART.target]),
+        "with_target": profile.correlation_with_target(rows, features, HEART.target),
+        "boxes": profile.five_number_by_class(rows, list(HEART.fractional), HEART.target),
+    }
+    for c in HEART.fractional:
+        tables[f"histogram_{c}"] = profile.histogram(rows, c, 20, by=HEART.target, own_range=True)
+    _write_profile(tables, out)
+    return tables["with_target"]
+
+
+def run_profile_income(spark: SparkSession, train: str, test: str, out: str) -> DataFrame:
+    """Shape, balance, moments, boxes and rates per category of the census rows."""
+    rows = materialize(_census(spark, train, test), "profile")
+    numeric = list(CENSUS.numeric)
+    tables = {
+        "shape": profile.table_shape(rows),
+        "balance": profile.class_balance(rows, CENSUS.label),
+        "numbers": profile.describe_numeric(rows, numeric),
+        "correlations": profile.correlation_matrix(rows, [*numeric, CENSUS.label]),
+        "boxes": profile.five_number_by_class(rows, numeric, CENSUS.label),
+    }
+    for c in CENSUS.categorical:
+        tables[f"rate_{c}"] = profile.rate_by_group(rows, c, F.col(CENSUS.label) == 1)
+    for c in numeric:
+        tables[f"histogram_{c}"] = profile.histogram(rows, c, 20, by=CENSUS.label, own_range=True)
+    _write_profile(tables, out)
+    return tables["balance"]
+
+
 JOBS = {
     "comments": (run_comments, ["train", "test"]),
     "risk": (run_risk, ["data"]),
     "income-logreg": (run_income_logreg, ["train", "test"]),
     "income-trees": (run_income_trees, ["train", "test"]),
+    "compare": (run_compare, ["first", "second"]),
+    "profile-comments": (run_profile_comments, ["train"]),
+    "profile-risk": (run_profile_risk, ["data"]),
+    "profile-income": (run_profile_income, ["train", "test"]),
 }
 
 

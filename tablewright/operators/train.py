@@ -17,13 +17,15 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions import vector_element
+from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.features import feature_names, fit_stages
-from tablewright.session import materialize
+from tablewright.operators.joins import union_all
+from tablewright.session import discard, materialize
 
 # Regularization of the text models, the grid searched and the iteration
 # limit for the income model, the size of the forest.
@@ -114,33 +116,38 @@ def cross_validate(
     folds: int = 3,
     parallelism: int = 8,
 ) -> DataFrame:
-    """``(reg_param, fold, auc)`` for every grid point and fold.
+    """``(reg_param, fold, auc)`` for every grid point and fold, with the exact area.
 
     Feature stages are fitted on the training rows of each fold only, once per fold
     rather than once per fit; all grid points share the fold's feature tables.  A fit is
-    a chain of short jobs, so up to ``parallelism`` of them run side by side.
+    a chain of short jobs, so up to ``parallelism`` of them run side by side.  Folds follow
+    each other, and a fold's feature tables go when it is done: only scores are kept, and all
+    areas come from one aggregation over them.
     """
     spark = df.sparkSession
     label = estimator.getLabelCol()
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-
-    def prepare(k: int) -> tuple[DataFrame, DataFrame]:
+    scores = []
+    for k in range(folds):
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
         prepared = fit_stages(stages, train)
-        return tuple(
-            materialize(prepared.transform(part).select("features", label), name)
-            for part, name in ((train, "fold-train"), (valid, "fold-valid"))
-        )
-
-    tables = _in_threads([partial(prepare, k) for k in range(folds)], parallelism, spark)
-
-    def fit_one(k: int, params: dict) -> tuple[float, int, float]:
-        train, valid = tables[k]
-        model = estimator.copy(params).fit(train)
-        return (params[estimator.regParam], k, evaluator.evaluate(model.transform(valid)))
-
-    fits = [partial(fit_one, k, params) for params in grid for k in range(folds)]
-    rows = _in_threads(fits, parallelism, spark)
+        train = materialize(prepared.transform(train).select("features", label), "fold-train")
+        fits = [partial(estimator.copy(params).fit, train) for params in grid]
+        models = _in_threads(fits, parallelism, spark)
+        scored = prepared.transform(valid).select("features", label)
+        points = []
+        for i, (params, model) in enumerate(zip(grid, models, strict=True)):
+            model = model.copy()
+            model.setRawPredictionCol(f"raw_{i}").setProbabilityCol(f"proba_{i}").setPredictionCol(f"pred_{i}")
+            scored = model.transform(scored)
+            reg_param = F.lit(float(params[estimator.regParam])).alias("reg_param")
+            points.append(F.struct(reg_param, vector_element(f"raw_{i}", 1).alias("score")))
+        scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
+        scores.append(materialize(scored, "fold-scores"))
+        discard(train)
+    areas = auc_roc(union_all(*scores), label, "score", ["reg_param", "fold"]).collect()
+    for table in scores:
+        discard(table)
+    rows = [(r["reg_param"], r["fold"], r["auc"]) for r in areas]
     return spark.createDataFrame(rows, "reg_param double, fold int, auc double")
 
 

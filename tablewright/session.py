@@ -86,6 +86,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the written table behind a frame from :func:`materialize` before the driver exits."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if "/tablewright/" not in path.toString():
+            raise ValueError(f"{path} is no scratch table")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def share_package(spark: SparkSession) -> None:
     """Send this package's source to the Python workers, once per application.
 

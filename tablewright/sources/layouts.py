@@ -18,14 +18,6 @@ class CommentsLayout:
     # Column names of the comments table.
     key: str = "id"
     text: str = "comment_text"
-    labels: tuple[str, ...] = (
-        "toxic",
-        "severe_toxic",
-        "obscene",
-        "threat",
-        "insult",
-        "identity_hate",
-    )
     # Fixed value: a text that is only this stray quote is not a comment.
     junk_text: str = '"'
 
@@ -41,6 +33,7 @@ class HeartLayout:
     )
     fractional: tuple[str, ...] = ("age", "trestbps", "chol", "thalach", "oldpeak")
     target: str = "target"
+    # Fixed value: the columns that the report of scored rows shows.
     report: tuple[str, ...] = ("age", "sex", "cp", "trestbps", "chol", "thalach", "oldpeak")
 
     @property

@@ -114,3 +114,43 @@ def test_spread_only_when_needed(spark):
     assert spread(one, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100, numPartitions=40)
     assert spread(many, "id") is many
+
+
+def test_compare_job(spark, tmp_path, census):
+    jobs.run_income_logreg(spark, *census, str(tmp_path / "lr"))
+    jobs.run_income_trees(spark, *census, str(tmp_path / "trees"))
+    table = jobs.run_compare(spark, f"{tmp_path}/lr/metrics", f"{tmp_path}/trees/metrics", str(tmp_path / "out")).collect()
+    assert len(table) == 5
+    for row in table:
+        values = {m: row[m] for m in ("DT", "LR", "RF")}
+        assert values[row["best"]] == max(values.values())
+    assert (tmp_path / "out" / "comparison" / "_SUCCESS").exists()
+
+
+def test_profile_jobs(spark, tmp_path, census):
+    shown = jobs.run_profile_income(spark, *census, str(tmp_path / "income")).collect()
+    assert 500 < sum(r["n"] for r in shown) < 900 and abs(sum(r["share"] for r in shown) - 1) < 1e-9
+    rng = np.random.default_rng(5)
+    rows = [[int(v) for v in rng.integers(0, 9, 13)] + [int(rng.integers(0, 2))] for _ in range(80)]
+    path = write(tmp_path / "heart.csv", HEART.columns, rows)
+    assert jobs.run_profile_risk(spark, path, str(tmp_path / "risk")).count() == 13
+    text = "id,comment_text,toxic,insult\n" + "".join(f'{i},"some text {i}\nmore",{i % 2},{i % 3 % 2}\n' for i in range(30))
+    (tmp_path / "comments.csv").write_text(text)
+    counts = jobs.run_profile_comments(spark, str(tmp_path / "comments.csv"), str(tmp_path / "comments")).collect()
+    assert {r["label"]: r["positives"] for r in counts} == {"toxic": 15, "insult": 10}
+    for job, name in (("income", "rate_sex"), ("risk", "histogram_age"), ("comments", "text_length_by_class")):
+        assert (tmp_path / job / name / "_SUCCESS").exists()
+
+
+def test_cross_validation_leaves_no_feature_tables(spark):
+    from tablewright.operators import train
+    from tablewright.operators.features import table_stages
+
+    rows = spark.range(300).selectExpr("cast(id % 7 as double) a", "cast(id % 2 as double) label", "cast(id % 3 as int) fold")
+    estimator = train.logreg("label", maxIter=3)
+    found = train.cross_validate(materialize(rows, "rows"), table_stages([], ["a"]), estimator, train.param_grid(estimator))
+    assert found.count() == 9
+    import os
+
+    folder = scratch_path(spark, "x").rsplit("/", 1)[0]
+    assert not [n for n in os.listdir(folder) if n.startswith("fold-")]
