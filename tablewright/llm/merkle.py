@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,26 +154,19 @@ def _with_next(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("known", F.col("doc_id").isNotNull())
     ranges = 4 * tasks
     bounds = sorted(set(rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)))
-    pid = F.lit(0)
-    if bounds:
-        bounds = [int(b) for b in bounds]
-        pid = F.when(F.col("known"), F.expr(f"size(filter(array({','.join(f'{b}L' for b in bounds)}), b -> b <= doc_id))"))
-        pid = F.coalesce(pid, F.lit(0))
-    rows = rows.withColumn("pid", pid)
+    numbered = rows.withColumn("_at", F.col("doc_id").cast("double"))
+    splits = [float("-inf"), *(bounds or [0.0]), float("inf")]
+    found = Bucketizer(inputCol="_at", outputCol="_range", splits=splits, handleInvalid="keep").transform(numbered)
+    pid = F.when(F.col("known"), F.col("_range").cast("int")).otherwise(F.lit(0))
+    rows = found.withColumn("pid", pid).select("pid", "known", "doc_id", "text")
     firsts = rows.groupBy("pid").agg(F.min(F.struct("known", "doc_id")).alias("first")).collect()  # a row per range
-    firsts = {r.pid: r.first.doc_id for r in firsts}
-    filled = sorted(firsts)
-    before = {p: filled[i - 1] for i, p in enumerate(filled)}
-    ids = [i for i in firsts.values() if i is not None]
-    is_first = F.col("doc_id").isin(ids)
-    if len(ids) < len(firsts):
-        is_first |= F.col("doc_id").isNull()
-    guests = rows.filter(F.coalesce(is_first, F.col("doc_id").isNull())).groupBy("pid", "known", "doc_id").agg(F.min("text").alias("text"))
-    # Of a null range's rows, only the null id is first.
-    first_known = {p: firsts[p] is not None for p in firsts}
-    back = F.create_map(*[F.lit(x) for p in filled for x in (p, before[p])]) if filled else F.create_map(F.lit(0), F.lit(0))
-    right = F.create_map(*[F.lit(x) for p in filled for x in (p, first_known[p])]) if filled else F.create_map(F.lit(0), F.lit(True))
-    guests = guests.filter(F.col("known") == right[F.col("pid")]).withColumn("pid", back[F.col("pid")])
+    firsts = sorted((r.pid, r.first.known, r.first.doc_id) for r in firsts)
+    before = [(known, doc_id, pid, firsts[i - 1][0]) for i, (pid, known, doc_id) in enumerate(firsts)]
+    table = spark.createDataFrame(before, "first_known boolean, first_id long, first_pid int, before int")
+    # At most ``ranges`` rows.
+    own = (F.col("pid") == F.col("first_pid")) & (F.col("known") == F.col("first_known")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    guests = rows.join(F.broadcast(table), own).groupBy("before", "known", "doc_id").agg(F.min("text").alias("text"))
+    guests = guests.withColumnRenamed("before", "pid")
     columns = ["pid", "guest", "known", "doc_id", "text"]
     both = rows.withColumn("guest", F.lit(0)).select(columns).unionByName(guests.withColumn("guest", F.lit(1)).select(columns))
     return both.repartition(tasks, "pid").sortWithinPartitions(*columns)
