@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -15,6 +17,9 @@ from tablewright.session import share_package
 #: Texts handled together inside a task, in characters (UTF-8 bytes for Arrow buffers).
 BATCH_CHARS = 2_000_000
 
+#: Rows that come to a Python worker, and go back from it, at a time.
+ROWS_PER_BATCH = 1000
+
 _MIX_A = np.uint64(0xFF51AFD7ED558CCD)
 _MIX_B = np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
@@ -29,9 +34,32 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` by a function of this library, which workers can import wherever they run."""
-    share_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``mapInArrow`` by a function of this library, which workers can import wherever they run.
+
+    A worker lives on after its task, so what the task has freed goes back to the system at its end.
+    Arrow batches of this session get ROWS_PER_BATCH rows at most, as texts may be long.
+    """
+    spark = df.sparkSession
+    share_package(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
+        spark.conf.set(setting, ROWS_PER_BATCH)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def with_more(docs: DataFrame, keep: Sequence[str], more: str) -> StructType:

@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in sub_batches(batch, len(keep)):
+            for some in sub_batches(batch, len(keep), 1_000_000):
                 texts = some.column(len(keep))
                 data, offsets = utf8(texts)
                 lettered = np.array([bool(_LETTER.search(t)) for t in texts.to_pylist()], bool)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_arrow, mix64, slices, sub_batches, text_or_empty, utf8, word_hashes
+from tablewright.llm.common import give_back, map_arrow, mix64, slices, sub_batches, text_or_empty, utf8, word_hashes
 from tablewright.llm.components import components
 from tablewright.session import materialize, share_package
 
@@ -38,6 +38,9 @@ PRUNE = 1e-7
 BATCH_BITS = 64
 BATCHES = 6
 
+#: Bytes of text hashed at a time; hashing takes some 60 times as much memory.
+HASHED_BYTES = 500_000
+
 #: Largest list of ids that is broadcast, in rows of 8 bytes.
 MOST_BROADCAST_ROWS = 4_000_000
 
@@ -103,7 +106,7 @@ def sets_in_parts(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
     """``shingle_sets`` of many texts, a few at a time, as hashing takes many times a text's size."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     lengths = np.diff(utf8(texts)[1]).tolist()
-    return [s for a, b in slices(lengths) for s in shingle_sets(texts.slice(a, b - a))]
+    return [s for a, b in slices(lengths, HASHED_BYTES) for s in shingle_sets(texts.slice(a, b - a))]
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -147,7 +150,7 @@ def sign(docs: DataFrame, rows: int = BAND_ROWS, percent: int = PERCENT, miss: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in sub_batches(batch, 1):
+            for some in sub_batches(batch, 1, HASHED_BYTES):
                 sets = shingle_sets(some.column(1))
                 signatures = np.stack([signature(s, minima) for s in sets])
                 keys = band_keys(signatures, rows)[:, :n_bands]
@@ -196,7 +199,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in sub_batches(batch, 3):
+            for some in sub_batches(batch, 3, HASHED_BYTES):
                 left = some.column(2).dictionary_encode()
                 sets_a, sets_b = sets_in_parts(left.dictionary), sets_in_parts(some.column(3))
                 keys_a = [set_key(s) for s in sets_a]
@@ -349,7 +352,7 @@ def _links_of_large(large: DataFrame, docs: DataFrame, percent: int, prune: floa
         return pa.table({"a": pa.array(cls[out]), "b": pa.array(cls[label[out]])})
 
     share_package(docs.sparkSession)
-    tiles = _tiles(large, "k", 2000).select("band", "i", "j", "block", "cls", "root", "n", "bits")
+    tiles = _tiles(large, "k", 1500).select("band", "i", "j", "block", "cls", "root", "n", "bits")
     trees = materialize(tiles.groupBy("band", "i", "j").applyInArrow(forest, "a long, b long").distinct(), "trees")
     family = materialize(components(trees).withColumnRenamed("root", "family"), "families")
     sizes = family.groupBy("family").agg(F.count("*").alias("size"))
@@ -383,9 +386,10 @@ def _links_of_large(large: DataFrame, docs: DataFrame, percent: int, prune: floa
                 good = 100 * both >= percent * (len(mine) + lengths - both)
                 found += [(cls[a[start]], cls[k]) for k in b[start:end][good]]
         pairs = np.array(found, np.int64).reshape(-1, 2)
+        give_back()
         return pa.table({"a": pa.array(pairs.min(axis=1)), "b": pa.array(pairs.max(axis=1))})
 
-    tiles = _tiles(rows, "size", 500).select("family", "i", "j", "block", "cls", "root", "n", "bits", "text")
+    tiles = _tiles(rows, "size", 250).select("family", "i", "j", "block", "cls", "root", "n", "bits", "text")
     return tiles.groupBy("family", "i", "j").applyInArrow(verify, "a long, b long").distinct()
 
 
