@@ -33,17 +33,15 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str, rows: int = ROWS_PER_BATCH) -> DataFrame:
     """``mapInArrow`` by a function of this library, which workers can import wherever they run.
 
     A worker lives on after its task, so what the task has freed goes back to the system at its end.
-    Arrow batches of this session get ROWS_PER_BATCH rows at most, as texts may be long.
+    Arrow batches of this session get ``rows`` rows at most from now on, as texts may be long.
     """
     spark = df.sparkSession
     share_package(spark)
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
-        spark.conf.set(setting, ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -335,7 +335,8 @@ def write_codes(
         if doc_ids:
             yield close()
 
-    map_arrow(rows, encode, SEGMENT_SCHEMA).write.parquet(path)
+    # Pieces are encoded once a batch, so larger batches encode fewer.
+    map_arrow(rows, encode, SEGMENT_SCHEMA, rows=10_000).write.parquet(path)
 
 
 def segment_starts(spark: SparkSession, path: str) -> DataFrame:
