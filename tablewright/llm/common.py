@@ -65,18 +65,6 @@ def with_more(docs: DataFrame, keep: Sequence[str], more: str) -> StructType:
     return StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL(more).fields])
 
 
-def smallest_hashes(docs: DataFrame, most: int) -> list[int]:
-    """doc_ids of the ``most`` rows with the smallest hashes of doc_id, an even sample that does not change.
-
-    Rows are cut at the hash below which about twice as many lie, so a task sends its share of those only.
-    """
-    share = 2 * most / max(docs.count(), 1)
-    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("h"))
-    if share < 1:
-        rows = rows.filter(F.col("h") < int(share * 2**64) - 2**63)
-    return [r.doc_id for r in rows.orderBy("h", "doc_id").limit(most).collect()]
-
-
 def packed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text): all columns in one, so that no name can clash with what an operator adds."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")

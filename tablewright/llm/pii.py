@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
-from tablewright.llm.common import map_arrow, packed, slices, smallest_hashes, text_or_empty, with_more
+from tablewright.llm.common import map_arrow, packed, slices, text_or_empty, with_more
 from tablewright.session import materialize
 
 # The kinds in the order of the report, and their patterns.
@@ -88,13 +88,11 @@ def span_text(spans: Sequence[Span]) -> str:
 
 WINDOW = 512
 OVERLAP = 64
-HIDDEN = 6
+HIDDEN = 8
 TAGS = 1 + len(KINDS)  # 0 is outside
 
-#: Training sample: documents looked at, texts with labelled spans and texts without taken from them, and the
-#: characters of a training window.
-SAMPLE = 8000
-TEXTS_WITH = 400
+#: Training sample: texts with labelled spans of each kind, texts without any, and the characters of a training window.
+TEXTS_WITH = 500
 TEXTS_WITHOUT = 300
 TRAIN_WINDOW = 96
 
@@ -417,37 +415,49 @@ def added_spans(text: str, found: Sequence[Span], base: Sequence[Span]) -> list[
 SCHEMA = "base string, spans string"
 
 
-def training_texts(
-    docs: DataFrame, sample: int = SAMPLE, with_spans: int = TEXTS_WITH, without: int = TEXTS_WITHOUT, most_chars: int = 4000
-) -> list[str]:
-    """A bounded sample: of the ``sample`` documents with the smallest hashes of doc_id, at most so many
-    texts with labelled spans and so many without, and of each ``most_chars`` around its first span.
+def training_texts(docs: DataFrame, with_spans: int = TEXTS_WITH, without: int = TEXTS_WITHOUT, most_chars: int = 4000) -> list[str]:
+    """A bounded sample of all documents: of each kind at most ``with_spans`` texts that hold a labelled span
+    of it, and at most ``without`` texts that hold none, in each case those with the smallest hashes of doc_id.
+
+    Of each text ``most_chars`` around its first span of the kind are taken. A task keeps no more than these bounds.
     """
+    bounds = [with_spans] * len(KINDS) + [without]  # by kind, and last of the texts without spans
     known = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ids = smallest_hashes(known, sample)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple[int, int, str]]] = [[] for _ in bounds]
+        last: list[tuple] = [(float("inf"),)] * len(bounds)
         for batch in batches:
-            parts, found = [], []
-            for text in batch.column(2).to_pylist():
+            for h, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if (h, doc_id) > max(last):
+                    continue
                 spans = base_spans(text)
-                start = max(0, min(s[1] for s in spans) - most_chars // 2) if spans else 0
-                parts.append(text[start : start + most_chars])
-                found.append(bool(spans))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(parts, pa.string()), pa.array(found, pa.bool_())], names=["h", "doc_id", "part", "found"]
-            )
-
-    rows = known.filter(F.col("doc_id").isin(ids)).select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("long"), "text")
-    rows = materialize(map_arrow(rows, cut, "h long, doc_id long, part string, found boolean"), "pii-sample")
-    texts: list[str] = []
-    for some, most in ((rows.filter("found"), with_spans), (rows.filter("not found"), without)):
-        texts += [r.part for r in some.orderBy("h", "doc_id", "part").limit(most).collect()]
-    return texts
+                for kind in {s[0] for s in spans} or {len(KINDS)}:
+                    if (h, doc_id) > last[kind]:
+                        continue
+                    start = max(0, min((s[1] for s in spans if s[0] == kind), default=0) - most_chars // 2)
+                    best[kind].append((h, doc_id, text[start : start + most_chars]))
+                    if len(best[kind]) >= 2 * max(bounds[kind], 1):
+                        best[kind] = sorted(set(best[kind]))[: bounds[kind]]
+                        if len(best[kind]) == bounds[kind] > 0:
+                            last[kind] = best[kind][-1][:2]
+        for kind, some in enumerate(best):
+            some = sorted(set(some))[: bounds[kind]]
+            columns = [pa.array([kind] * len(some), pa.int32()), *(pa.array([r[i] for r in some], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string())))]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "h", "doc_id", "part"])
+
+    rows = known.select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").cast("long"), "text")
+    rows = materialize(map_arrow(rows, pick, "kind int, h long, doc_id long, part string"), "pii-sample")
+    # A text that was taken for several kinds trains once.
+    taken: dict[tuple[int, str], None] = {}
+    for kind, most in enumerate(bounds):
+        some = rows.filter(F.col("kind") == kind).select("h", "doc_id", "part").distinct().orderBy("h", "doc_id", "part").limit(most)
+        taken |= dict.fromkeys((r.doc_id, r.part) for r in some.collect())
+    return [part for _, part in taken]
 
 
 def learn(docs: DataFrame) -> Model | None:
-    """A network from the labelled spans of the bounded sample of ``training_texts``."""
+    """A network from the labelled spans of the bounded sample of ``training_texts``; None if no document has one."""
     return train(training_texts(docs))
 
 

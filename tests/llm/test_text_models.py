@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import importance, lang_cnn, pii
 from tablewright.llm.common import utf8
@@ -238,6 +239,21 @@ def test_personal_data_of_messy_rows(messy, nothing, pii_model):
     assert {(r.doc_id, r.text) for r in out.collect()} >= {(0, None), (1, ""), (7, "no")}
 
 
+def test_rare_spans_of_all_documents_train_the_network(spark):
+    ids = spark.range(10_000).withColumnRenamed("id", "doc_id")
+    last = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(300).collect()]
+    card, mail = "pay 4111 1111 1111 1111 now", F.concat(F.lit("to jo"), F.col("doc_id"), F.lit("@mail.example.org"))
+    plain = ids.withColumn("text", F.lit("plain words"))
+    rare = plain.withColumn("text", F.when(F.col("doc_id").isin(last[:3]), card).otherwise(F.col("text")))
+    assert pii.training_texts(rare).count(card) == 3
+    assert pii.learn(rare) is not None
+    # Of each kind as many as the bound says, however common another kind is.
+    both = rare.withColumn("text", F.when(F.col("text") == "plain words", mail).otherwise(F.col("text")))
+    some = pii.training_texts(both.union(both), with_spans=40)
+    assert len(some) == len(set(some)) + 2 == 43 and some.count(card) == 3
+    assert set(some[:40]) == {f"to jo{r.doc_id}@mail.example.org" for r in ids.orderBy(F.xxhash64("doc_id")).limit(40).collect()}
+
+
 def test_masking():
     text = "a@b.c and +1 (555) 010-9999 x"
     assert pii.masked(text, pii.base_spans(text)) == "<email> and <phone> x"
