@@ -158,15 +158,22 @@ class ByteBpeEncoder:
     Texts with other runs of white space are encoded whole. A known piece of up to MEMO_BYTES bytes is
     found by its hash, length and first eight bytes together. All are forgotten when there are
     ``remembered`` of them.
+
+    The name of a special token in a text is plain text, or, with ``special_tokens``, its id as the library's
+    plain call gives it; texts that hold one are then encoded whole.
     """
 
-    def __init__(self, tokenizer_path: str, remembered: int = 1_000_000):
+    def __init__(self, tokenizer_path: str, remembered: int = 1_000_000, special_tokens: bool = False):
         # A task has one core; threads of its own would only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added if t.special and special_tokens]
+        if any(len(t.split()) != 1 for t in self.special):
+            raise ValueError("a special token must have no white space, as texts are cut there")
         self.remembered = remembered
         ids = self._plain(["\n"])[0]
         if len(ids) != 1:
@@ -248,11 +255,11 @@ class ByteBpeEncoder:
         begins, sizes = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int32)
         begins[known], sizes[known] = self.begins[slot[known]], self.sizes[slot[known]]
         known &= short
-        # White space at a piece's edge belongs to a run of white space.
+        # White space at a piece's edge belongs to a run of white space. A special token splits its text first.
         bad = n == 0
         new = np.flatnonzero(~known & ~bad)
         pieces = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
-        edge = np.array([p[0].isspace() or p[-1].isspace() for p in pieces], bool)
+        edge = np.array([p[0].isspace() or p[-1].isspace() or any(t in p for t in self.special) for p in pieces], bool)
         bad[new[edge]] = True
         whole = np.zeros(n_texts, bool)
         whole[rows[bad[which]]] = True
@@ -282,19 +289,26 @@ class ByteBpeEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder_of(tokenizer_path: str) -> ByteBpeEncoder:
+def encoder_of(tokenizer_path: str, special_tokens: bool) -> ByteBpeEncoder:
     """The encoder of a worker, kept with what it remembers from task to task."""
-    return ByteBpeEncoder(tokenizer_path)
+    return ByteBpeEncoder(tokenizer_path, special_tokens=special_tokens)
 
 
 def write_codes(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, bits: int = 8, segment_ids: int = SEGMENT_IDS
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    end_id: int,
+    bits: int = 8,
+    segment_ids: int = SEGMENT_IDS,
+    special_tokens: bool = False,
 ) -> None:
     """Encode (doc_id, text) and write segments in ascending order of doc_id.
 
     Null texts are empty and get the end id only; rows with a null doc_id come first; repeated doc_ids are
     ordered by text. A segment closes at the first document end after ``segment_ids`` ids, so a document
-    is never cut. Other columns are ignored. One shuffle brings the texts into order.
+    is never cut. Other columns are ignored. One shuffle brings the texts into order. For ``special_tokens``
+    see ``ByteBpeEncoder``.
     """
     spark = docs.sparkSession
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -305,7 +319,7 @@ def write_codes(
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = encoder_of(tokenizer_path)
+        encoder = encoder_of(tokenizer_path, special_tokens)
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         ends: list[int] = []

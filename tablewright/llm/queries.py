@@ -147,5 +147,5 @@ def op10_direct_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written as directly addressable codes and read back."""
     path = scratch_path(spark, "codes")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    dac.write_codes(read_table(spark, folder, "documents"), path, tokenizer, end_id=2)
+    dac.write_codes(read_table(spark, folder, "documents"), path, tokenizer, end_id=2, special_tokens=True)
     return dac.read_documents(spark, path)

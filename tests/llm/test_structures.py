@@ -324,6 +324,28 @@ def test_written_codes_are_read_back(spark, messy, nothing):
     assert dac.read_documents(spark, empty).count() == 0
 
 
+def test_special_tokens_as_in_the_plain_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import __spark_entry__ as entry
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ODD + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>  y\n<|endoftext|>\nz", "<|endoftext|><|endoftext|>", "<|endof text|>"]
+    texts += ["z" * 70 + "<|endoftext|>", "a <|endoftext|>\u3000b", "<|endoftext |>"]
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [64, 220, 50256, 275] in want
+    encoder = dac.ByteBpeEncoder(path, remembered=50, special_tokens=True)
+    for _ in range(2):
+        ids, cuts = encoder(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in entry.queries()["op10_direct_codes"](spark, str(tmp_path)).collect()}
+    start = 0
+    for i, ids in enumerate(want):
+        assert got[i] == (start, len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes()))
+        start += len(ids) + 1
+
+
 # --- pieces ---
 
 
