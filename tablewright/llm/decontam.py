@@ -59,13 +59,14 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _positions(docs: DataFrame, sizes: list[int], raw: bool) -> DataFrame:
     """A row per document and place: -1, which has no key, and the place of every word.
 
-    Keys are made from fully lower-cased words, so words that are equal but for A-Z have equal keys.
+    Keys are made from words with A-Z lower-cased before the text is split, as those of windows are. What ``lower``
+    makes of a word can depend on the text around it (final sigma).
     """
     text = text_or_empty()
     rows = docs.select(
         F.col("doc_id"),
         F.xxhash64(text).alias("text_key"),
-        F.array_remove(F.split(F.lower(text), GAP), "").alias("low"),
+        raw_words(plain_case(text)).alias("low"),
         (raw_words(text) if raw else F.lit(None)).alias("raw"),
     )
     rows = rows.select("*", F.explode(F.sequence(F.lit(-1), F.size("low") - 1)).alias("at"))
@@ -81,10 +82,9 @@ def rarest_shingles(windows: DataFrame, docs: DataFrame, most_rows: int = MOST_B
     sized = windows.withColumn("size", F.least(F.lit(SHINGLE), "n"))
     sizes = sorted(r.size_ for r in sized.select(F.col("size").alias("size_")).distinct().collect())  # at most 3
     shingles = None
-    low = F.transform("words", F.lower)
     for size in sizes:
         some = sized.filter(F.col("size") == size).withColumn("place", F.explode(F.expr(f"sequence(0, n - {size})")))
-        some = some.select("window", "n", "place", _key(low, F.col("place"), size).alias("key"))
+        some = some.select("window", "n", "place", _key(F.col("words"), F.col("place"), size).alias("key"))
         shingles = some if shingles is None else shingles.unionByName(some)
     if shingles is None:
         return windows.selectExpr("window", "n", "0L as key", "0 as place").limit(0), [SHINGLE]

@@ -206,6 +206,13 @@ def test_hit_words_equal_a_plain_search(spark, most_rows):
     check_hits(spark, [*rows, rows[3], rows[5]], ITEMS, most_rows)
 
 
+@pytest.mark.parametrize("most_rows", [decontam.MOST_BROADCAST_ROWS, 0])
+def test_words_whose_lower_case_depends_on_the_text_around_them(spark, most_rows):
+    items = [(1, "ΟΔΟΣ.ΑΒ"), (2, "one ΤΙΣ'Α two ΟΔΟΣ: three"), (3, "İK ŒΣ.x")]
+    rows = [(i, f"Some words {t} and more") for i, t in items] + [(4, "οδος αβ"), (5, "SOME ΟΔΟΣ ΑΒ")]
+    check_hits(spark, rows, items, most_rows)
+
+
 def test_messy_documents_and_empty_benchmarks(spark, messy, nothing):
     rows = [(r.doc_id, r.text) for r in messy.collect()]
     check_hits(spark, rows, [(1, "three four five six"), (2, "x" * 30_000)], decontam.MOST_BROADCAST_ROWS)
