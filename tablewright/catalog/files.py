@@ -165,6 +165,10 @@ def vector_element_of(spark, folder):
     return vectors.select("vec_id", F.round(vector_element("vector", 1), 6).alias("element"))
 
 
+#: Line numbers are below this, so order * LINES_OF_ORDER + line names a line.
+LINES_OF_ORDER = 8
+
+
 @query(
     f"""with {RISK},
     scored as (select target, {PRICE_SCORE} as score, case when {PRICE_SCORE} > 0.5 then 1.0 else 0.0 end::double as prediction from risk),
@@ -176,21 +180,41 @@ def vector_element_of(spark, folder):
     union all select 'sample_predictions', l_orderkey || ' ' || target, round(l_quantity, 2) from risk where l_linenumber = 1"""
 )
 def read_saved_results(spark, folder):
-    """Tables of every layout that names its columns by task, written as CSV and read back."""
+    """Tables of every layout that names its columns by task, written as CSV and read back.
+
+    Every line passes through the layouts; of the lines read back, the result names the first of each order.
+    """
+    back = {kind: read for kind, (_, read) in saved_and_read_back(spark, folder).items()}
+    back["label_predictions"] = back["label_predictions"].filter(F.col("UID") % LINES_OF_ORDER == 1)
+    back["sample_predictions"] = back["sample_predictions"].filter("line = 1")
+    order = F.expr(f"UID div {LINES_OF_ORDER}").cast("string")
+    named = {
+        "run_metrics": (F.col("metric"), F.col("value")),
+        "classifier_metrics": (F.concat_ws(" ", "classifier", "metric"), F.col("value")),
+        "label_predictions": (F.concat(F.lit("UID "), order, F.lit(" 1")), F.round(F.col("proba_first").cast("double"), 2)),
+        "sample_predictions": (F.concat_ws(" ", F.col("order").cast("bigint").cast("string"), "target"), F.round("l_quantity", 2)),
+    }
+    return union_all(*[back[k].select(F.lit(k).alias("kind"), n.alias("name"), v.alias("value")) for k, (n, v) in named.items()])
+
+
+def saved_and_read_back(spark, folder):
+    """By kind, the table as written to its layout, of all lines, and as read back."""
     scored = _scored(spark, folder)
     counted = scored.agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("target").cast("double").alias("positives"), F.sum("prediction").alias("alarms")
     )
     long = counted.unpivot([], counted.columns, "metric", "value")
-    first = risk_rows(spark, folder).filter("l_linenumber = 1")
+    lines = risk_rows(spark, folder)
+    uid = F.col("l_orderkey").cast("bigint") * LINES_OF_ORDER + F.col("l_linenumber")
     tables = {
         "run_metrics": long,
         "classifier_metrics": long.select(F.lit("price").alias("classifier"), "metric", "value"),
-        "label_predictions": first.select(
-            F.col("l_orderkey").cast("bigint").alias("UID"), F.col("l_discount").cast("float").alias("proba_first"), F.lit(1.0).alias("pred_first")
+        "label_predictions": lines.select(
+            uid.alias("UID"), F.col("l_discount").cast("float").alias("proba_first"), F.lit(1.0).alias("pred_first")
         ),
-        "sample_predictions": first.select(
-            F.col("l_quantity").cast("double"), F.col("l_orderkey").cast("double").alias("order"), F.col("target").cast("int"),
+        "sample_predictions": lines.select(
+            F.col("l_quantity").cast("double"), F.col("l_orderkey").cast("double").alias("order"),
+            F.col("l_linenumber").cast("double").alias("line"), F.col("target").cast("int"),
             F.lit(1.0).alias("prediction"), F.lit(0.5).cast("float").alias("risk"),
         ),
     }
@@ -198,11 +222,5 @@ def read_saved_results(spark, folder):
     for kind, df in tables.items():
         path = scratch_path(spark, kind)
         df.write.option("header", True).csv(path)
-        back[kind] = read_results(spark, path, kind)
-    named = {
-        "run_metrics": (F.col("metric"), F.col("value")),
-        "classifier_metrics": (F.concat_ws(" ", "classifier", "metric"), F.col("value")),
-        "label_predictions": (F.concat(F.lit("UID "), F.col("UID").cast("string"), F.lit(" 1")), F.round(F.col("proba_first").cast("double"), 2)),
-        "sample_predictions": (F.concat_ws(" ", F.col("order").cast("bigint").cast("string"), "target"), F.round("l_quantity", 2)),
-    }
-    return union_all(*[back[k].select(F.lit(k).alias("kind"), n.alias("name"), v.alias("value")) for k, (n, v) in named.items()])
+        back[kind] = (df, read_results(spark, path, kind))
+    return back

@@ -18,6 +18,18 @@ def test_metrics_count_every_labelled_row_of_every_class(spark):
         assert got[name] == pytest.approx(want)
 
 
+def test_every_line_passes_through_the_saved_layouts(spark):
+    from tablewright.catalog.files import saved_and_read_back
+
+    folder = "/root/testdata/sf0.001"
+    total = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    tables = saved_and_read_back(spark, folder)
+    for kind in ("label_predictions", "sample_predictions"):
+        written, back = tables[kind]
+        assert back.columns == written.columns and back.count() == total
+        assert written.exceptAll(back).count() == 0
+
+
 def test_rows_without_score_or_prediction_still_count(spark):
     rows = [(0, 1.0, None), (2, 0.0, 0.1), (1, 1.0, 0.9), (0, 0.0, 0.2), (1, None, None), (None, 1.0, 0.3)]
     df = spark.createDataFrame([("m", *r) for r in rows], "model string, label int, prediction double, score double")
