@@ -31,7 +31,7 @@ RECORDS_PER_FILE = 4096
 
 RECORD_SCHEMA = (
     "file string, start long, length long, status string, kind string, page_id long, uri string, "
-    "payload_bytes long, payload_digest string, refers_to long, payload binary"
+    "payload_bytes long, payload_digest string, refers_to long, inner_start long, inner_length long, payload binary"
 )
 
 
@@ -162,45 +162,100 @@ def _digest_holds(said: str | None, data: bytes) -> bool:
     return kind.lower() != "sha256" or hashlib.sha256(data).hexdigest() == value.lower()
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """Content and end of the gzip member at ``at``; None if its stream or its checksum is broken."""
-    inflate = zlib.decompressobj(wbits=31)
+def _member(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """Content of the gzip member at ``at``, where it ends, and whether stream and checksum hold.
+
+    Of a broken stream the content is what inflates before the error, and the end is where that was found.
+    """
+    inflate, view = zlib.decompressobj(wbits=31), memoryview(data)
     try:
-        content = inflate.decompress(memoryview(data)[at:])
+        content = inflate.decompress(view[at:])
+        return content, len(data) - len(inflate.unused_data), inflate.eof
     except zlib.error:
-        return None
-    return (content, len(data) - len(inflate.unused_data)) if inflate.eof else None
-
-
-def salvage(data: bytes) -> Iterator[tuple[int, int, str, Record | None]]:
-    """(start, length, status, record) for every record and every gap, in order, covering all bytes.
+        pass
+    # A call that fails gives nothing back, so the bytes go in by portions, those of the failing one one by one.
+    inflate, parts, portion = zlib.decompressobj(wbits=31), [], 1 << 14
+    while True:
+        before = inflate.copy()
+        try:
+            parts.append(inflate.decompress(view[at : at + portion]))
+            at += portion
+        except zlib.error:
+            if portion == 1:
+                return b"".join(parts), at, False
+            inflate, portion = before, 1
+
+
+def _has_digest(headers: dict[str, str]) -> bool:
+    names = ["warc-block-digest"] if headers.get("warc-type") == "revisit" else ["warc-block-digest", "warc-payload-digest"]
+    return any(headers.get(n, "").lower().startswith("sha256:") for n in names)
+
+
+def _inside(content: bytes, whole: bool) -> list[tuple[tuple[int, int], Record | None]]:
+    """((offset, length), record) of the records and gaps in what a member holds.
+
+    If the member is not whole, its checksum vouches for nothing: records need a digest of their own, and
+    the last entry is the gap at its end, of any length.
+    """
+    out: list[tuple[tuple[int, int], Record | None]] = []
+    at = gap = 0
+    while at < len(content):
+        record = parse_record(content, at)
+        if record and (whole or _has_digest(record.headers)):
+            if at > gap:
+                out.append(((gap, at - gap), None))
+            out.append(((at, record.end - at), record))
+            at = gap = record.end
+        else:
+            following = VERSION_LINE.search(content, at + 1)
+            at = following.start() if following else len(content)
+    if gap < len(content) or not whole:
+        out.append(((gap, len(content) - gap), None))
+    return out
+
+
+def salvage_inside(data: bytes) -> Iterator[tuple[int, int, str, Record | None, tuple[int, int] | None]]:
+    """(start, length, status, record, inner) for every record and every gap, in order, covering all bytes.
 
     Status is ``ok`` for a record, ``recovered`` for the first record after a gap, and ``quarantined``
-    for a gap (record None). A gzip member whose content is not whole records is a gap.
-    Positions are those in the file; records inside one member share the member's start and length.
+    for a gap (record None). Start and length are those in the file; records and gaps inside one gzip member
+    share the member's, and inner is their (offset, length) in what the member holds. A broken member ends where
+    the next record or member is found; one without any good record is part of a gap.
     """
-    at, gap = 0, None
+    damaged = False
+
+    def rows(start: int, end: int, parts: list):
+        nonlocal damaged
+        for inner, record in parts:
+            status = "quarantined" if record is None else "recovered" if damaged else "ok"
+            damaged = record is None
+            yield start, end - start, status, record, inner
+
+    at = 0
+    gap: int | None = None  # start of damaged bytes whose end is still searched
+    held: list = []  # what they gave, if they are a broken member, and the end of what of it inflates
+    inflated = 0
     while at < len(data):
-        found: list[Record] = []
-        end = at
+        parts: list = []
+        end, whole = at, True
         if data.startswith(GZIP_START, at):
-            if member := _member(data, at):
-                inner = 0
-                while inner < len(member[0]) and (record := parse_record(member[0], inner)):
-                    found.append(record)
-                    inner = record.end
-                if inner == len(member[0]):
-                    end = member[1]
-                else:
-                    found = []
+            content, end, whole = _member(data, at)
+            parts = _inside(content, whole)
+            if not any(record for _, record in parts):
+                end, parts = end if whole and not content else at, []
         elif record := parse_record(data, at):
-            found, end = [record], record.end
-        if end > at:
-            if gap is not None and found:
-                yield gap, at - gap, "quarantined", None
-            for i, record in enumerate(found):
-                yield at, end - at, "recovered" if gap is not None and i == 0 else "ok", record
-            gap = None if found else gap
+            # A stored member shows its records in plain, which were found inside it.
+            if at >= inflated or all(record[:2] != r[:2] for _, r in held if r):
+                parts, end = [(None, record)], record.end
+        if parts:
+            if gap is not None:
+                yield from rows(gap, at, held or [(None, None)])
+            gap, held = None, []
+            if whole:
+                yield from rows(at, end, parts)
+            else:
+                gap, held, inflated = at, parts, end
+        if end > at and whole:
             at = end
             continue
         gap = at if gap is None else gap
@@ -209,7 +264,13 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str, Record | None]]:
         starts = [x for x in (following.start() if following else -1, zipped) if x >= 0]
         at = min(starts, default=len(data))
     if gap is not None:
-        yield gap, len(data) - gap, "quarantined", None
+        yield from rows(gap, len(data), held or [(None, None)])
+
+
+def salvage(data: bytes) -> Iterator[tuple[int, int, str, Record | None]]:
+    """What ``salvage_inside`` gives, without the places inside members."""
+    for row in salvage_inside(data):
+        yield row[:4]
 
 
 def _page(uri: str | None) -> int | None:
@@ -225,7 +286,8 @@ def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
     """All records and quarantined gaps of the archives below ``path``, one row each.
 
     A file is the unit of reading, so keep files small (``records_per_file``). Rows of status
-    ``quarantined`` log damaged byte ranges; their other columns are null. An empty folder gives no rows.
+    ``quarantined`` log damaged byte ranges; their other columns are null, but for ``inner_start`` and
+    ``inner_length``, the place in the content of a gzip member. An empty folder gives no rows.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     schema = RECORD_SCHEMA if payloads else RECORD_SCHEMA.removesuffix(", payload binary")
@@ -233,7 +295,7 @@ def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-        types += [pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        types += [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
         def batch(rows):
             columns = list(zip(*rows, strict=True))
@@ -244,10 +306,10 @@ def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
                 name, data = files.column(0)[i].as_py(), files.column(1)[i].as_py()
                 rows: list[tuple] = []
                 held = 0
-                for start, length, status, record in salvage(data):
+                for start, length, status, record, inner in salvage_inside(data):
                     row: tuple = (name, start, length, status)
                     if record is None:
-                        row += (None,) * 7
+                        row += (*(None,) * 6, *(inner or (None, None)), None)
                     else:
                         h = record.headers
                         said = h.get("warc-payload-digest", "").removeprefix("sha256:").lower()
@@ -258,6 +320,7 @@ def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
                             _number(h.get("warc-payload-length"), len(record.payload)),
                             said or hashlib.sha256(record.payload).hexdigest(),
                             _page(h.get("warc-refers-to")),
+                            *(inner or (None, None)),
                             record.payload,
                         )
                         held += len(record.payload) if payloads else 0

@@ -163,6 +163,43 @@ def test_salvage_of_whole_and_hopeless_files():
     assert warc.parse_record(record(1).replace(b"xxx", b"xyx", 1), 0) is None
 
 
+def found_in(data):
+    rows = list(warc.salvage_inside(data))
+    assert [r[:4] for r in rows] == list(warc.salvage(data))
+    return [(s, warc._page(r.headers["warc-record-id"]) if r else inner) for _, _, s, r, inner in rows]
+
+
+def test_salvage_searches_inside_members(spark, tmp_path):
+    n = len(record(1))
+    wrong = record(2).replace(b"xxx", b"xyx", 1)
+    lost = [("ok", 1), ("quarantined", (n, n)), ("recovered", 3)]
+    one = gzip.compress(record(1) + wrong + record(3))
+    assert found_in(one) == lost
+    assert found_in(one + gzip.compress(record(4))) == [*lost, ("ok", 4)]
+    # A broken checksum: records that have a digest stay; the member is logged.
+    for level in (0, 9):
+        whole = gzip.compress(record(1) + record(2), level)
+        broken = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+        want = [("ok", 1), ("ok", 2), ("quarantined", (2 * n, 0))]
+        assert found_in(broken) == want
+        assert found_in(broken + gzip.compress(record(3))) == [*want, ("recovered", 3)]
+    bare = gzip.compress(record(5).replace(b"WARC-Payload-Digest", b"X"))
+    assert found_in(bare) == [("ok", 5)] and [s for s, _ in found_in(bare[:-8] + bytes(8))] == ["quarantined"]
+    # What inflates before the error or the end.
+    draw = random.Random(7)
+    pages = [record(i, draw.randbytes(30_000)) for i in range(6)]
+    stream = gzip.compress(b"".join(pages))
+    hurt = bytearray(stream)
+    hurt[len(stream) * 2 // 3 : len(stream) * 2 // 3 + 200] = b"\xff" * 200
+    for data in (stream[: len(stream) // 2], bytes(hurt)):
+        got = found_in(data + gzip.compress(record(9)))
+        assert got[:2] == [("ok", 0), ("ok", 1)] and got[-2][0] == "quarantined" and got[-1] == ("recovered", 9)
+    (tmp_path / "a.warc.gz").write_bytes(one)
+    rows = [(r.start, r.length, r.status, r.page_id, r.inner_start, r.inner_length) for r in warc.read_warc(spark, str(tmp_path)).collect()]
+    m = len(one)
+    assert rows == [(0, m, "ok", 1, 0, n), (0, m, "quarantined", None, n, n), (0, m, "recovered", 3, 2 * n, n)]
+
+
 @pytest.mark.parametrize("compress", [False, True])
 def test_pages_come_back_as_they_went(spark, compress):
     same, small = "copy " * 40, "tiny"
