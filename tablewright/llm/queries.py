@@ -6,10 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dac, decontam, importance, lang_cnn, merkle, near_dups, pii, sp_codec, url_filter, warc
+from tablewright.llm import (
+    cap_filters,
+    dac,
+    decontam,
+    importance,
+    lang_cnn,
+    merkle,
+    near_dups,
+    orchard,
+    pii,
+    prefix_trie,
+    sp_codec,
+    url_filter,
+    warc,
+)
 from tablewright.llm.common import read_table
 from tablewright.llm.registry import ORACLES, QUERIES, query
-from tablewright.session import scratch_path
+from tablewright.session import materialize, scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -149,3 +163,86 @@ def op10_direct_codes(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     dac.write_codes(read_table(spark, folder, "documents"), path, tokenizer, end_id=2, special_tokens=True)
     return dac.read_documents(spark, path)
+
+
+@query("""
+with recursive vec as materialized (
+       select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+       where embedding is not null and len(embedding) > 0 and not list_contains(list_transform(embedding, lambda x: x is null), true)
+             and list_bool_and(list_transform(embedding, lambda x: isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+     link as materialized (
+       select a.vec_id as a, b.vec_id as b from vec a join vec b
+       on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where list_cosine_similarity(a.v, b.v) >= 0.95),
+     reach as (select vec_id, vec_id as r from embeddings union select reach.vec_id, link.b from reach join link on link.a = reach.r),
+     degree as (select a, count(*) as n from link group by a)
+select e.vec_id, coalesce(n, 0) as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e left join degree on degree.a = e.vec_id
+     join (select vec_id, min(r) as component_id from reach group by vec_id) c on c.vec_id = e.vec_id
+""")
+def op11_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every vector under links of a cosine of 0.95 or more, and its number of links."""
+    return cap_filters.near_vectors(read_table(spark, folder, "embeddings"))
+
+
+def _orchard_sql(rounds: int) -> str:
+    """k-means in integers: each round's centroids c<i> from the assignment to those before."""
+    nearest = (
+        "select k.vec_id, k.v, min({{'d': list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i]))), "
+        "'c': c.c}}) as m from kept k, c{0} c group by k.vec_id, k.v"
+    )
+    steps = []
+    for i in range(rounds):
+        steps.append(f"a{i} as materialized ({nearest.format(i)})")
+        steps.append(
+            f"s{i} as (select c, i, sum(x)::bigint as s, count(*) as n from (select m.c as c, unnest(range(1, 65)) as i, unnest(v) as x from a{i}) group by c, i)"
+        )
+        steps.append(
+            f"c{i + 1} as materialized (select c.c, coalesce(t.v, c.v) as v from c{i} c left join "
+            f"(select c, list((s - ((s % n) + n) % n) // n order by i) as v from s{i} group by c) t using (c))"
+        )
+    return ", ".join(steps) + f", last as materialized ({nearest.format(rounds)})"
+
+
+@query(f"""
+with kept as materialized (
+       select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+       where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+     c0 as materialized (
+       select row_number() over (order by sha256('1:' || vec_id))::int - 1 as c, v from kept qualify c < 16),
+     {_orchard_sql(3)}
+select vec_id, m.c::int as cluster, m.d::bigint as distance, sum(m.d) over (partition by m.c)::bigint as cluster_inertia,
+       sum(m.d) over ()::bigint as inertia, sha256(array_to_string(c.v, ',')) as centroid_sha256
+from last join c3 c on c.c = m.c
+""")
+def op12_orchard(spark: SparkSession, folder: str) -> DataFrame:
+    """The cluster of every vector after three rounds of exact integer k-means with 16 centroids."""
+    return orchard.cluster(read_table(spark, folder, "embeddings"))
+
+
+@query("""
+with turn as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                     row_number() over (partition by conv_id order by turn nulls first) as i from conversations where conv_id is not null),
+     conv as (select conv_id, list({'r': role, 't': text} order by i) as s, conv_id - conv_id % 100 as head,
+                     xor(list_reduce(list_transform(range(1, len(conv_id::varchar) + 1), lambda i: ascii(substr(conv_id::varchar, i::int, 1))::bigint),
+                         lambda crc, b: list_reduce(range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(crc, b)),
+                         4294967295::bigint), 4294967295) % 6 as h
+              from turn group by conv_id),
+     seq as materialized (select c.conv_id, coalesce(b.s[1 : c.h], []) || coalesce(c.s[c.h + 1 :], []) as s
+             from conv c left join conv b on b.conv_id = c.head),
+     node as materialized (
+       select p, len(p) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+              coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(s) = len(p)), '') as ends
+       from (select conv_id, s, s[1 : d] as p from (select conv_id, s, unnest(range(len(s) + 1)) as d from seq)) group by p),
+     full_node as materialized (
+       select n.*, u.conv_id as parent_conv_id, (select count(*) from node k where k.depth = n.depth + 1 and k.p[1 : n.depth] = n.p) as n_children
+       from node n left join node u on n.depth > 0 and u.p = n.p[1 : n.depth - 1])
+select a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
+       count(*) filter (b.n_children = 0) as n_leaves,
+       sum(case when b.depth = 0 then 0 else (b.n_convs - 1) * len(b.p[b.depth].t) end)::bigint as saved_tokens, sha256(a.ends) as ends_sha256
+from full_node a join full_node b on b.depth >= a.depth and b.p[1 : a.depth] = a.p
+group by a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, a.ends, a.p
+""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the prefix trie of the conversations, rebuilt on the first turns of their family's head."""
+    digests = materialize(prefix_trie.digest_turns(read_table(spark, folder, "conversations")), "turn-digests")
+    return prefix_trie.trie_of(*prefix_trie.splice_families(digests))
