@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.joins import union_all
 from tablewright.operators.order_bins import add_order_bins, bin_count
 from tablewright.operators.profile import histogram
 from tablewright.session import materialize
@@ -150,46 +149,58 @@ def weighted_f1(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # --- ranking ---------------------------------------------------------------
 
 
-def _ranked_bins(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
-    """Per group and score bin: positives, negatives, and pairs ordered right in the bin.
+def _ranked_cells(
+    df: DataFrame, label: str, prediction: str | None, score: str, by: Sequence[str]
+) -> DataFrame:
+    """``(*by, _score_bin, target, prediction, count, p, n, pairs)``: all that the metrics need, in one pass.
 
-    Rows go to their bin in a single shuffle.  Scores that many rows share show up as repeated
-    cut points; only those are merged per task first.  Ties count half.
+    Scores are cut into bins of rising score; p and n are a bin's positives and negatives, pairs those of its
+    pairs that are ordered right.  Rows go to their bin in a single shuffle.  Scores that many rows share show
+    up as repeated cut points; only those, and the rows that do not rank, are merged per task first.  Ties
+    count half.
     """
     value = F.col(label).cast("double")
+    number = F.col(score).cast("double")
+    ranks = value.isin(0.0, 1.0) & number.isNotNull() & ~F.isnan(number)
+    target, guess = (F.col(label), F.col(prediction)) if prediction else (F.lit(None), F.lit(None))
     rows = df.select(
         *by,
-        F.col(score).cast("double").alias("_score"),
-        F.when(value == 1, 1).otherwise(0).cast("bigint").alias("p"),
-        F.when(value == 0, 1).otherwise(0).cast("bigint").alias("n"),
-    ).filter("p + n = 1 and _score is not null and not isnan(_score)")
+        F.when(ranks, number).alias("_score"),
+        F.when(ranks, value).alias("_class"),
+        target.alias("target"),
+        guess.alias("prediction"),
+    )
     binned, common = add_order_bins(rows, ["_score"], bins=BINS_PER_TASK * bin_count(df.sparkSession), common=True)
-    if common:
-        often = F.col("_score").isin(common)
-        merged = binned.filter(often).groupBy(*by, "_score_bin", "_score")
-        merged = merged.agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-        binned = binned.filter(~often).unionByName(merged)
+    keys = [*by, "_score_bin", "_score", "target", "prediction", "_class"]
+    often = F.col("_score").isNull() | F.col("_score").isin(common)
+    merged = binned.filter(often).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    lone = binned.filter(~often).withColumn("count", F.lit(1).cast("bigint"))
     # From here on everything of a bin is in one task: no further shuffle.
-    by_score = binned.repartition(*by, "_score_bin").groupBy(*by, "_score_bin", "_score")
-    ties = by_score.agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    inside = Window.partitionBy(*by, "_score_bin").orderBy("_score")
-    below = F.sum("n").over(inside) - F.col("n")
-    pairs = F.col("p").cast("double") * (below + F.col("n") / 2)
-    return (
-        ties.withColumn("pairs", pairs)
-        .groupBy(*by, "_score_bin")
-        .agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
+    cells = lone.unionByName(merged).repartition(*by, "_score_bin").groupBy(*keys).agg(F.sum("count").alias("count"))
+    cells = cells.select(
+        *[k for k in keys if k != "_class"],
+        "count",
+        F.when(F.col("_class") == 1, F.col("count")).otherwise(0).alias("p"),
+        F.when(F.col("_class") == 0, F.col("count")).otherwise(0).alias("n"),
     )
+    inside = Window.partitionBy(*by, "_score_bin")
+    up_to = F.sum("n").over(inside.orderBy("_score").rangeBetween(Window.unboundedPreceding, 0))
+    ties = F.sum("n").over(Window.partitionBy(*by, "_score_bin", "_score"))
+    cells = cells.withColumn("pairs", F.col("p").cast("double") * (up_to - ties / 2))
+    return cells.groupBy(*by, "_score_bin", "target", "prediction").agg(*[F.sum(c).alias(c) for c in ("count", "p", "n", "pairs")])
 
 
-def _with_lower_bins(bins: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add the pairs of each bin's positives with the negatives of all lower bins.
+def _areas(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``(*by, auc)`` from ranked cells; a group without a ranked pair has a null.
 
-    There are at most a few thousand bins per group, so one sorted window is enough.
+    Bins are summed up first: ``BINS_PER_TASK`` per shuffle partition and group reach the sorted window.
     """
+    bins = cells.groupBy(*by, "_score_bin").agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
     up_to = F.sum("n").over(Window.partitionBy(*by).orderBy("_score_bin"))
     lower = F.col("p").cast("double") * (up_to - F.col("n"))
-    return bins.withColumn("pairs", F.col("pairs") + lower)
+    bins = bins.withColumn("pairs", F.col("pairs") + lower)
+    sums = bins.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
+    return sums.select(*by, _area().alias("auc"))
 
 
 def _area(p: str = "p", n: str = "n", pairs: str = "pairs") -> Column:
@@ -199,12 +210,10 @@ def _area(p: str = "p", n: str = "n", pairs: str = "pairs") -> Column:
 def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve: share of (1, 0) pairs ranked right, ties half.
 
-    Rows with another label, or without a score (null or NaN), do not take part.
+    Rows with another label, or without a score (null or NaN), do not take part.  ``df`` is read for the
+    cut points and again for the ranking, so it should be a written table if it is costly.
     """
-    narrow = materialize(df.select(*by, label, score), "scores")
-    bins = _with_lower_bins(_ranked_bins(narrow, label, score, by), by)
-    sums = bins.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
-    return sums.select(*by, _area().alias("auc"))
+    return _areas(_ranked_cells(df, label, None, score, by), by)
 
 
 def evaluate_model(
@@ -214,28 +223,22 @@ def evaluate_model(
 
     Accuracy, precision, recall and F1 count every row with a label, over all classes; a missing
     prediction is an error.  The area under the ROC curve is that of class 1 against class 0.
+    Classes and ranks are counted in the same pass, and only the counts are written.  ``df`` is read for
+    the cut points and again for the counts, so it should be a written table if it is costly.
     """
-    rows = df.select(
-        *by, F.col(label).alias("_label"), F.col(prediction).alias("_guess"), F.col(score).alias("_score")
-    )
-    rows = materialize(rows.filter(F.col("_label").isNotNull()), "evaluated")
-    counts = rows.groupBy(*by, F.col("_label").alias("target"), F.col("_guess").alias("prediction"))
-    counts = materialize(counts.agg(F.count(F.lit(1)).alias("count")), "confusion")
-    area = auc_roc(rows, "_label", "_score", by)
-    if by:  # a group without a scored pair has no area, but a row
-        area = counts.select(*by).distinct().join(area, list(by), "left")
-    parts = {
-        "accuracy": accuracy(counts, by),
-        "weightedPrecision": weighted_precision(counts, by),
-        "weightedRecall": weighted_recall(counts, by),
-        "f1": weighted_f1(counts, by),
-        "areaUnderROC": area,
-    }
-    long = [
-        part.select(*by, F.lit(name).alias("metric"), F.col(part.columns[-1]).alias("value"))
-        for name, part in parts.items()
-    ]
-    return union_all(*long)
+    labeled = df.filter(F.col(label).isNotNull())
+    cells = materialize(_ranked_cells(labeled, label, prediction, score, by), "evaluated")
+    counts = cells.groupBy(*by, "target", "prediction").agg(F.sum("count").alias("count"))
+
+    def weighted(metric: str) -> Column:
+        return F.sum(F.col("support") * F.col(metric)) / F.sum("support")
+
+    names = ["accuracy", "weightedPrecision", "weightedRecall", "f1"]
+    values = [F.sum("hits") / F.sum("support"), *[weighted(m) for m in ("precision", "recall", "f1")]]
+    # One aggregation over the classes gives the four metrics of the confusion.
+    wide = class_metrics(counts, by).groupBy(*by).agg(*[v.alias(n) for v, n in zip(values, names, strict=True)])
+    area = _areas(cells, by).select(*by, F.lit("areaUnderROC").alias("metric"), F.col("auc").alias("value"))
+    return wide.unpivot(list(by), names, "metric", "value").unionByName(area)
 
 
 def compare_models(metrics: DataFrame, models: Sequence[str]) -> DataFrame:

@@ -22,15 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import hash_bucket, tokens
-from tablewright.operators.joins import lookup_hot_keys
+from tablewright.operators.joins import MOST_BROADCAST_ROWS, lookup_hot_keys
 from tablewright.session import materialize
 
 # Fixed value: size of the hashed text features.
 TEXT_FEATURES = 10_000
 
-# Largest dictionary that is broadcast, in rows of about 100 bytes.
-MOST_BROADCAST_ROWS = 500_000
-
 # --- text, as tables -------------------------------------------------------
 
 
@@ -87,10 +84,10 @@ def idf(frequencies: DataFrame, texts: DataFrame, min_df: int = 0) -> DataFrame:
 def tf_idf(tf: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """``(key, term, tf, idf, tfidf)`` from :func:`term_frequency` and :func:`idf` tables.
 
-    Common words make up most of the rows, so the join spreads them over many tasks.
+    Common words make up most of the rows; the join does not shuffle them.
     Terms without a weight, unseen in training, drop out.
     """
-    joined = lookup_hot_keys(tf, weights, "term", spread_by=key)
+    joined = lookup_hot_keys(tf, weights, "term")
     return joined.select(key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -32,32 +32,44 @@ def multi_label_fan_in(ids: DataFrame, scored: Sequence[DataFrame], key: str) ->
     return reduce(lambda wide, one: join_predictions(wide, one, key), scored, ids)
 
 
+# Largest table that is broadcast, in rows of about 100 bytes.
+MOST_BROADCAST_ROWS = 500_000
+
+
+def frequent_keys(facts: DataFrame, key: str, share: float = 0.001) -> DataFrame:
+    """``(key)``: every key with more than ``share`` of the rows, and perhaps some others; null is no key.
+
+    One pass keeps at most ``1 / share`` counters per task (Misra and Gries) and merges them, so keys are
+    not shuffled, however many there are.
+    """
+    found = facts.select(key).filter(F.col(key).isNotNull()).freqItems([key], share)
+    return found.select(F.explode(found.columns[0]).alias(key))
+
+
 def lookup_hot_keys(
     facts: DataFrame,
     table: DataFrame,
     key: str,
-    spread_by: str,
     hot_share: float = 0.001,
     how: str = "inner",
+    most_broadcast_rows: int = MOST_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``facts`` to a table with one row per key, though few keys hold most rows.
 
-    Hot keys are counted on the facts, known to the table or not.  A key with more than
-    ``hot_share`` of all rows is split over as many tasks as it has such shares, by a hash of
-    ``spread_by``; there are fewer than ``1 / hot_share`` such keys, so their list is small
-    enough to broadcast.  Null keys are spread as well; ``how`` is ``inner`` or ``left``.
+    A table counted to be small is broadcast: the facts pass once and are not shuffled.  Beyond that the
+    facts are written, so they are computed once, and their frequent keys found on the written table, known
+    to ``table`` or not.  These are fewer than ``1 / hot_share``: their rows of ``table`` are broadcast, and the
+    facts that hold them, which are most of the rows, stay where they are.  Only the others are shuffled.
+    Null keys are not shuffled either; ``how`` is ``inner`` or ``left``.
     """
-    counts = materialize(facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    copies = F.ceil(F.col("_n") / F.lit(max(hot_share * total, 1.0))).cast("int")
-    hot = counts.filter(F.col("_n") > hot_share * total).select(
-        F.col(key).alias("_hot"), copies.alias("_copies")
-    )
-    hot = materialize(hot, "hot-keys")
-    part = F.pmod(F.xxhash64(spread_by), F.coalesce("_copies", F.lit(1))).cast("int")
-    salted = facts.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
-    salted = salted.withColumn("_part", part).drop("_hot", "_copies")
-    spread = table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    last = F.coalesce("_copies", F.lit(1)) - 1
-    spread = spread.withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_hot", "_copies")
-    return salted.join(spread, [key, "_part"], how).drop("_part")
+    if table.count() <= most_broadcast_rows:
+        return facts.join(F.broadcast(table), key, how)
+    facts = materialize(facts, "facts")
+    hot = materialize(frequent_keys(facts, key, hot_share), "frequent-keys")
+    known = F.broadcast(materialize(table.join(F.broadcast(hot), key, "left_semi"), "frequent-rows"))
+    often = facts.join(F.broadcast(hot), key, "left_semi").join(known, key, how)
+    rest = facts.filter(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    out = often.unionByName(rest)
+    if how == "left":
+        out = out.unionByName(facts.filter(F.col(key).isNull()).join(known, key, how))
+    return out

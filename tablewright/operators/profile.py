@@ -12,6 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.gram import pair_correlations, wide_correlations
 from tablewright.operators.order_bins import add_order_bins
 from tablewright.session import materialize
 
@@ -90,45 +91,39 @@ def text_length(df: DataFrame, text: str, name: str = "text_length") -> DataFram
 # --- correlation -----------------------------------------------------------
 
 
+# Up to so many pairs are one aggregation; more are matrix products.
+FEW_PAIRS = 100
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, lower triangle, in a single pass."""
+    """Pearson correlation of every pair, lower triangle, over the rows where both are present."""
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    return _correlations(df, pairs)
+    if len(pairs) <= FEW_PAIRS:
+        return _correlations(df, pairs)
+    return pair_correlations(_numbers(df, columns), columns, columns, lower=True)
 
 
 def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each column with the target, strongest first."""
-    found = _correlations(df, [(c, target) for c in columns])
+    if len(columns) <= FEW_PAIRS:
+        found = _correlations(df, [(c, target) for c in columns])
+    else:
+        found = pair_correlations(_numbers(df, [*columns, target]), columns, [target], lower=False)
     return found.select(F.col("row").alias("feature"), "corr").orderBy(
         F.abs("corr").desc(), "feature"
     )
 
 
-def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(row, col, corr)`` over the rows where both values are present.
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NaN as null."""
+    plain = df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)])
+    return plain.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in plain.columns])
 
-    Each row gives its value pairs as rows, which are summed up per task: one pass, one row per
-    pair and task in the shuffle, for any number of pairs.
-    """
+
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     if not pairs:
         return df.sparkSession.createDataFrame([], "row string, col string, corr double")
-    used = sorted({c for pair in pairs for c in pair})
-    plain = [F.col(c).cast("double").alias(c) for c in used]
-    numbers = df.select(*plain).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in used])
-    cells = [
-        F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    both = numbers.select(F.inline(F.array(*cells))).filter("x is not null and y is not null")
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    found = both.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("corr"))
-    rows, cols = F.lit([a for a, _ in pairs]), F.lit([b for _, b in pairs])
-    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
-    return every.join(found, "pair", "left").select(
-        F.element_at(rows, F.col("pair") + 1).alias("row"),
-        F.element_at(cols, F.col("pair") + 1).alias("col"),
-        F.when(~F.isnan("corr"), F.col("corr")).alias("corr"),
-    )
+    return wide_correlations(_numbers(df, [c for pair in pairs for c in pair]), pairs)
 
 
 # --- exact quantiles -------------------------------------------------------

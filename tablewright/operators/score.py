@@ -66,9 +66,9 @@ def score_linear_long(
 
     ``weights`` holds ``(feature, weight)``; features without a weight add nothing.  As in
     :func:`score_linear`, a null value of a weighted feature makes the score null.  Features that
-    many rows share are spread over many tasks; products are summed per task before the shuffle by key.
+    many rows share are not shuffled; products are summed per task before the shuffle by key.
     """
-    joined = lookup_hot_keys(values, weights, feature, spread_by=key, how="left")
+    joined = lookup_hot_keys(values, weights, feature, how="left")
     product = F.when(F.col("weight").isNotNull(), F.col(value) * F.col("weight")).otherwise(F.lit(0.0))
     unknown = F.max(F.col("weight").isNotNull() & F.col(value).isNull())
     z = F.when(~unknown, F.lit(float(intercept)) + F.sum(product))

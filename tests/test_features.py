@@ -7,7 +7,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tablewright.operators import features
-from tablewright.operators.joins import lookup_hot_keys
+from tablewright.operators.joins import frequent_keys, lookup_hot_keys
 from tablewright.session import materialize
 
 LETTERS = list("bbacad")
@@ -108,8 +108,9 @@ def test_counting_words_needs_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("share", [0.0, 0.05, 0.9])
-def test_hot_lookup_is_an_inner_join(spark, share):
+@pytest.mark.parametrize("most", [0, 1000])
+@pytest.mark.parametrize("share", [0.001, 0.05, 0.9])
+def test_hot_lookup_is_an_inner_join(spark, share, most):
     """Hot or not, every fact row meets its key's row once, and unknown keys drop out."""
     facts = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k")
@@ -118,12 +119,21 @@ def test_hot_lookup_is_an_inner_join(spark, share):
         facts.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 'k7'").withColumn("w", F.length("k")),
         "hot",
     )
-    got = lookup_hot_keys(facts, table, "k", "id", hot_share=share)
+    got = lookup_hot_keys(facts, table, "k", hot_share=share, most_broadcast_rows=most)
     want = facts.join(table, "k")
     columns = ["id", "k", "w"]
     assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
 
 
+def test_frequent_keys_are_found_without_a_shuffle_of_keys(spark):
+    keys = F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 9 == 0, None).otherwise(F.col("id").cast("string"))
+    facts = spark.range(0, 20_000, 1, 7).select(keys.alias("k"))
+    found = frequent_keys(facts, "k", 0.01)
+    assert "hot" in {r["k"] for r in found.collect()} and found.count() <= 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
 def test_assemble_refuses_nulls(spark):
     rows = spark.createDataFrame([(1.0, 2), (3.0, None)], "a double, b int")
     good = features.assemble(rows.filter("b is not null"), ["b", "a"])

@@ -1,5 +1,7 @@
 """Dropped rows, caps, hot keys, and wrong answers on inputs the named queries do not hold."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -55,8 +57,20 @@ def test_auc_of_common_scores_and_nan(spark):
 
 def test_scores_are_shuffled_once(spark):
     df = spark.range(300_000).select((F.col("id") % 2).alias("label"), F.rand(1).alias("score"))
-    plan = evaluate._ranked_bins(df, "label", "score", [])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    df = df.withColumn("guess", F.col("label"))
+    plan = evaluate._ranked_cells(df, "label", "guess", "score", [])._jdf.queryExecution().executedPlan().toString()
+    # The rows travel once; the other exchange holds a row per task and common score.
+    assert plan.count("Exchange hashpartitioning(_score_bin") == 2
+    assert plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_groups_without_a_name_keep_their_area(spark):
+    rows = [(None, 1, 1.0, 0.9), (None, 0, 0.0, 0.2), (None, 0, 1.0, 0.9), ("a", 1, 1.0, None), ("b", 2, 2.0, 0.5), ("b", None, 1.0, 0.5)]
+    df = spark.createDataFrame(rows, "model string, label int, guess double, score double")
+    got = {(r.model, r.metric): r.value for r in evaluate.evaluate_model(df, "label", "guess", "score").collect()}
+    assert len(got) == 15
+    assert got[None, "areaUnderROC"] == pytest.approx(0.75) and got[None, "accuracy"] == pytest.approx(2 / 3)
+    assert got["a", "areaUnderROC"] is None and got["a", "accuracy"] == 1.0 and got["b", "accuracy"] == 1.0
 
 
 def test_many_categories_are_numbered(spark):
@@ -78,6 +92,33 @@ def test_wide_correlations_take_one_path(spark):
         assert value == pytest.approx(df.agg(F.corr(a, b)).first()[0])
 
 
+def test_many_columns_are_multiplied_in_blocks(spark, monkeypatch):
+    """A pair per input row would be 80,000 rows for each of these; gaps, constants and infinities as in one aggregation."""
+    draw = np.random.default_rng(2)
+    values = draw.normal(size=(300, 400)) + 1e6 * (np.arange(400) % 3)
+    values[draw.random((300, 400)) < 0.1] = np.nan
+    values[:, 7], values[:, 8], values[5, 9] = 0.1, np.nan, np.inf
+    frame = pd.DataFrame(values, columns=[f"c{i}" for i in range(400)])
+    df = spark.createDataFrame(frame).repartition(5)
+    monkeypatch.setattr("tablewright.operators.gram.BLOCK", 150)
+    found = profile.correlation_matrix(df, df.columns)
+    got = {(int(r.row[1:]), int(r.col[1:])): r["corr"] for r in found.collect()}
+    assert len(got) == 400 * 399 // 2
+    want = frame.corr().to_numpy()
+    for (a, b), value in got.items():
+        endless = 9 in (a, b) and not np.isnan(values[5, a + b - 9])
+        if {a, b} & {7, 8} or endless:
+            assert value is None
+        elif 9 in (a, b):  # the infinity stands in a row that does not count
+            assert value == pytest.approx(frame.drop(5)[[f"c{a}", f"c{b}"]].corr().iloc[0, 1], abs=1e-9)
+        else:
+            assert value == pytest.approx(want[a, b], abs=1e-9)
+    target = profile.correlation_with_target(df, df.columns[10:], "c1").collect()
+    assert len(target) == 390 and abs(target[0]["corr"]) >= abs(target[-1]["corr"])
+    for r in target:
+        assert r["corr"] == pytest.approx(want[int(r.feature[1:]), 1], abs=1e-9)
+
+
 def test_files_of_other_headers_are_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("age,chol\n60,300\n")
     (tmp_path / "b.csv").write_text("chol,age\n300,60\n")
@@ -118,14 +159,16 @@ def test_both_linear_scores_agree_on_nulls(spark):
     assert wide == {k: pytest.approx(v) if v is not None else None for k, v in got.items()} and got[2] is None
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
 @pytest.mark.parametrize("known", [True, False])
-def test_a_hot_word_is_spread(spark, known):
-    facts = spark.range(30_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "the").otherwise(F.col("id").cast("string")).alias("term"))
+def test_a_hot_word_is_spread(spark, known, most):
+    word = F.when(F.col("id") % 3 == 0, "the").when(F.col("id") % 7 != 0, F.col("id").cast("string"))
+    facts = spark.range(30_000).select(F.col("id"), word.alias("term"))
     table = facts.filter("term != 'the'").filter("id % 5 = 0").select("term", F.lit(1.0).alias("w")).distinct()
     if known:
         table = table.unionByName(spark.createDataFrame([("the", 2.0)], "term string, w double"))
     for how in ("inner", "left"):
-        got = lookup_hot_keys(facts, table, "term", "id", how=how)
+        got = lookup_hot_keys(facts, table, "term", how=how, most_broadcast_rows=most)
         want = facts.join(table, "term", how)
         assert got.select("id", "term", "w").exceptAll(want.select("id", "term", "w")).isEmpty() and got.count() == want.count()
 
