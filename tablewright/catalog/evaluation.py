@@ -82,7 +82,7 @@ ALL_METRICS = f"{SCORED}, {METRICS_OF_SCORED}"
 
 def _scored(spark, folder):
     """``(model, target, prediction, score)`` of the two fixed models, in one pass."""
-    rows = scoring.score_linear(risk_rows(spark, folder), WEIGHTS, INTERCEPT, "linear")
+    rows = scoring.score_linear(risk_rows(spark, folder, for_training=True), WEIGHTS, INTERCEPT, "linear")
     rows = rows.withColumn("quantity", F.col("l_quantity") / 50.0)
     long = rows.unpivot(["target"], ["linear", "quantity"], "model", "score")
     return scoring.threshold_predict(long, "score")

@@ -113,7 +113,7 @@ def _describe_sql(column):
 
 @query(" union all ".join(_describe_sql(c) for c in RISK_FEATURES))
 def describe_numeric(spark, folder):
-    described = profile.describe_numeric(table(spark, folder, "lineitem", *RISK_FEATURES), RISK_FEATURES)
+    described = profile.describe_numeric(risk_rows(spark, folder, for_training=True), RISK_FEATURES)
     return _rounded(described, "feature", "n", "min", "max", digits=4)
 
 
@@ -136,7 +136,7 @@ def _box_sql(column):
     + ")"
 )
 def five_number_by_class(spark, folder):
-    boxes = profile.five_number_by_class(risk_rows(spark, folder), RISK_FEATURES, "target")
+    boxes = profile.five_number_by_class(risk_rows(spark, folder, for_training=True), RISK_FEATURES, "target")
     return _rounded(boxes, "target", "feature", "n", "outliers", digits=4)
 
 

@@ -6,6 +6,7 @@ Result tables are small; the input is only ever aggregated.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.operators.gram import pair_correlations, wide_correlations
-from tablewright.operators.order_bins import add_order_bins
+from tablewright.operators.joins import MOST_BROADCAST_ROWS
+from tablewright.operators.order_bins import MOST_ACCURATE, bin_count
 from tablewright.session import materialize
 
 
@@ -127,6 +129,30 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 # --- exact quantiles -------------------------------------------------------
+#
+# Two passes over the rows.  The first takes the moments and a quantile sketch of every column and class.  A sketch
+# bounds the value of a rank from both sides, so the second pass sends on only the values between such bounds;
+# of the values in the gaps between them it counts and keeps the extremes.  Counts then show whether every wanted
+# rank lies between its bounds.  A sketch that was less accurate than it should be costs another pass with wider
+# bounds, never a wrong value.
+
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+# Smallest size parameter of a sketch, and the share of ranks by which it may be wrong, three times over.
+LEAST_ACCURATE = 4096
+RANK_ERROR = 3 * 2.3
+
+# Up to so many pieces are sorted by column and class alone.
+MOST_SORTED_ROWS = 500_000
+
+
+@dataclass(frozen=True)
+class _Ranked:
+    """What two passes find: moments, pieces ``(*by, _feature, _region, value, n, low, high)``, and quantiles."""
+
+    moments: DataFrame
+    pieces: DataFrame
+    quantiles: DataFrame
 
 
 def quantiles(
@@ -134,70 +160,93 @@ def quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles: ``(*by, feature, <one column per name in probs>)``.
 
-    Three narrow passes: sketch the cut points, count rows per bin, then sort only
-    the bins that hold a wanted rank.  No task ever holds a whole column.  Nulls and
-    NaNs do not count; rows with a null in ``by`` are left out.
+    Reads ``df`` twice.  Nulls and NaNs do not count; rows with a null in ``by`` are left out.
     """
+    return _rank(df, columns, probs, by).quantiles
+
+
+def _rank(
+    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = (), whiskers: bool = False
+) -> _Ranked:
     numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    binned = add_order_bins(numbers, columns)
-    # A slot is one bin of one column: a single number, cheap to group and to join by.
-    cells = [
-        F.struct(
-            F.col(c).alias("value"),
-            (F.lit(i * SLOTS_PER_COLUMN) + F.col(f"{c}_bin")).cast("bigint").alias("slot"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    long = binned.select(*by, F.inline(F.array(*cells))).filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
+    numbers = numbers.select(*by, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns])
     for c in by:
-        long = long.filter(F.col(c).isNotNull())
-
-    ranks = materialize(_wanted_ranks(long, by, probs), "ranks")
-    slots = [*by, "slot"]
-    counted = (
-        long.join(ranks.select("slot").distinct(), "slot")
-        .groupBy(*slots, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = F.sum("n").over(Window.partitionBy(*slots).orderBy("value"))
-    at_rank = counted.withColumn("upto", upto).join(ranks, slots).filter(
-        (F.col("offset") >= F.col("upto") - F.col("n")) & (F.col("offset") < F.col("upto"))
+        numbers = numbers.filter(F.col(c).isNotNull())
+    size = max(LEAST_ACCURATE, min(MOST_ACCURATE, 16 * bin_count(df.sparkSession)))
+    error = RANK_ERROR / size**0.9
+    sketched = materialize(numbers.groupBy(*by).agg(*[_summary(c, size).alias(c) for c in columns]), "sketches")
+    moments = sketched.select(*by, F.inline(F.array(*[_moments(c) for c in columns])))
+    for margin in (error, 8 * error, 1.0):
+        bounds = sketched.select(*by, *[_bounds(c, probs, margin, whiskers).alias(f"{c}_bounds") for c in columns])
+        if not by or sketched.count() * len(columns) <= MOST_BROADCAST_ROWS:
+            bounds = F.broadcast(bounds)
+        pieces = materialize(_pieces(numbers, bounds, len(probs) + 2 * whiskers, columns, by), "pieces")
+        found = materialize(_at_ranks(pieces, columns, by, probs), "quantiles")
+        if found.filter(" or ".join(f"`{name}` is null" for name in probs)).isEmpty():
+            break
+    return _Ranked(moments, pieces, found)
+
+
+def _summary(c: str, size: int) -> Column:
+    return F.struct(
+        F.count(c).alias("n"),
+        F.avg(c).alias("mean"),
+        F.stddev_samp(c).alias("std"),
+        F.min(c).alias("min"),
+        F.max(c).alias("max"),
+        F.kll_sketch_agg_double(c, F.lit(size)).alias("sketch"),
     )
 
-    def side(name: str, which: str) -> Column:
-        hit = (F.col("stat") == name) & (F.col("side") == which)
-        return F.max(F.when(hit, F.col("value")))
 
-    def interpolated(name: str) -> Column:
-        weight = F.max(F.when(F.col("stat") == name, F.col("weight")))
-        low, high = side(name, "low"), side(name, "high")
-        return (low + (high - low) * weight).alias(name)
+def _moments(c: str) -> Column:
+    return F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}.{m}").alias(m) for m in ("n", "mean", "std", "min", "max")])
 
-    feature = F.element_at(F.lit(list(columns)), _column_of_slot() + 1).alias("feature")
-    return at_rank.groupBy(*by, feature).agg(*[interpolated(name) for name in probs])
 
+def _bounds(c: str, probs: Mapping[str, float], margin: float, whiskers: bool) -> Column:
+    """``array(struct(low, high))``: between them lie the wanted ranks, and the ends of the whiskers."""
 
-# More than the number of bins of any column.
-SLOTS_PER_COLUMN = 1_000_000
+    def value(p: float, beyond: str) -> Column:
+        if not 0 < p < 1:
+            return F.col(f"{c}.{beyond}")
+        return F.when(F.col(f"{c}.n") > 0, F.kll_sketch_get_quantile_double(f"{c}.sketch", F.lit(float(p))))
 
+    found = {name: (value(p - margin, "min"), value(p + margin, "max")) for name, p in probs.items()}
+    if whiskers:
+        (a, b), (d, e) = found["q25"], found["q75"]
 
-def _column_of_slot() -> Column:
-    return F.floor(F.col("slot") / SLOTS_PER_COLUMN).cast("int")
+        def slack(x: Column, sign: int) -> Column:  # for the rounding of the ends themselves
+            return x + sign * (F.abs(x) * 1e-9 + 1e-300)
 
+        found["low end"] = (slack(2.5 * a - 1.5 * e, -1), slack(2.5 * b - 1.5 * d, 1))
+        found["high end"] = (slack(2.5 * d - 1.5 * b, -1), slack(2.5 * e - 1.5 * a, 1))
+    return F.array(*[F.struct(low.alias("low"), high.alias("high")) for low, high in found.values()])
 
-def _wanted_ranks(long: DataFrame, by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """Slot, and rank inside the slot, of the two neighbours of every quantile."""
-    counts = long.groupBy(*by, "slot").agg(F.count(F.lit(1)).alias("n"))
-    column = Window.partitionBy(*by, _column_of_slot())
-    running = counts.select(
-        *by,
-        "slot",
-        "n",
-        F.sum("n").over(column.orderBy("slot")).alias("upto"),
-        F.sum("n").over(column).alias("total"),
+
+def _pieces(numbers: DataFrame, bounds: DataFrame, n_bounds: int, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Counts of the values between bounds, each value for itself, and of the gaps, as wholes.
+
+    A region is the number of bounds below the value, so regions rise with the values, and each lies between
+    bounds or in a gap as a whole.
+    """
+    each = [F.struct(F.lit(i).alias("_feature"), F.col(f"{c}_bounds").alias("_bounds")) for i, c in enumerate(columns)]
+    each = bounds.select(*by, F.inline(F.array(*each)))  # keeps the hint of a broadcast
+    ends = [(f"_low{k}", f"_high{k}") for k in range(n_bounds)]
+    each = each.select(*by, "_feature", *[F.col("_bounds")[k][x].alias(f"_{x}{k}") for k in range(n_bounds) for x in ("low", "high")])
+    numbered = numbers.select(*by, *[F.col(c).alias(str(i)) for i, c in enumerate(columns)])
+    long = numbered.unpivot(list(by), [str(i) for i in range(len(columns))], "_feature", "_v").filter(F.col("_v").isNotNull())
+    long = long.withColumn("_feature", F.col("_feature").cast("int"))
+    long = long.join(each, [*by, "_feature"])
+    value = F.col("_v")
+    below = sum(((value >= F.col(low)).cast("int") + (value > F.col(high)).cast("int") for low, high in ends), F.lit(0))
+    kept = reduce(lambda x, y: x | y, [value.between(F.col(low), F.col(high)) for low, high in ends])
+    long = long.select(*by, "_feature", below.alias("_region"), F.when(kept, value).alias("value"), "_v")
+    return long.groupBy(*by, "_feature", "_region", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
     )
+
+
+def _wanted(probs: Mapping[str, float]) -> Column:
+    """The two neighbours of every quantile among ``total`` values: their ranks, and the weight of the upper one."""
     wanted = []
     for name, p in probs.items():
         position = (F.col("total") - 1).cast("double") * F.lit(float(p))
@@ -205,86 +254,81 @@ def _wanted_ranks(long: DataFrame, by: Sequence[str], probs: Mapping[str, float]
         for which, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
             wanted.append(
                 F.struct(
-                    F.lit(name).alias("stat"),
-                    F.lit(which).alias("side"),
-                    rank.cast("bigint").alias("rank"),
-                    weight.alias("weight"),
+                    F.lit(name).alias("stat"), F.lit(which).alias("side"), rank.cast("bigint").alias("rank"), weight.alias("weight")
                 )
             )
-    return (
-        running.select(*by, "slot", "n", "upto", F.inline(F.array(*wanted)))
-        .filter((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
-        .select(
-            *by,
-            "slot",
-            "stat",
-            "side",
-            "weight",
-            (F.col("rank") - (F.col("upto") - F.col("n"))).alias("offset"),
-        )
-    )
+    return F.inline(F.array(*wanted))
 
 
-QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+def _holds(rank: str) -> Column:
+    """Whether a row of ``n`` values, the last of them at ``upto``, holds a rank."""
+    return (F.col(rank) >= F.col("upto") - F.col("n")) & (F.col(rank) < F.col("upto"))
+
+
+def _at_ranks(pieces: DataFrame, columns: Sequence[str], by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """Quantiles from pieces; null where a wanted rank lies in a gap.
+
+    Many pieces are first counted by region, and sorted inside regions only.
+    """
+    whole = Window.partitionBy(*by, "_feature")
+
+    def ranked(rows: DataFrame, order: str) -> DataFrame:
+        sums = [F.sum("n").over(whole.orderBy(order)).alias("upto"), F.sum("n").over(whole).alias("total")]
+        return rows.select("*", *sums).select("*", _wanted(probs)).filter(_holds("rank"))
+
+    if pieces.count() <= MOST_SORTED_ROWS:
+        at_rank = ranked(pieces, "low")
+    else:
+        place = [*by, "_feature", "_region"]
+        regions = ranked(pieces.groupBy(*place).agg(F.sum("n").alias("n")), "_region")
+        offset = (F.col("rank") - F.col("upto") + F.col("n")).alias("offset")
+        regions = regions.select(*place, "stat", "side", "weight", offset)
+        upto = F.sum("n").over(Window.partitionBy(*place).orderBy("low"))
+        at_rank = regions.join(pieces.withColumn("upto", upto), place).filter(_holds("offset"))
+
+    def side(name: str, which: str) -> Column:
+        hit = (F.col("stat") == name) & (F.col("side") == which)
+        return F.max(F.when(hit, F.col("value")))
+
+    def interpolated(name: str) -> Column:
+        weight = F.max(F.when(F.col("stat") == name, F.col("weight")))
+        low, high = side(name, "low"), side(name, "high")
+        return (low + (high - low) * weight).alias(name)
+
+    found = at_rank.groupBy(*by, "_feature").agg(*[interpolated(name) for name in probs])
+    return found.select(*by, F.element_at(F.lit(list(columns)), F.col("_feature") + 1).alias("feature"), *probs)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact quartiles per column.
 
-    Nulls and NaNs do not count.
+    Nulls and NaNs do not count.  Reads ``df`` twice.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    numbers = materialize(
-        numbers.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns]), "numbers"
-    )
-    moments = numbers.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*columns)))
+    found = _rank(df, columns, QUARTILES)
     # Both sides hold one row per profiled column.
-    return moments.join(
-        F.broadcast(quantiles(numbers, columns, QUARTILES)), "feature", "left"
-    ).select("feature", "n", "mean", "std", "min", *QUARTILES, "max")
+    return found.moments.join(F.broadcast(found.quantiles), "feature", "left").select(
+        "feature", "n", "mean", "std", "min", *QUARTILES, "max"
+    )
 
 
 def five_number_by_class(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Box-plot numbers of each column per class.
 
     Whiskers reach to the last value within 1.5 times the inter-quartile range of the
-    box; values beyond them are counted as outliers.
+    box; values beyond them are counted as outliers.  Reads ``df`` twice: the ends of the
+    whiskers lie between bounds of their own, so each gap is inside or outside as a whole.
     """
-    boxes = materialize(quantiles(df, columns, QUARTILES, [by]), "boxes")
-    wide = boxes.groupBy(by).pivot("feature", list(columns)).agg(
-        *[F.first(q).alias(q) for q in QUARTILES]
+    found = _rank(df, columns, QUARTILES, [by], whiskers=True)
+    feature = F.element_at(F.lit(list(columns)), F.col("_feature") + 1).alias("feature")
+    pieces = found.pieces.select(by, feature, "n", "low", "high")
+    reach = 1.5 * (F.col("q75") - F.col("q25"))
+    inside = F.col("low").between(F.col("q25") - reach, F.col("q75") + reach)
+    return pieces.join(found.quantiles, [by, "feature"]).groupBy(by, "feature", *QUARTILES).agg(
+        F.sum("n").alias("n"),
+        F.min(F.when(inside, F.col("low"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("high"))).alias("whisker_high"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
     )
-    numbers = df.select(by, *[F.col(c).cast("double").alias(c) for c in columns])
-
-    def box(c: str) -> Column:
-        value = F.when(~F.isnan(c), F.col(c))
-        q25, q75 = F.col(f"{c}_q25"), F.col(f"{c}_q75")
-        reach = 1.5 * (q75 - q25)
-        inside = value.between(q25 - reach, q75 + reach)
-        return F.struct(
-            F.lit(c).alias("feature"),
-            *[F.max(f"{c}_{q}").alias(q) for q in QUARTILES],
-            F.count(value).alias("n"),
-            F.min(F.when(inside, value)).alias("whisker_low"),
-            F.max(F.when(inside, value)).alias("whisker_high"),
-            F.count(F.when(~inside, True)).alias("outliers"),
-        )
-
-    # One row per class on the right, and no row is multiplied on the left.
-    per_class = numbers.join(wide, by).groupBy(by).agg(*[box(c).alias(c) for c in columns])
-    return per_class.select(by, F.inline(F.array(*columns))).filter(F.col("n") > 0)
 
 
 # --- histograms ------------------------------------------------------------

@@ -55,6 +55,31 @@ def test_quantiles_of_constant_and_empty(spark):
     assert [(r["feature"], r["m"]) for r in got] == [("x", 2.0)]
 
 
+def test_bounds_that_miss_their_rank_are_widened(spark, numbers, monkeypatch):
+    """Sketches worse than they should be cost passes, not right values."""
+    rows = spark.createDataFrame(numbers)
+    want = sorted(profile.five_number_by_class(rows, ["x", "y"], "g").collect())
+    monkeypatch.setattr(profile, "MOST_SORTED_ROWS", 0)
+    assert sorted(profile.five_number_by_class(rows, ["x", "y"], "g").collect()) == want
+    monkeypatch.setattr(profile, "LEAST_ACCURATE", 8)
+    monkeypatch.setattr(profile, "MOST_ACCURATE", 8)
+    monkeypatch.setattr(profile, "RANK_ERROR", 1e-6)
+    assert sorted(profile.five_number_by_class(rows, ["x", "y"], "g").collect()) == want
+    assert sorted(profile.quantiles(rows, ["x"], profile.QUARTILES).collect())[0]["q50"] == numbers["x"].median()
+
+
+def test_profiles_do_not_copy_their_source(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(50_000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("x")).write.parquet(path)
+    for profiled in (
+        lambda df: profile.describe_numeric(df, ["x"]),
+        lambda df: profile.five_number_by_class(df, ["x"], "k"),
+    ):
+        found = profiled(spark.read.parquet(path))
+        # What the result still reads are the small tables of both passes, not the source.
+        assert path not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_order_bins_rise(spark, numbers):
     binned = add_order_bins(spark.createDataFrame(numbers), ["x"]).toPandas().sort_values("x")
     assert binned["x_bin"].is_monotonic_increasing
