@@ -16,6 +16,7 @@ from tablewright.catalog.registry import (
 )
 from tablewright.operators import features as ops
 from tablewright.operators.clean import null_tokens
+from tablewright.operators.slots import SlotStages
 from tablewright.operators.split import split_train_test
 from tablewright.plans.standins import (
     INCOME_CATEGORICAL,
@@ -261,6 +262,42 @@ def feature_stages(spark, folder):
     )
 
 
+#: Categories of fewer training rows share a slot in :func:`feature_slots`.
+LEAST_COUNT = 350
+
+
+def _slots_sql(c):
+    often = f"(select {c} from bucketed where b < 80 group by {c} having count(*) >= {LEAST_COUNT})"
+    rare = f"(select {c} from bucketed where b < 80 group by {c} having count(*) < {LEAST_COUNT})"
+    return often, rare
+
+
+@query(
+    f"""with {INCOME},
+    bucketed as (select *, {bucket_sql('47', 100, *LINE_KEY_SQL)} as b from income)
+    select {', '.join(LINE_KEYS)}, label,
+      cast(3 + {' + '.join(f'(select count(*) from {often}) + (select least(count(*), 1) from {rare})' for often, rare in map(_slots_sql, INCOME_CATEGORICAL))} as integer) as n_slots,
+      cast({' + '.join(f'({c} in {_slots_sql(c)[0]})::integer + ({c} in {_slots_sql(c)[1]})::integer' for c in INCOME_CATEGORICAL)} as double) as n_set,
+      cast({' + '.join(f'({c} in {_slots_sql(c)[1]})::integer' for c in INCOME_CATEGORICAL)} as double) as n_shared
+    from bucketed where b >= 80"""
+)
+def feature_slots(spark, folder):
+    """Vectors from the written dictionary, rare categories in a slot of their column."""
+    rows = materialize(income_rows(spark, folder), "income")
+    train, test = split_train_test(rows, line_keys(), 80, 47)
+    slots = SlotStages(tuple(INCOME_CATEGORICAL), tuple(INCOME_NUMERIC), LEAST_COUNT).fit(train)
+    found = slots.transform(test).withColumn("f", vector_to_array("features"))
+    hot = F.slice("f", len(INCOME_NUMERIC) + 1, F.size("f"))
+    shared = [F.col("f")[first + often] for _, first, often, n in slots.columns if n > often]
+    return found.select(
+        *LINE_KEYS,
+        "label",
+        F.size("f").alias("n_slots"),
+        F.aggregate(hot, F.lit(0.0), lambda a, x: a + x).alias("n_set"),
+        sum(shared, F.lit(0.0)).alias("n_shared"),
+    )
+
+
 @query(
     f"with {INCOME}, dictionary as ("
     + " union all ".join(

@@ -1,10 +1,9 @@
 """Fitted models on the stand-in tables.
 
 SQL cannot fit a model, but it can count the rows that a fit sees.  Each query returns these counts,
-and flags that a second route sets: the slope of the loss, the coefficient table, the evaluators.
+and flags that a second route sets: the slope of the loss, the coefficient table, counts of the scored rows.
 """
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tablewright.catalog.registry import INCOME, LINE_KEY_SQL, RISK, bucket_sql, query
@@ -14,6 +13,7 @@ from tablewright.operators.features import fit_stages, table_stages
 from tablewright.operators.score import risk_score as add_risk
 from tablewright.operators.score import score as score_rows
 from tablewright.operators.score import score_linear, weights_of
+from tablewright.operators.slots import SlotStages
 from tablewright.operators.split import kfold_assign, split_train_test
 from tablewright.plans import comments, income, risk
 from tablewright.plans.standins import (
@@ -127,29 +127,61 @@ def coefficients_table(spark, folder):
     from held_out, (values ('precision'), ('recall'), ('f1'), ('areaUnderROC')) as names(metric) group by metric"""
 )
 def risk_metrics(spark, folder):
-    """Metrics of class 1, and whether the evaluators of ``pyspark.ml`` give the same."""
+    """Metrics of class 1, and whether counts by another route give the same."""
     result = _risk(spark, folder)
-    return _against_evaluators(
+    return _against_counts(
         result.metrics.withColumn("model", F.lit("LR")),
         result.predictions.select(F.lit("LR").alias("model"), F.col("target").alias("label"), "prediction", F.col("risk").alias("score")),
-        {"precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"},
-        metricLabel=1.0,
+        {},
+        one_class=True,
     ).drop("model")
 
 
-def _against_evaluators(metrics, scored, names, **params):
-    """``(model, metric, n, same)``: each metric against the evaluators, over ``n`` scored rows."""
+#: Bins of the scores that bound an area from below and above.
+AREA_BINS = 1000
+
+
+def _against_counts(metrics, scored, names, one_class=False):
+    """``(model, metric, n, same)``: each metric against counts taken by another route, over ``n`` scored rows.
+
+    One aggregation counts labels, classes and score bins. The counts give the metrics of the confusion; the area
+    must lie between that with all pairs inside a bin ranked wrong and that with all of them ranked right.
+    """
+    place = F.floor(F.col("score") * AREA_BINS).cast("int")
+    cells = scored.groupBy("model", F.col("label").cast("double").alias("label"), "prediction", place.alias("bin")).count()
+    by_model: dict[str, list] = {}
+    for r in cells.collect():  # at most models x labels x classes x (AREA_BINS + 1) rows
+        by_model.setdefault(r["model"], []).append((r["label"], r["prediction"], r["bin"], r["count"]))
     rows = []
     for r in metrics.collect():  # a row per model and metric
-        some = scored.filter(F.col("model") == r["model"]).withColumn("label", F.col("label").cast("double"))
-        if r["metric"] == "areaUnderROC":
-            theirs = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
-        else:
-            theirs = MulticlassClassificationEvaluator(metricName=names[r["metric"]], **params)
-        rows.append((r["model"], r["metric"], some.count(), abs(theirs.evaluate(some) - r["value"]) < 1e-9))
+        found = by_model[r["model"]]
+        low, high = _expected(names.get(r["metric"], r["metric"]), found, one_class)
+        rows.append((r["model"], r["metric"], sum(c[3] for c in found), low - 1e-9 <= r["value"] <= high + 1e-9))
     return metrics.sparkSession.createDataFrame(rows, "model string, metric string, n bigint, same boolean")
 
 
+def _expected(metric, cells, one_class):
+    """The least and the greatest value of a metric that the cells (label, class, bin, count) allow."""
+    if metric == "areaUnderROC":
+        bins = sorted({c[2] for c in cells})
+        totals = [[sum(n for label, _, b, n in cells if label == side and b == at) for at in bins] for side in (1.0, 0.0)]
+        pairs = sum(totals[0]) * sum(totals[1])
+        below = sum(p * sum(totals[1][:i]) for i, p in enumerate(totals[0]))
+        return below / pairs, (below + sum(p * n for p, n in zip(*totals, strict=True))) / pairs
+    total, value = sum(c[3] for c in cells), 0.0
+    if metric == "accuracy":
+        value = sum(n for label, guess, _, n in cells if label == guess) / total
+        return value, value
+    for side in [1.0] if one_class else sorted({c[0] for c in cells}):
+        hits = sum(n for label, guess, _, n in cells if label == guess == side)
+        actual = sum(n for label, _, _, n in cells if label == side)
+        guessed = sum(n for _, guess, _, n in cells if guess == side)
+        precision, recall = hits / guessed if guessed else 0.0, hits / actual if actual else 0.0
+        f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+        value += {"precision": precision, "recall": recall, "f1": f1}[metric] * (1 if one_class else actual / total)
+    return value, value
+
+
 def label_probabilities(spark, folder):
     """Label probabilities of all texts that lack a label, from models of those that have all."""
     rows = labeled_texts(spark, folder)
@@ -187,7 +219,7 @@ def _cross_validation(spark, folder):
         "folds",
     )
     estimator = ops.logreg("label", maxIter=ops.CV_MAX_ITER)
-    stages = table_stages(INCOME_CATEGORICAL, INCOME_NUMERIC)
+    stages = SlotStages(tuple(INCOME_CATEGORICAL), tuple(INCOME_NUMERIC))
     return folded, ops.cross_validate(folded, stages, estimator, ops.param_grid(estimator))
 
 
@@ -212,23 +244,31 @@ def cross_validate(spark, folder):
     )
 
 
-@query(f"select reg_param, 3::bigint as folds, true as same from {GRID_SQL}")
+@query(
+    f"""{INCOME_SPLIT}, sizes as (select fold, count(*) as n from train group by fold)
+    select reg_param, count(*) as folds, sum(n)::bigint as n_ranked, ((count(*) - 1) * sum(n))::bigint as n_trained, true as same
+    from sizes, {GRID_SQL} group by reg_param"""
+)
 def best_params(spark, folder):
-    """Every grid point, over how many folds, and whether its mean and place in the order are right."""
-    grid = materialize(_cross_validation(spark, folder)[1], "grid")
-    by_point: dict[float, list[float]] = {}
+    """Every grid point, over how many folds and rows, and whether its mean and place in the order are right."""
+    folded, grid = _cross_validation(spark, folder)
+    sizes = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    grid = materialize(grid.join(sizes, "fold"), "grid")
+    by_point: dict[float, list] = {}
     for r in grid.collect():  # a row per grid point and fold
-        by_point.setdefault(r["reg_param"], []).append(r["auc"])
-    ordered = sorted(by_point, key=lambda p: (-sum(by_point[p]) / len(by_point[p]), p))
+        by_point.setdefault(r["reg_param"], []).append(r)
+    means = {p: sum(r["auc"] for r in rs) / len(rs) for p, rs in by_point.items()}
+    ordered = sorted(means, key=lambda p: (-means[p], p))
     rows = []
     for place, r in enumerate(ops.best_params(grid).collect()):
-        values = by_point[r["reg_param"]]
-        close = abs(r["mean_auc"] - sum(values) / len(values)) < 1e-12
-        rows.append((r["reg_param"], len(values), close and ordered[place] == r["reg_param"]))
-    return spark.createDataFrame(rows, "reg_param double, folds bigint, same boolean")
+        mine = by_point[r["reg_param"]]
+        total = sum(m["n"] for m in mine)
+        right = abs(r["mean_auc"] - means[r["reg_param"]]) < 1e-12 and ordered[place] == r["reg_param"]
+        rows.append((r["reg_param"], len(mine), total, (len(mine) - 1) * total, right))
+    return spark.createDataFrame(rows, "reg_param double, folds bigint, n_ranked bigint, n_trained bigint, same boolean")
 
 
-METRIC_NAMES = {"accuracy": "accuracy", "weightedPrecision": "weightedPrecision", "weightedRecall": "weightedRecall", "f1": "f1"}
+METRIC_NAMES = {"accuracy": "accuracy", "weightedPrecision": "precision", "weightedRecall": "recall", "f1": "f1"}
 
 
 def _checked_metrics_sql(*models):
@@ -238,12 +278,12 @@ def _checked_metrics_sql(*models):
 
 
 def _checked(result):
-    return _against_evaluators(result.metrics, result.scored, METRIC_NAMES)
+    return _against_counts(result.metrics, result.scored, METRIC_NAMES)
 
 
 @query(_checked_metrics_sql("LR"))
 def tuned_logreg_metrics(spark, folder):
-    """Metrics of the tuned model, and whether the evaluators of ``pyspark.ml`` give the same."""
+    """Metrics of the tuned model, and whether counts by another route give the same."""
     return _checked(income.fit_tuned_logreg(*_income(spark, folder)))
 
 
@@ -280,5 +320,5 @@ def fit_decision_tree(spark, folder):
 
 @query(_checked_metrics_sql("RF", "DT"))
 def tree_model_metrics(spark, folder):
-    """Metrics of both tree models, and whether the evaluators of ``pyspark.ml`` give the same."""
+    """Metrics of both tree models, and whether counts by another route give the same."""
     return _checked(income.compare_trees(*_income(spark, folder)))

@@ -102,24 +102,33 @@ def hashed_tf_idf(tf: DataFrame, weights: DataFrame, key: str) -> DataFrame:
 
 # --- categories, as tables -------------------------------------------------
 
+def category_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, column, category, n)``: how often each category occurs, in one pass; nulls are no category."""
+    texts = [F.col(c).cast("string").alias(c) for c in columns]
+    long = df.select(*by, *texts).unpivot(list(by), list(columns), "column", "category")
+    return long.filter(F.col("category").isNotNull()).groupBy(*by, "column", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
 def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, category, n, idx)``: categories numbered from most to least frequent.
 
     Ties are numbered alphabetically; nulls are no category.  One pass counts all columns.
-    The counts are range-partitioned in that order; each part numbers its own rows, and the
-    few sizes of the parts give where its numbers start.  So any number of categories works.
     """
-    long = df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "category"
-    )
-    counts = materialize(
-        long.filter(F.col("category").isNotNull())
-        .groupBy("column", "category")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "categories",
-    )
+    return number_categories(category_counts(df, columns))
+
+
+def number_categories(counts: DataFrame) -> DataFrame:
+    """``(column, category, n, idx)`` from a table of counts.
+
+    Few categories are sorted by column.  Many are range-partitioned in their order; each part numbers its
+    own rows, and the few sizes of the parts give where its numbers start.  So any number of them works.
+    """
+    counts = materialize(counts, "categories")
+    if counts.count() <= MOST_BROADCAST_ROWS:
+        nth = F.row_number().over(Window.partitionBy("column").orderBy(F.col("n").desc(), "category"))
+        return counts.select("column", "category", "n", (nth - 1).alias("idx"))
     order = ["column", F.col("n").desc(), "category"]
-    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = materialize(
         counts.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
         "ordered-categories",

@@ -11,7 +11,7 @@ from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -25,6 +25,7 @@ from tablewright.functions import vector_element
 from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.features import feature_names, fit_stages
 from tablewright.operators.joins import union_all
+from tablewright.operators.slots import Slots, SlotStages
 from tablewright.session import discard, materialize
 
 # Regularization of the text models, the grid searched and the iteration
@@ -107,9 +108,17 @@ def param_grid(estimator: LogisticRegression, reg_params: Sequence[float] = REG_
     return ParamGridBuilder().addGrid(estimator.regParam, list(reg_params)).build()
 
 
+def feature_table(prepared: PipelineModel | Slots, df: DataFrame, label: str) -> DataFrame:
+    """``(features, label)`` as a written table."""
+    if isinstance(prepared, Slots):  # these write their vectors themselves
+        inputs = dict.fromkeys([*prepared.stages.categorical, *prepared.stages.numeric, label])
+        return prepared.transform(df.select(*inputs)).select("features", label)
+    return materialize(prepared.transform(df).select("features", label), "feature-table")
+
+
 def cross_validate(
     df: DataFrame,
-    stages: Sequence,
+    stages: Sequence | SlotStages,
     estimator: LogisticRegression,
     grid: Sequence[dict],
     fold: str = "fold",
@@ -118,8 +127,8 @@ def cross_validate(
 ) -> DataFrame:
     """``(reg_param, fold, auc)`` for every grid point and fold, with the exact area.
 
-    Feature stages are fitted on the training rows of each fold only, once per fold
-    rather than once per fit; all grid points share the fold's feature tables.  A fit is
+    ``stages`` are stages of ``pyspark.ml`` or :class:`SlotStages`.  They are fitted on the training rows of each fold
+    only, once per fold rather than once per fit; all grid points share the fold's feature tables.  A fit is
     a chain of short jobs, so up to ``parallelism`` of them run side by side.  Folds follow
     each other, and a fold's feature tables go when it is done: only scores are kept, and all
     areas come from one aggregation over them.
@@ -127,13 +136,14 @@ def cross_validate(
     spark = df.sparkSession
     label = estimator.getLabelCol()
     scores = []
+    fitted = stages.fit_folds(df, fold, folds) if isinstance(stages, SlotStages) else None
     for k in range(folds):
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
-        prepared = fit_stages(stages, train)
-        train = materialize(prepared.transform(train).select("features", label), "fold-train")
+        prepared = fitted[k] if fitted else fit_stages(stages, train)
+        train = feature_table(prepared, train, label)
         fits = [partial(estimator.copy(params).fit, train) for params in grid]
         models = _in_threads(fits, parallelism, spark)
-        scored = prepared.transform(valid).select("features", label)
+        scored = feature_table(prepared, valid, label) if fitted else prepared.transform(valid).select("features", label)
         points = []
         for i, (params, model) in enumerate(zip(grid, models, strict=True)):
             model = model.copy()

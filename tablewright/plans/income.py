@@ -14,14 +14,15 @@ from tablewright.operators.clean import CleanSpec, clean_table
 from tablewright.operators.evaluate import evaluate_model
 from tablewright.operators.features import fit_stages, table_stages
 from tablewright.operators.joins import union_all
+from tablewright.operators.slots import SlotStages
 from tablewright.operators.split import in_train, kfold_assign
 from tablewright.operators.train import (
     CV_MAX_ITER,
     REG_PARAMS,
     TREES,
     best_params,
-    coefficients_table,
     cross_validate,
+    feature_table,
     fit_decision_tree,
     fit_logreg,
     fit_random_forest,
@@ -122,27 +123,31 @@ def fit_tuned_logreg(
     seed: int = SPLIT_SEED,
     max_iter: int = CV_MAX_ITER,
     parallelism: int = 8,
+    least_count: int = 1,
 ) -> TunedResult:
-    """Choose the regularization by cross-validation, refit on all training rows, evaluate."""
+    """Choose the regularization by cross-validation, refit on all training rows, evaluate.
+
+    Categories stay in written tables; those of fewer than ``least_count`` rows share a slot per column.
+    """
     train, test = _split_table(df, [*categorical, *numeric, label], keys, folds, seed)
-    stages = table_stages(categorical, numeric)
+    stages = SlotStages(tuple(categorical), tuple(numeric), least_count)
     estimator = logreg(label, maxIter=max_iter)
     grid = cross_validate(
         train, stages, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
     )
     best = best_params(grid)
     reg_param = best.first()["reg_param"]
-    prepared = fit_stages(stages, train)
-    vectors = materialize(prepared.transform(train).select("features", label), "income-train")
+    prepared = stages.fit(train)
+    vectors = feature_table(prepared, train, label)
     model = fit_logreg(vectors, label, maxIter=max_iter, regParam=reg_param)
     scored = materialize(
-        score_models({"LR": model}, prepared.transform(test), label), "income-scored"
+        score_models({"LR": model}, feature_table(prepared, test, label), label), "income-scored"
     )
     return TunedResult(
         model=model,
         grid=grid,
         best=best,
-        coefficients=coefficients_table(model, vectors),
+        coefficients=prepared.coefficients(model),
         scored=scored,
         metrics=evaluate_model(scored, label, "prediction", "score"),
     )
@@ -158,7 +163,10 @@ def compare_trees(
     seed: int = SPLIT_SEED,
     **params,
 ) -> ComparedResult:
-    """Fit a random forest and a decision tree on the same features and evaluate both."""
+    """Fit a random forest and a decision tree on the same features and evaluate both.
+
+    Trees read from the columns' metadata which slots are categories, so they use the stages of ``pyspark.ml``.
+    """
     train, test = _split_table(df, [*categorical, *numeric, label], keys, 1, seed)
     prepared = fit_stages(table_stages(categorical, numeric), train)
     vectors = materialize(prepared.transform(train).select("features", label), "income-train")
