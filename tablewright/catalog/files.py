@@ -1,17 +1,18 @@
 """Sources and sinks.  Tables are written to the shared folder and read back."""
 
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.catalog.evaluation import METRICS_OF_SCORED
-from tablewright.catalog.registry import DIRTY, RISK, query
+from tablewright.catalog.registry import DIRTY, LINE_KEY_SQL, RISK, query
 from tablewright.functions import vector_element
 from tablewright.operators.evaluate import confusion_matrix, evaluate_model
 from tablewright.operators.joins import union_all
 from tablewright.operators.ordering import preview
 from tablewright.operators.score import score_linear, threshold_predict
-from tablewright.plans.standins import DIRTY_COLUMNS, dirty_rows, risk_rows, table
+from tablewright.plans.standins import DIRTY_COLUMNS, dirty_rows, line_keys, risk_rows, table
 from tablewright.session import scratch_path
 from tablewright.sources import (
     read_results,
@@ -165,8 +166,14 @@ def vector_element_of(spark, folder):
     return vectors.select("vec_id", F.round(vector_element("vector", 1), 6).alias("element"))
 
 
-#: Line numbers are below this, so order * LINES_OF_ORDER + line names a line.
-LINES_OF_ORDER = 8
+#: A number for a line of ``lineitem``: 60 bits of the md5 of all that names it.
+LINE_UID_SQL = f"""('0x' || substr(md5({" || '|' || ".join(f"coalesce(cast({k} as varchar), '')" for k in LINE_KEY_SQL)}), 1, 15))::bigint"""
+
+
+def _line_uid():
+    keys = [k if isinstance(k, Column) else F.col(k) for k in line_keys()]
+    name = F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
 @query(
@@ -176,23 +183,18 @@ LINES_OF_ORDER = 8
     long as (select unnest(['n', 'positives', 'alarms']) as metric, unnest([n::double, positives::double, alarms::double]) as value from counted)
     select 'run_metrics' as kind, metric as name, value from long
     union all select 'classifier_metrics', 'price ' || metric, value from long
-    union all select 'label_predictions', 'UID ' || l_orderkey || ' ' || l_linenumber, round(l_discount, 2) from risk where l_linenumber = 1
-    union all select 'sample_predictions', l_orderkey || ' ' || target, round(l_quantity, 2) from risk where l_linenumber = 1"""
+    union all select 'label_predictions', 'UID ' || {LINE_UID_SQL}, round(l_discount, 2) from risk
+    union all select 'sample_predictions', l_orderkey || ' ' || l_linenumber || ' ' || target, round(l_quantity, 2) from risk"""
 )
 def read_saved_results(spark, folder):
-    """Tables of every layout that names its columns by task, written as CSV and read back.
-
-    Every line passes through the layouts; of the lines read back, the result names the first of each order.
-    """
+    """Tables of every layout that names its columns by task, written as CSV and read back, with all lines."""
     back = {kind: read for kind, (_, read) in saved_and_read_back(spark, folder).items()}
-    back["label_predictions"] = back["label_predictions"].filter(F.col("UID") % LINES_OF_ORDER == 1)
-    back["sample_predictions"] = back["sample_predictions"].filter("line = 1")
-    order = F.expr(f"UID div {LINES_OF_ORDER}").cast("string")
+    place = F.concat_ws(" ", *[F.col(c).cast("bigint").cast("string") for c in ("order", "line", "target")])
     named = {
         "run_metrics": (F.col("metric"), F.col("value")),
         "classifier_metrics": (F.concat_ws(" ", "classifier", "metric"), F.col("value")),
-        "label_predictions": (F.concat(F.lit("UID "), order, F.lit(" 1")), F.round(F.col("proba_first").cast("double"), 2)),
-        "sample_predictions": (F.concat_ws(" ", F.col("order").cast("bigint").cast("string"), "target"), F.round("l_quantity", 2)),
+        "label_predictions": (F.concat(F.lit("UID "), F.col("UID").cast("string")), F.round(F.col("proba_first").cast("double"), 2)),
+        "sample_predictions": (place, F.round("l_quantity", 2)),
     }
     return union_all(*[back[k].select(F.lit(k).alias("kind"), n.alias("name"), v.alias("value")) for k, (n, v) in named.items()])
 
@@ -205,12 +207,11 @@ def saved_and_read_back(spark, folder):
     )
     long = counted.unpivot([], counted.columns, "metric", "value")
     lines = risk_rows(spark, folder)
-    uid = F.col("l_orderkey").cast("bigint") * LINES_OF_ORDER + F.col("l_linenumber")
     tables = {
         "run_metrics": long,
         "classifier_metrics": long.select(F.lit("price").alias("classifier"), "metric", "value"),
         "label_predictions": lines.select(
-            uid.alias("UID"), F.col("l_discount").cast("float").alias("proba_first"), F.lit(1.0).alias("pred_first")
+            _line_uid().alias("UID"), F.col("l_discount").cast("float").alias("proba_first"), F.lit(1.0).alias("pred_first")
         ),
         "sample_predictions": lines.select(
             F.col("l_quantity").cast("double"), F.col("l_orderkey").cast("double").alias("order"),

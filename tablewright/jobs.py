@@ -24,7 +24,7 @@ from tablewright.sources import (
     CENSUS,
     COMMENTS,
     HEART,
-    read_results,
+    read_metrics,
     scan_csv_header,
     scan_csv_headerless,
     scan_csv_text,
@@ -32,6 +32,7 @@ from tablewright.sources import (
     write_confusion,
     write_metrics,
     write_predictions,
+    write_report,
 )
 
 
@@ -70,7 +71,7 @@ def run_income_logreg(spark: SparkSession, train: str, test: str, out: str) -> D
     )
     write_coefficients(result.coefficients, f"{out}/coefficients")
     write_metrics(result.metrics, f"{out}/metrics")
-    result.best.write.mode("overwrite").option("header", True).csv(f"{out}/grid")
+    write_report(result.best, f"{out}/grid")
     features = result.coefficients.filter(F.col("feature") != "intercept")
     return top_k_abs(features, "coefficient", ["feature"], 15)
 
@@ -84,18 +85,25 @@ def run_income_trees(spark: SparkSession, train: str, test: str, out: str) -> Da
 
 
 def run_compare(spark: SparkSession, first: str, second: str, out: str) -> DataFrame:
-    """The metrics of two runs side by side, with the best model of each metric."""
-    metrics = union_all(*[read_results(spark, p, "metrics") for p in (first, second)])
+    """The metrics of two saved runs side by side, with the best model of each metric.
+
+    Files may have any layout of :func:`read_metrics`.  ``NAME=path`` names the model of a file that does not.
+    """
+    found = []
+    for place, given in (("first", first), ("second", second)):
+        name, equals, path = given.rpartition("=")
+        found.append(read_metrics(spark, path, name if equals else place))
+    metrics = materialize(union_all(*found), "metrics")
     models = sorted(r["model"] for r in metrics.select("model").distinct().collect())
     best = best_model_per_metric(metrics).select("metric", F.col("model").alias("best"))
     table = compare_models(metrics, models).join(best, "metric", "left").orderBy("metric")
-    table.write.mode("overwrite").option("header", True).csv(f"{out}/comparison")
+    write_report(table, f"{out}/comparison")
     return table
 
 
 def _write_profile(tables: dict[str, DataFrame], out: str) -> None:
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+        write_report(df, f"{out}/{name}")
 
 
 def run_profile_comments(spark: SparkSession, train: str, out: str) -> DataFrame:
@@ -110,6 +118,9 @@ def run_profile_comments(spark: SparkSession, train: str, out: str) -> DataFrame
         "label_correlations": profile.correlation_matrix(rows, labels),
         "text_length": profile.describe_numeric(rows, ["text_length"]),
         "text_length_by_class": profile.histogram(rows, "text_length", 50, by=labels[0], own_range=True),
+        "text_length_by_any_label": profile.histogram(
+            rows.withColumn("any_label", profile.has_label(labels)), "text_length", 100, by="any_label", own_range=True
+        ),
     }
     _write_profile(tables, out)
     return tables["label_counts"]

@@ -117,29 +117,30 @@ def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return number_categories(category_counts(df, columns))
 
 
-def number_categories(counts: DataFrame) -> DataFrame:
-    """``(column, category, n, idx)`` from a table of counts.
+def number_categories(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, column, category, n, idx)`` from a table of counts, numbered apart for each ``by``.
 
     Few categories are sorted by column.  Many are range-partitioned in their order; each part numbers its
     own rows, and the few sizes of the parts give where its numbers start.  So any number of them works.
     """
     counts = materialize(counts, "categories")
+    group = [*by, "column"]
     if counts.count() <= MOST_BROADCAST_ROWS:
-        nth = F.row_number().over(Window.partitionBy("column").orderBy(F.col("n").desc(), "category"))
-        return counts.select("column", "category", "n", (nth - 1).alias("idx"))
-    order = ["column", F.col("n").desc(), "category"]
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("n").desc(), "category"))
+        return counts.select(*group, "category", "n", (nth - 1).alias("idx"))
+    order = [*group, F.col("n").desc(), "category"]
     parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = materialize(
-        counts.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
+        counts.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()),
         "ordered-categories",
     )
-    sizes = placed.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("size"))
-    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("column", "_part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("column", "_part").orderBy(F.col("n").desc(), "category")
-    numbered = placed.withColumn("_nth", F.row_number().over(inside)).join(starts, ["column", "_part"])
+    sizes = placed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, "_range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*group, "_range").orderBy(F.col("n").desc(), "category")
+    numbered = placed.withColumn("_nth", F.row_number().over(inside)).join(starts, [*group, "_range"])
     return numbered.select(
-        "column", "category", "n", (F.col("_start") + F.col("_nth") - 1).cast("int").alias("idx")
+        *group, "category", "n", (F.col("_start") + F.col("_nth") - 1).cast("int").alias("idx")
     )
 
 

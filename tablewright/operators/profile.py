@@ -24,6 +24,11 @@ def _labels_set(labels: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in labels])
 
 
+def has_label(labels: Sequence[str]) -> Column:
+    """Whether any 0/1 label of a row is set."""
+    return _labels_set(labels) > 0
+
+
 def _long(df: DataFrame, columns: Sequence[str], names: tuple[str, str], keep=()) -> DataFrame:
     """One row per row and column: ``(*keep, name, value)``."""
     return df.unpivot(list(keep), list(columns), *names)

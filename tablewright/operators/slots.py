@@ -40,26 +40,32 @@ class SlotStages:
     most_broadcast_rows: int = MOST_BROADCAST_ROWS
 
     def fit(self, train: DataFrame) -> Slots:
-        return self.fit_counts(materialize(category_counts(train, self.categorical), "category-counts"))
+        counts = category_counts(train, self.categorical).withColumn("part", F.lit("0"))
+        return self._number(counts, 1)[0]
 
     def fit_folds(self, df: DataFrame, fold: str, folds: int) -> list[Slots]:
         """The slots of the training rows of each fold, then those of all rows, from one count of the categories."""
-        counts = materialize(category_counts(df, self.categorical, [fold]), "category-counts")
-        parts = [*[counts.filter(F.col(fold) != k) for k in range(folds)], counts]
-        return [self.fit_counts(p.groupBy("column", "category").agg(F.sum("n").alias("n"))) for p in parts]
-
-    def fit_counts(self, counts: DataFrame) -> Slots:
-        """From ``(column, category, n)``. A row per column comes to the driver."""
-        dictionary = materialize(number_categories(counts), "dictionary")
+        counts = category_counts(df, self.categorical, [fold])
+        sums = [F.sum(F.when(F.col(fold) != k, F.col("n"))).alias(str(k)) for k in range(folds)]
+        wide = counts.groupBy("column", "category").agg(*sums, F.sum("n").alias(str(folds)))
+        parts = [str(k) for k in range(folds + 1)]
+        return self._number(wide.unpivot(["column", "category"], parts, "part", "n").filter("n > 0"), folds + 1)
+
+    def _number(self, counts: DataFrame, parts: int) -> list[Slots]:
+        """From ``(part, column, category, n)``. A row per part and column comes to the driver."""
+        dictionary = materialize(number_categories(counts, ["part"]), "dictionary")
         often = F.col("n") >= self.least_count
-        sums = dictionary.groupBy("column").agg(F.count_if(often).alias("often"), F.count_if(~often).alias("rare"))
-        sizes = {r["column"]: (r["often"], r["rare"]) for r in sums.collect()}
-        first, sizes_in_order = len(self.numeric), []
-        for c in self.categorical:
-            often, rare = sizes.get(c, (0, 0))
-            sizes_in_order.append((c, first, often, often + rare))
-            first += often + min(rare, 1)
-        return Slots(self, dictionary, tuple(sizes_in_order), first)
+        sums = dictionary.groupBy("part", "column").agg(F.count_if(often).alias("often"), F.count_if(~often).alias("rare"))
+        sizes = {(r["part"], r["column"]): (r["often"], r["rare"]) for r in sums.collect()}
+        out = []
+        for part in map(str, range(parts)):
+            first, columns = len(self.numeric), []
+            for c in self.categorical:
+                often, rare = sizes.get((part, c), (0, 0))
+                columns.append((c, first, often, often + rare))
+                first += often + min(rare, 1)
+            out.append(Slots(self, dictionary.filter(F.col("part") == part), tuple(columns), first))
+        return out
 
 
 @dataclass(frozen=True)

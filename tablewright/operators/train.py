@@ -127,7 +127,7 @@ def cross_validate(
 ) -> DataFrame:
     """``(reg_param, fold, auc)`` for every grid point and fold, with the exact area.
 
-    ``stages`` are stages of ``pyspark.ml`` or :class:`SlotStages`.  They are fitted on the training rows of each fold
+    ``stages`` are stages of ``pyspark.ml``, or :class:`SlotStages`, or what these have fitted per fold.  They are fitted on the training rows of each fold
     only, once per fold rather than once per fit; all grid points share the fold's feature tables.  A fit is
     a chain of short jobs, so up to ``parallelism`` of them run side by side.  Folds follow
     each other, and a fold's feature tables go when it is done: only scores are kept, and all
@@ -136,14 +136,17 @@ def cross_validate(
     spark = df.sparkSession
     label = estimator.getLabelCol()
     scores = []
-    fitted = stages.fit_folds(df, fold, folds) if isinstance(stages, SlotStages) else None
+    if isinstance(stages, SlotStages):
+        stages = stages.fit_folds(df, fold, folds)
+    fitted = stages if stages and isinstance(stages[0], Slots) else None
     for k in range(folds):
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
         prepared = fitted[k] if fitted else fit_stages(stages, train)
         train = feature_table(prepared, train, label)
         fits = [partial(estimator.copy(params).fit, train) for params in grid]
         models = _in_threads(fits, parallelism, spark)
-        scored = feature_table(prepared, valid, label) if fitted else prepared.transform(valid).select("features", label)
+        valid = feature_table(prepared, valid, label) if fitted else prepared.transform(valid).select("features", label)
+        scored = valid
         points = []
         for i, (params, model) in enumerate(zip(grid, models, strict=True)):
             model = model.copy()
@@ -153,7 +156,8 @@ def cross_validate(
             points.append(F.struct(reg_param, vector_element(f"raw_{i}", 1).alias("score")))
         scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
         scores.append(materialize(scored, "fold-scores"))
-        discard(train)
+        for table in [train, valid] if fitted else [train]:
+            discard(table)
     areas = auc_roc(union_all(*scores), label, "score", ["reg_param", "fold"]).collect()
     for table in scores:
         discard(table)

@@ -130,14 +130,14 @@ def fit_tuned_logreg(
     Categories stay in written tables; those of fewer than ``least_count`` rows share a slot per column.
     """
     train, test = _split_table(df, [*categorical, *numeric, label], keys, folds, seed)
-    stages = SlotStages(tuple(categorical), tuple(numeric), least_count)
+    fitted = SlotStages(tuple(categorical), tuple(numeric), least_count).fit_folds(train, "fold", folds)
     estimator = logreg(label, maxIter=max_iter)
     grid = cross_validate(
-        train, stages, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
+        train, fitted, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
     )
     best = best_params(grid)
     reg_param = best.first()["reg_param"]
-    prepared = stages.fit(train)
+    prepared = fitted[-1]  # on all training rows
     vectors = feature_table(prepared, train, label)
     model = fit_logreg(vectors, label, maxIter=max_iter, regParam=reg_param)
     scored = materialize(

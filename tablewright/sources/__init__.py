@@ -2,6 +2,8 @@
 
 from tablewright.sources.layouts import CENSUS, COMMENTS, HEART
 from tablewright.sources.readers import (
+    quarantine,
+    read_metrics,
     read_results,
     scan_by_uri,
     scan_csv_header,
@@ -13,12 +15,15 @@ from tablewright.sources.writers import (
     write_confusion,
     write_metrics,
     write_predictions,
+    write_report,
 )
 
 __all__ = [
     "CENSUS",
     "COMMENTS",
     "HEART",
+    "quarantine",
+    "read_metrics",
     "read_results",
     "scan_by_uri",
     "scan_csv_header",
@@ -28,4 +33,5 @@ __all__ = [
     "write_confusion",
     "write_metrics",
     "write_predictions",
+    "write_report",
 ]

@@ -107,7 +107,23 @@ RESULTS: dict[str, T.StructType] = {
 }
 
 
+# Names of metrics in saved files, in lower case without blanks and marks, and what they are here.
+METRIC_NAMES = {
+    "accuracy": "accuracy",
+    "precision": "weightedPrecision",
+    "weightedprecision": "weightedPrecision",
+    "recall": "weightedRecall",
+    "weightedrecall": "weightedRecall",
+    "f1": "f1",
+    "f1score": "f1",
+    "rocauc": "areaUnderROC",
+    "areaunderroc": "areaUnderROC",
+    "testareaunderroc": "areaUnderROC",
+}
+
+
 def _label_prediction_type(name: str) -> T.DataType:
+    # The key and the prefixes of the columns, and their types.
     if name == "UID":
         return T.LongType()
     if name.startswith("proba_"):

@@ -2,10 +2,21 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright import jobs
 from tablewright.session import materialize, scratch_path, shared_folder, spread
-from tablewright.sources import CENSUS, HEART, read_results
+from tablewright.sources import (
+    CENSUS,
+    HEART,
+    quarantine,
+    read_metrics,
+    read_results,
+    scan_csv_header,
+    scan_csv_headerless,
+    write_metrics,
+)
 
 
 def write(path, header, rows):
@@ -153,4 +164,61 @@ def test_cross_validation_leaves_no_feature_tables(spark):
     import os
 
     folder = scratch_path(spark, "x").rsplit("/", 1)[0]
-    assert not [n for n in os.listdir(folder) if n.startswith("fold-")]
+    assert not [n for n in os.listdir(folder) if n.startswith(("fold-", "feature-table-"))]
+
+
+def test_compare_job_reads_saved_layouts(spark, tmp_path):
+    """One run in a file of its own and two in another, with the names that such files have for their metrics."""
+    (tmp_path / "one.csv").write_text("metric,value\nAccuracy,0.8\nRecall,0.8\nPrecision,0.7\nF1 Score,0.75\nROC-AUC,0.9\n")
+    lines = [f"{c},{m},{v}" for c, v in (("RF", 0.78), ("DT", 0.81)) for m in ("Accuracy", "Weightedprecision", "Weightedrecall", "F1", "Roc_auc")]
+    (tmp_path / "two.csv").write_text("classifier,metric,value\n" + "\n".join(lines) + "\n")
+    table = jobs.run_compare(spark, f"LR={tmp_path}/one.csv", f"{tmp_path}/two.csv", str(tmp_path / "out")).collect()
+    assert {r["metric"]: (r["LR"], r["RF"], r["DT"], r["best"]) for r in table} == {
+        "accuracy": (0.8, 0.78, 0.81, "DT"),
+        "weightedPrecision": (0.7, 0.78, 0.81, "DT"),
+        "weightedRecall": (0.8, 0.78, 0.81, "DT"),
+        "f1": (0.75, 0.78, 0.81, "DT"),
+        "areaUnderROC": (0.9, 0.78, 0.81, "LR"),
+    }
+    (tmp_path / "odd.csv").write_text("metric,value\nLuck,1.0\n")
+    with pytest.raises(Exception, match="unknown metric Luck"):
+        read_metrics(spark, str(tmp_path / "odd.csv")).collect()
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    good = spark.createDataFrame([("LR", "f1", 0.5)], "model string, metric string, value double")
+    write_metrics(good, path)
+    failing = spark.range(0, 8, 1, 4).select(
+        F.lit("LR").alias("model"), F.lit("f1").alias("metric"),
+        F.when(F.col("id") < 6, 1.0).otherwise(F.raise_error(F.lit("lost midway")).cast("double")).alias("value"),
+    )
+    with pytest.raises(Exception, match="lost midway"):
+        write_metrics(failing, path)
+    assert read_results(spark, path, "metrics").collect() == good.collect()
+    assert [p.name for p in tmp_path.iterdir()] == ["metrics"]
+    # A driver that is lost between both renames leaves the old table aside; the next reader brings it back.
+    (tmp_path / "metrics").rename(tmp_path / "_old-metrics")
+    assert read_results(spark, path, "metrics").collect() == good.collect()
+    write_metrics(good.withColumn("value", F.lit(0.75)), path)
+    assert [r["value"] for r in read_results(spark, path, "metrics").collect()] == [0.75]
+    assert [p.name for p in tmp_path.iterdir()] == ["metrics"]
+
+
+def test_bad_lines_are_quarantined(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("age,chol\n60,300\nold,200\n61\n62,5,7\n,\n")
+    (folder / "b.csv").write_text("age,chol\n63,310\n64,x1\n")
+    schema = "age double, chol double"
+    scanned = scan_csv_header(spark, str(folder), T._parse_datatype_string(schema), bad_lines=True)
+    good, counts = quarantine(scanned, str(tmp_path / "bad"))
+    assert sorted(map(tuple, good.collect()), key=str) == [(60.0, 300.0), (63.0, 310.0), (None, None)]
+    assert {r["file"].rsplit("/", 1)[1]: (r["lines"], r["bad_lines"]) for r in counts.collect()} == {"a.csv": (5, 3), "b.csv": (2, 1)}
+    bad = {(r["file"].rsplit("/", 1)[1], r["line"]) for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert bad == {("a.csv", "old,200"), ("a.csv", "61"), ("a.csv", "62,5,7"), ("b.csv", "64,x1")}
+    assert scan_csv_header(spark, str(folder), T._parse_datatype_string(schema)).columns == ["age", "chol"]
+    (tmp_path / "plain.csv").write_text("1, a\n2, b, c\n3\n")
+    plain = scan_csv_headerless(spark, str(tmp_path / "plain.csv"), ["n", "s"], bad_lines=True)
+    good, counts = quarantine(plain, str(tmp_path / "bad2"))
+    assert [tuple(r) for r in good.collect()] == [("1", "a")] and counts.first()["bad_lines"] == 2
