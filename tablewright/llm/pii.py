@@ -130,9 +130,16 @@ def start_weights(seed: int) -> Weights:
     return {k: v.astype(np.float32) for k, v in weights.items()}
 
 
-# Gate order: input, forget, output, candidate. A sigmoid is a tanh of half its argument, shifted, so one
-# tanh serves all gates.
-_HALF = np.repeat(np.array([0.5, 0.5, 0.5, 1.0], np.float32), HIDDEN)
+# Gate order: input, forget, output, candidate. Cells are squashed by x / (1 + |x|), which takes a quarter of the time
+# of a tanh; a gate is the same, shifted to lie between 0 and 1. Slopes follow from the squashed values.
+
+
+def _slope(squashed: np.ndarray) -> np.ndarray:
+    return (1 - np.abs(squashed)) ** 2
+
+
+def _gate_slope(gate: np.ndarray) -> np.ndarray:
+    return 0.5 * _slope(2 * gate - 1)
 
 
 def _run_side(weights: Weights, side: str, some: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -140,8 +147,8 @@ def _run_side(weights: Weights, side: str, some: np.ndarray, keep: list | None =
 
     Windows are the last axis, so every gate is one contiguous block.
     """
-    into = np.ascontiguousarray((weights[f"in_{side}"] * _HALF).T)
-    recurrent = np.ascontiguousarray((weights[f"rec_{side}"] * _HALF).T)
+    into = np.ascontiguousarray(weights[f"in_{side}"].T)
+    recurrent = np.ascontiguousarray(weights[f"rec_{side}"].T)
     out = np.ascontiguousarray(weights[f"out_{side}"].T)
     n, time = some.shape
     kind = into.dtype
@@ -153,14 +160,18 @@ def _run_side(weights: Weights, side: str, some: np.ndarray, keep: list | None =
         np.dot(recurrent, h, out=gates)
         np.take(into, columns[t], axis=1, out=given, mode="clip")
         gates += given
-        np.tanh(gates, out=gates)
+        np.abs(gates, out=given)
+        given += 1
+        gates /= given
         gates[: 3 * HIDDEN] *= 0.5
         gates[: 3 * HIDDEN] += 0.5
         before, last = (c.copy(), h.copy()) if keep is not None else (c, h)
         c *= gates[HIDDEN : 2 * HIDDEN]
         np.multiply(gates[:HIDDEN], gates[3 * HIDDEN :], out=fresh)
         c += fresh
-        np.tanh(c, out=cell)
+        np.abs(c, out=fresh)
+        fresh += 1
+        np.divide(c, fresh, out=cell)
         np.multiply(gates[2 * HIDDEN : 3 * HIDDEN], cell, out=h)
         np.dot(out, h, out=scores[t])
         if keep is not None:
@@ -186,8 +197,8 @@ def _back_side(weights: Weights, side: str, some: np.ndarray, keep: list, error:
         i, f, o, g = gates.reshape(4, HIDDEN, n)
         head += h @ error[t]
         dh = dh + weights[f"out_{side}"] @ error[t].T
-        dc = dc + dh * o * (1 - cell**2)
-        d = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * cell * o * (1 - o), dc * i * (1 - g**2)])
+        dc = dc + dh * o * _slope(cell)
+        d = np.concatenate([dc * g * _gate_slope(i), dc * before * _gate_slope(f), dh * cell * _gate_slope(o), dc * i * _slope(g)])
         np.add.at(into, some[:, t], d.T)
         recurrent += last @ d.T
         dh, dc = weights[f"rec_{side}"] @ d, dc * f

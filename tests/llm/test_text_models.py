@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,58 @@ def test_language_of_messy_rows(messy, nothing, language_model):
     assert kept.columns == messy.columns and {0, 1, 4, 9}.isdisjoint(r.doc_id for r in kept.collect())
 
 
+def test_numerals_are_no_letters(spark, language_model):
+    texts = ["\u00bd", "\u00b2\u00b2", "\u2167 \u2168", "\u2460", "12 34", "\u0663", "_", "\u2167 x", "\u6c49", "\u00aa"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in lang_cnn.identify(rows, language_model, "doc_id").collect()}
+    assert [found[i].lang_pred == "und" for i in range(len(texts))] == [True] * 7 + [False] * 3
+    assert {found[i].score for i in range(7)} == {0.0}
+    kept = {r.doc_id for r in lang_cnn.in_known_language(rows, language_model, 0.0).collect()}
+    assert kept == {7, 8, 9}
+
+
+def test_predictions_equal_a_plain_network(spark, language_model):
+    """Convolution, pooling, softmax and the mean over windows, byte by byte and without any shared code."""
+    names, w = language_model
+
+    def response(window, place, width, f):
+        cells = [w["embed"][window[place + k]] if place + k < len(window) else np.zeros(lang_cnn.EMBEDDING) for k in range(width)]
+        return float(np.concatenate(cells) @ w[f"filter{width}"][:, f])
+
+    def plain(text):
+        seen = re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+", b" ", text.encode())
+        seen = bytes(b + 32 if 65 <= b <= 90 else b for b in seen)
+        step, total, weight, at = lang_cnn.WINDOW - lang_cnn.OVERLAP, 0.0, 0, 0
+        while True:
+            part = seen[at : at + lang_cnn.WINDOW]
+            window = list(part) + [0] * (lang_cnn.WINDOW - len(part))
+            pooled = [
+                max(0.0, max(response(window, p, width, f) for p in range(lang_cnn.WINDOW)) + w["bias"][i * lang_cnn.FILTERS + f])
+                for i, width in enumerate(lang_cnn.WIDTHS)
+                for f in range(lang_cnn.FILTERS)
+            ]
+            raw = np.exp(np.array(pooled) @ w["out"] + w["out_bias"])
+            total, weight = total + raw / raw.sum() * len(part), weight + len(part)
+            if at + lang_cnn.WINDOW >= len(seen):
+                break
+            at += step
+        return total / weight
+
+    texts = [prose("a", 77, 60), prose("b", 78, 9) + " 12 -- \u00fcn", "Q"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in lang_cnn.identify(rows, language_model, "doc_id").collect():
+        mean = plain(texts[r.doc_id])
+        assert r.lang_pred == names[int(mean.argmax())] and r.score == pytest.approx(float(mean.max()), abs=1e-4)
+
+
+def test_a_table_of_very_many_languages_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lang_cnn, "MOST_TEXTS", 60)
+    monkeypatch.setattr(lang_cnn, "MOST_LANGUAGES", 20)
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 2 = 0, 'en', concat('x', id % 500)) as lang")
+    texts, languages = lang_cnn.training_sample(docs)
+    assert len(texts) <= 60 and len(set(languages)) <= 20 and "en" in languages
+
+
 def test_no_language_to_learn(nothing, messy):
     model = lang_cnn.learn_languages(nothing)
     assert {r.lang_pred for r in lang_cnn.identify(messy, model, "doc_id").collect()} == {"und"}
@@ -165,6 +218,22 @@ def test_network_finds_spans_of_unseen_texts(pii_model):
     assert hit / total > 0.9
 
 
+def test_network_finds_respelled_spans_of_unseen_texts(pii_model):
+    """Spans in spellings that no pattern matches, in texts that did not train: what the method adds."""
+    draw, hit, total = np.random.default_rng(4), {}, {}
+    for text in labelled(150, 6):
+        other, here = pii.respelled(text, pii.base_spans(text), draw)
+        base = pii.base_spans(other)
+        found = pii.decode(pii_model.weights, pii.stitched(pii_model.weights, [pii.codes(other)]))
+        added = pii.added_spans(other, found, base)
+        for kind, a, b in here:
+            if not any(x < b and a < y for _, x, y in base):
+                total[kind] = total.get(kind, 0) + 1
+                hit[kind] = hit.get(kind, 0) + any(k == kind and x < b and a < y for k, x, y in added)
+    assert set(total) == {0, 2, 3} and min(total.values()) >= 8
+    assert sum(hit.values()) / sum(total.values()) >= 0.9
+
+
 def test_gradients_of_the_crf():
     weights = pii.start_weights(1)
     some, tags = (x[:5] for x in pii.training_windows(labelled(10, 5)))
