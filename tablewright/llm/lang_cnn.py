@@ -9,17 +9,18 @@ A-Z are lower-cased, runs of other ASCII characters become one space, all other
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.adam import Adam
 from tablewright.llm.common import map_arrow, packed, sub_batches, text_or_empty, utf8, with_more
+from tablewright.session import materialize
 
 WINDOW = 256
 OVERLAP = 8
@@ -27,9 +28,12 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 
-#: Training sample: texts per language and bytes of each, chosen by a hash of doc_id.
+#: Training sample: texts per language and bytes of each, chosen by a hash of doc_id; and bounds for tables that
+#: label their texts with very many names: the most common languages, and texts in all.
 TEXTS_PER_LANGUAGE = 800
 BYTES_PER_TEXT = 2048
+MOST_LANGUAGES = 1000
+MOST_TEXTS = 20_000
 
 UNKNOWN = "und"
 
@@ -38,7 +42,8 @@ _PLAIN[:128] = 32
 _PLAIN[97:123] = np.arange(97, 123)
 _PLAIN[65:91] = np.arange(97, 123)
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of Unicode category L; numerals such as \u00bd or \u2167 are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 class Model(NamedTuple):
@@ -183,14 +188,17 @@ def training_sample(
     """Texts and languages of at most ``per_language`` labelled documents of each language.
 
     They are those with the smallest hashes of doc_id among the documents that are not held out; a random
-    stretch of ``most_bytes`` characters of each is taken. These bounds are all that reaches the driver.
+    stretch of ``most_bytes`` characters of each is taken. No more than ``MOST_TEXTS`` texts of the
+    ``MOST_LANGUAGES`` most common languages reach the driver.
     """
     known = docs.filter(~held_out(docs) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Of a language with many documents only those below a hash that twice as many pass are ranked.
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    common = materialize(common.withColumnRenamed("lang", "of"), "languages")
+    per_language = min(per_language, max(1, MOST_TEXTS // max(common.count(), 1)))
+    # Of a language with many documents only those below a hash that twice as many pass leave their tasks.
     bound = F.least(F.lit(2.0 * per_language) / F.col("n"), F.lit(1.0)) * F.lit(float(2**63)) * 2 - F.lit(float(2**63))
-    ranked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(counts, F.col("lang") == F.col("of"))
-    ranked = ranked.filter(F.col("h").cast("double") <= bound)
+    ranked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    ranked = ranked.join(F.broadcast(common), F.col("lang") == F.col("of")).filter(F.col("h").cast("double") <= bound)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     ranked = ranked.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
     ids = [r.doc_id for r in ranked.select("doc_id").distinct().collect()]
