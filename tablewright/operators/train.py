@@ -108,12 +108,12 @@ def param_grid(estimator: LogisticRegression, reg_params: Sequence[float] = REG_
     return ParamGridBuilder().addGrid(estimator.regParam, list(reg_params)).build()
 
 
-def feature_table(prepared: PipelineModel | Slots, df: DataFrame, label: str) -> DataFrame:
-    """``(features, label)`` as a written table."""
+def feature_table(prepared: PipelineModel | Slots, df: DataFrame, *keep: str) -> DataFrame:
+    """``(features, *keep)`` as a written table."""
     if isinstance(prepared, Slots):  # these write their vectors themselves
-        inputs = dict.fromkeys([*prepared.stages.categorical, *prepared.stages.numeric, label])
-        return prepared.transform(df.select(*inputs)).select("features", label)
-    return materialize(prepared.transform(df).select("features", label), "feature-table")
+        inputs = dict.fromkeys([*prepared.stages.categorical, *prepared.stages.numeric, *keep])
+        return prepared.transform(df.select(*inputs)).select("features", *keep)
+    return materialize(prepared.transform(df).select("features", *keep), "feature-table")
 
 
 def cross_validate(
@@ -127,11 +127,11 @@ def cross_validate(
 ) -> DataFrame:
     """``(reg_param, fold, auc)`` for every grid point and fold, with the exact area.
 
-    ``stages`` are stages of ``pyspark.ml``, or :class:`SlotStages`, or what these have fitted per fold.  They are fitted on the training rows of each fold
-    only, once per fold rather than once per fit; all grid points share the fold's feature tables.  A fit is
-    a chain of short jobs, so up to ``parallelism`` of them run side by side.  Folds follow
-    each other, and a fold's feature tables go when it is done: only scores are kept, and all
-    areas come from one aggregation over them.
+    ``stages`` are stages of ``pyspark.ml``, or :class:`SlotStages`, or what these have fitted per fold.
+    They are fitted on the training rows of each fold only, once per fold rather than once per fit; all grid
+    points share the fold's feature table.  A fit is a chain of short jobs, so up to ``parallelism`` of them run
+    side by side.  Folds follow each other, and a fold's feature table goes when it is done: only scores are
+    kept, and all areas come from one aggregation over them.
     """
     spark = df.sparkSession
     label = estimator.getLabelCol()
@@ -141,11 +141,15 @@ def cross_validate(
     fitted = stages if stages and isinstance(stages[0], Slots) else None
     for k in range(folds):
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
-        prepared = fitted[k] if fitted else fit_stages(stages, train)
-        train = feature_table(prepared, train, label)
+        if fitted:  # these write their vectors, so those of both sides are one table
+            table = feature_table(fitted[k], df, label, fold)
+            train, valid = table.filter(F.col(fold) != k).drop(fold), table.filter(F.col(fold) == k).drop(fold)
+        else:
+            prepared = fit_stages(stages, train)
+            train = table = feature_table(prepared, train, label)
+            valid = prepared.transform(valid).select("features", label)
         fits = [partial(estimator.copy(params).fit, train) for params in grid]
         models = _in_threads(fits, parallelism, spark)
-        valid = feature_table(prepared, valid, label) if fitted else prepared.transform(valid).select("features", label)
         scored = valid
         points = []
         for i, (params, model) in enumerate(zip(grid, models, strict=True)):
@@ -156,8 +160,7 @@ def cross_validate(
             points.append(F.struct(reg_param, vector_element(f"raw_{i}", 1).alias("score")))
         scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
         scores.append(materialize(scored, "fold-scores"))
-        for table in [train, valid] if fitted else [train]:
-            discard(table)
+        discard(table)
     areas = auc_roc(union_all(*scores), label, "score", ["reg_param", "fold"]).collect()
     for table in scores:
         discard(table)
