@@ -9,8 +9,8 @@ all of them run through one boundary, nothing that follows can change what lies
 committed and their pointers dropped. A text of any length therefore needs a window, not a table.
 
 Some boundaries are known to be such points: no piece holds a space after another character, so every path
-runs through the boundary before a run of spaces. Stretches between them are independent, and those that
-were met before are looked up.
+runs through the boundary before a run of spaces. Stretches between them are independent: many are searched
+at a time, each in its own window, and those that were met before are looked up.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SPACE = "▁"  # how pieces write a space
 #: Below the worst score, for a character that becomes bytes.
 UNKNOWN_PENALTY = 10.0
 
-#: Stretches up to this length are remembered, and how many.
+#: Stretches up to this length are remembered from batch to batch, and how many.
 MEMO_CHARS = 40
 MEMO_STRETCHES = 250_000
 
@@ -165,6 +165,19 @@ class StreamingViterbi:
         self._restart()
         return out
 
+    def resume(self, text: str, scores: list[float], lengths: list[int]) -> None:
+        """Go on from the state of another search: the text since its commitment, live scores, pointers."""
+        self.text, self.scores, self.back = text, scores, array("H", [0, *lengths])
+        self.look = max(len(text) * 3 // 2, len(text) + self.vocabulary.longest)
+
+    def rest(self, text: str) -> bytes:
+        """The ids of all that is still open and of ``text``, as native uint32 bytes."""
+        out = array("I")
+        for a in range(0, len(text), 4096):
+            out.extend(self.feed(text[a : a + 4096]))
+        out.extend(self.finish())
+        return out.tobytes()
+
 
 class PieceTable:
     """Vectorised look-up of pieces, and of their beginnings, by a hash of their code points.
@@ -219,65 +232,157 @@ def _points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.concatenate(([0], ends[:-1])).astype(np.int64), ends
 
 
-def encode_stretches(vocabulary: Vocabulary, table: PieceTable, stretches: Sequence[str]) -> list[bytes]:
-    """Ids of short stretches as native uint32 bytes: the same search, on all of them at a time.
+class _Batch:
+    """The streaming search on many texts at a time, portion by portion of ``longest`` characters.
 
-    The window of each is the whole stretch. Boundaries advance together; longer pieces are tried first.
+    Scores are kept for the last ``longest`` boundaries of each text; pointers and the pieces they stand for
+    since its last commitment, at most ``ROOM`` portions of them. A text whose paths have not met by then, and
+    the last few texts of a batch, go on one by one in ``StreamingViterbi``, from where they stand.
     """
-    out: list[bytes] = [b""] * len(stretches)
+
+    ROOM = 4
+    FEW = 64
+
+    def __init__(self, vocabulary: Vocabulary, table: PieceTable, texts: Sequence[str]):
+        """``texts`` come from the longest to the shortest, so those still open are always the first ones."""
+        self.vocabulary, self.table, self.texts = vocabulary, table, texts
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.out: list[bytes] = [b""] * len(texts)
+        self.alone: set[int] = set()
+        self.held = 0  # most characters ever kept of a text
+
+    def run(self) -> list[bytes]:
+        longest, at, open_ = self.vocabulary.longest, 0, len(self.texts)
+        scores = np.zeros((open_, 1))  # the last one is that of the boundary ``at``
+        base = np.zeros(open_, np.int64)  # the last commitment
+        lengths, pieces = np.zeros((open_, 1), np.int64), np.full((open_, 1), -1, np.int32)  # from there on
+        while open_:
+            scores, step_lengths, step_pieces = self._advance(at, scores)
+            after = at + longest
+            room = step_lengths.shape[1] if not at else (self.ROOM + 1) * longest + 1
+            if at:
+                rows, columns = np.arange(open_)[:, None], (at - base)[:, None] + np.arange(1, step_lengths.shape[1])
+                lengths[rows, columns], pieces[rows, columns] = step_lengths[:, 1:], step_pieces[:, 1:]
+            else:
+                lengths, pieces = step_lengths, step_pieces
+            self.held = max(self.held, int((np.minimum(self.sizes[:open_], after) - base).max(initial=0)))
+            going = int(np.searchsorted(-self.sizes[:open_], -after, side="left"))
+            ended = np.arange(going, open_)
+            self._commit(ended, base[ended], self.sizes[ended] - base[ended], lengths, pieces)
+            if not going:
+                return self.out
+            base = base[:going]
+            shared = self._shared(after - base, lengths)
+            self._commit(np.flatnonzero(shared), base[shared > 0], shared[shared > 0], lengths, pieces)
+            # Pointers move up by what is committed.
+            from_ = np.minimum(shared[:, None] + np.arange((self.ROOM + 1) * longest + 1), room - 1)
+            lengths, pieces = (np.take_along_axis(x[:going], from_, axis=1) for x in (lengths, pieces))
+            base, scores, at, open_ = base + shared, scores[:going, -longest - 1 :], after, going
+            stuck = np.arange(going) if going < self.FEW else np.flatnonzero(at - base > (self.ROOM - 1) * longest)
+            for row in stuck.tolist():
+                if row not in self.alone:
+                    self._go_on(row, at, int(base[row]), scores[row], lengths[row])
+            if going < self.FEW:
+                return self.out
+            # One that goes on alone is done here; its row is passed over.
+            base[stuck] = at
+        return self.out
+
+    def _advance(self, at: int, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The next portion: scores with those before it, lengths and pieces of the best last piece of each boundary."""
+        vocabulary, table, count = self.vocabulary, self.table, len(scores)
+        longest, carry = vocabulary.longest, min(at, vocabulary.longest - 1)
+        sizes = self.sizes[:count] - at
+        width, before = min(longest, int(sizes[0])), scores.shape[1] - 1
+        some = [t[at - carry : at + longest] for t in self.texts[:count]]
+        data, starts, ends = _points(some)
+        starts, ends = starts // 4, ends // 4
+        total = len(data) // 4
+        room = np.repeat(ends, ends - starts) - np.arange(total)
+        pieces = np.full((longest, total), -1, np.int32)
+        hashes = SpanHashes(data)
+        alive = np.arange(total)
+        for n in range(1, min(longest, width + carry) + 1):
+            alive = alive[room[alive] >= n]
+            which = table.find(hashes(4 * alive, 4 * (alive + n)))
+            pieces[n - 1, alive] = np.where(which >= 0, np.where(table.ids[which] >= 0, which, -1), -1)
+            alive = alive[which >= 0]  # only beginnings of pieces go on
+        scores = np.concatenate((scores, np.full((count, width), -np.inf)), axis=1)
+        lengths, found = np.zeros((count, width + 1), np.int64), np.full((count, width + 1), -1, np.int32)
+        for j in range(1, width + 1):
+            live = int(np.searchsorted(-sizes, -j, side="right"))
+            top = scores[:live, before + j]
+            # From the longest piece to the shortest, so that of equal scores the longest stays.
+            for n in range(min(longest, at + j), 0, -1):
+                which = pieces[n - 1, starts[:live] + carry + j - n]
+                score = np.where(which >= 0, scores[:live, before + j - n] + table.scores[which], -np.inf)
+                better = score > top
+                top[better] = score[better]
+                lengths[:live, j][better] = n
+                found[:live, j][better] = which[better]
+            none = lengths[:live, j] == 0
+            top[none] = scores[:live, before + j - 1][none] + vocabulary.worst
+            lengths[:live, j][none] = 1
+        return scores, lengths, found
+
+    def _shared(self, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """For each text the last boundary that the paths of all live boundaries run through."""
+        live = np.maximum(ends[:, None] - np.arange(self.vocabulary.longest), 0)
+        while True:
+            last = live.max(axis=1, keepdims=True)
+            rows, columns = np.nonzero((live == last) & (last > live.min(axis=1, keepdims=True)))
+            if not len(rows):
+                return live[:, 0]
+            here = live[rows, columns]
+            live[rows, columns] = np.maximum(here - lengths[rows, here], 0)
+
+    def _commit(self, rows: np.ndarray, base: np.ndarray, ends: np.ndarray, lengths: np.ndarray, pieces: np.ndarray) -> None:
+        """Add the ids from the commitment of each text to the boundary ``ends`` after it."""
+        if self.alone:
+            mine = ~np.isin(rows, list(self.alone))
+            rows, base, ends = rows[mine], base[mine], ends[mine]
+        most = int(ends.max(initial=0))
+        if not most:
+            return
+        found = np.full((len(rows), most), -1, np.int32)
+        odd = np.zeros(len(rows), bool)
+        which_of, at, column = np.arange(len(rows)), ends.copy(), most
+        which_of, at = which_of[at > 0], at[at > 0]
+        while len(which_of):
+            column -= 1
+            piece = pieces[rows[which_of], at]
+            odd[which_of[piece < 0]] = True
+            found[which_of, column] = np.where(piece >= 0, self.table.ids[piece], 0)
+            at = at - lengths[rows[which_of], at]
+            which_of, at = which_of[at > 0], at[at > 0]
+        flat = found[found >= 0].astype(np.uint32).tobytes()
+        cuts = (4 * np.concatenate(([0], np.cumsum((found >= 0).sum(axis=1))))).tolist()
+        out = self.out
+        for k, (row, a, b) in enumerate(zip(rows.tolist(), cuts[:-1], cuts[1:], strict=True)):
+            if odd[k]:
+                steps, j = [], int(ends[k])
+                while j:
+                    steps.append(int(lengths[row, j]))
+                    j -= steps[-1]
+                text = self.texts[row][int(base[k]) : int(base[k] + ends[k])]
+                out[row] += array("I", self.vocabulary.ids(text, reversed(steps))).tobytes()
+            else:
+                out[row] += flat[a:b]
+
+    def _go_on(self, row: int, at: int, base: int, scores: np.ndarray, lengths: np.ndarray) -> None:
+        self.alone.add(row)
+        search, text = StreamingViterbi(self.vocabulary), self.texts[row]
+        search.resume(text[base:at], scores[1:].tolist(), lengths[1 : at - base + 1].tolist())
+        self.out[row] += search.rest(text[at:])
+        self.held = max(self.held, search.held)
+
+
+def encode_stretches(vocabulary: Vocabulary, table: PieceTable, stretches: Sequence[str]) -> list[bytes]:
+    """Ids of texts of any length as native uint32 bytes: the streaming search, on all of them at a time."""
     order = sorted(range(len(stretches)), key=lambda i: -len(stretches[i]))
-    texts = [stretches[i] for i in order]
-    data, starts, _ = _points(texts)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts //= 4
-    total, most = len(data) // 4, int(sizes.max(initial=0))
-    room = np.repeat(starts + sizes, sizes) - np.arange(total)
-    pieces = np.full((vocabulary.longest, total), -1, np.int32)
-    hashes = SpanHashes(data)
-    alive = np.arange(total)
-    for n in range(1, min(vocabulary.longest, most) + 1):
-        alive = alive[room[alive] >= n]
-        which = table.find(hashes(4 * alive, 4 * (alive + n)))
-        pieces[n - 1, alive] = np.where(which >= 0, np.where(table.ids[which] >= 0, which, -1), -1)
-        alive = alive[which >= 0]  # only beginnings of pieces go on
-    # best[k, j]: score of boundary j of stretch k; live stretches are a prefix, as the longest come first.
-    best = np.full((len(texts), most + 1), -np.inf)
-    best[:, 0] = 0
-    last = np.zeros((len(texts), most + 1), np.int64)
-    for j in range(1, most + 1):
-        live = int(np.searchsorted(-sizes, -j, side="right"))
-        top = best[:live, j]
-        for n in range(min(vocabulary.longest, j), 0, -1):
-            which = pieces[n - 1, starts[:live] + j - n]
-            score = np.where(which >= 0, best[:live, j - n] + table.scores[which], -np.inf)
-            better = score > top
-            top[better] = score[better]
-            last[:live, j][better] = n
-        none = last[:live, j] == 0
-        top[none] = best[:live, j - 1][none] + vocabulary.worst
-        last[:live, j][none] = 1
-    found = np.full((len(texts), most), -1, np.int32)
-    odd = np.zeros(len(texts), bool)
-    rows, at, column = np.arange(len(texts)), sizes.copy(), most
-    while len(rows):
-        column -= 1
-        n = last[rows, at]
-        which = pieces[n - 1, starts[rows] + at - n]
-        odd[rows[which < 0]] = True
-        found[rows, column] = np.where(which >= 0, table.ids[which], 0)
-        at = at - n
-        rows, at = rows[at > 0], at[at > 0]
-    counts = (found >= 0).sum(axis=1)
-    flat = found[found >= 0].astype(np.uint32).tobytes()
-    cuts = (4 * np.concatenate(([0], np.cumsum(counts)))).tolist()
-    for k, (i, a, b) in enumerate(zip(order, cuts[:-1], cuts[1:], strict=True)):
-        out[i] = flat[a:b]
-        if odd[k]:
-            lengths, j = [], len(texts[k])
-            while j:
-                lengths.append(int(last[k, j]))
-                j -= lengths[-1]
-            out[i] = array("I", vocabulary.ids(texts[k], reversed(lengths))).tobytes()
+    out: list[bytes] = [b""] * len(stretches)
+    for i, ids in zip(order, _Batch(vocabulary, table, [stretches[i] for i in order]).run(), strict=True):
+        out[i] = ids
     return out
 
 
@@ -289,14 +394,6 @@ class Codec:
         self.table = PieceTable(vocabulary)
         self.known: dict[str, bytes] = {}
 
-    def _stream(self, text: str) -> bytes:
-        search = StreamingViterbi(self.vocabulary)
-        out = array("I")
-        for a in range(0, len(text), 4096):
-            out.extend(search.feed(text[a : a + 4096]))
-        out.extend(search.finish())
-        return out.tobytes()
-
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as native uint32 bytes; an empty text has none."""
         if len(self.known) > MEMO_STRETCHES:
@@ -304,13 +401,14 @@ class Codec:
         known, prefix, cut = self.known, self.vocabulary.prefix, self.vocabulary.stretches.findall
         parts = [cut(prefix + t) if t else [] for t in texts]
         new = list({s for stretches in parts for s in stretches if s not in known})
-        long = {s: self._stream(s) for s in new if len(s) > MEMO_CHARS}
-        short = [s for s in new if len(s) <= MEMO_CHARS]
-        for a, b in slices([len(s) for s in short], 200_000):
-            known.update(zip(short[a:b], encode_stretches(self.vocabulary, self.table, short[a:b]), strict=True))
-        if long:
-            return [b"".join([known[s] if s in known else long[s] for s in stretches]) for stretches in parts]
-        return [b"".join([known[s] for s in stretches]) for stretches in parts]
+        long: list[str] = []
+        for a, b in slices([len(s) for s in new], 200_000):
+            known.update(zip(new[a:b], encode_stretches(self.vocabulary, self.table, new[a:b]), strict=True))
+            long += [s for s in new[a:b] if len(s) > MEMO_CHARS]
+        out = [b"".join([known[s] for s in stretches]) for stretches in parts]
+        for s in long:
+            del known[s]
+        return out
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character, unknown ids nothing."""

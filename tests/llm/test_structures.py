@@ -454,6 +454,24 @@ def test_the_window_stays_small(vocabulary):
     assert len(stream(vocabulary, "a" * 200_000, 4096)[0]) > 1000
 
 
+def test_the_batched_search_keeps_a_window(vocabulary, monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(["the", "ing", "a", "日", "é", "on"], k=draw.randint(1, 400))) for _ in range(120)]
+    texts += ["a" * n for n in (15, 16, 17, 33, 5000)] + ["theinger" * 300]
+    texts.sort(key=len, reverse=True)
+    table = sp_codec.PieceTable(vocabulary)
+    want = [np.array(whole_viterbi(vocabulary, t), np.uint32).tobytes() for t in texts]
+    for few in (0, 1, 64):
+        monkeypatch.setattr(sp_codec._Batch, "FEW", few)
+        batch = sp_codec._Batch(vocabulary, table, texts)
+        assert batch.run() == want
+    monkeypatch.setattr(sp_codec._Batch, "FEW", 0)
+    meeting = [t for t in texts if len(set(t)) > 3 and "theingertheinger" not in t]
+    batch = sp_codec._Batch(vocabulary, table, meeting)
+    batch.run()
+    assert len(meeting[0]) > 500 and batch.held <= batch.ROOM * vocabulary.longest and not batch.alone
+
+
 def test_library_decodes_the_ids(vocabulary):
     import sentencepiece
 
