@@ -15,8 +15,8 @@ from tablewright.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those of which the network finds no language likely."""
-    return lang_cnn.in_known_language(docs, lang_cnn.learn_languages(docs))
+    """Drops texts without a letter, and those that the network finds to be in no language of the corpus."""
+    return lang_cnn.in_known_language(docs, lang_cnn.learn_known_languages(docs))
 
 
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ A-Z are lower-cased, runs of other ASCII characters become one space, all other
 
 from __future__ import annotations
 
+import random
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,6 +39,20 @@ MOST_TEXTS = 20_000
 
 UNKNOWN = "und"
 
+#: The class of texts in no known language, how likely it must be to reject a text, and of what length.
+OTHER = "(other)"
+MOST_OTHER = 0.9
+LEAST_CHARS = 24
+
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+
+#: First letter of scripts and how many letters follow one another there: small Greek, Cyrillic, Armenian, Hebrew,
+#: Arabic, Devanagari, Bengali, Thai, Georgian, Hiragana, Katakana, Hangul, Chinese signs.
+SCRIPTS = [
+    (0x3B1, 25), (0x430, 32), (0x561, 38), (0x5D0, 27), (0x627, 20), (0x905, 53), (0x995, 36), (0xE01, 46), (0x10D0, 33),
+    (0x3041, 86), (0x30A1, 90), (0xAC00, 11172), (0x4E00, 20000),
+]
+
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[:128] = 32
 _PLAIN[97:123] = np.arange(97, 123)
@@ -242,15 +258,57 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return map_arrow(docs.select(*keep, text_or_empty().alias("_text")), run, schema)
 
 
-def in_known_language(docs: DataFrame, model: Model, least_score: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose text has a letter and a language of at least ``least_score``, unchanged.
+def foreign_texts(texts: list[str], seed: int = 13) -> list[str]:
+    """Texts in no language of ``texts``, as long as theirs, one for every two of them.
 
-    Without any language to know, every text with a letter stays.
+    In turns: every word of random letters; the letters of the alphabet exchanged for one another; letters of a
+    script that no text uses, letter by letter or, for scripts of syllables and signs, without spaces.
     """
-    found = identify(packed(docs), model, "row")
-    if not model.languages:
+    draw = random.Random(seed)
+    used = {ord(c) for t in texts for c in set(t)}
+    scripts = [(first, n) for first, n in SCRIPTS if not used & set(range(first, first + n))]
+    out = []
+    for i, text in enumerate(texts[::2]):
+        way = i % 4
+        if way == 0:
+            out.append(re.sub("[^\\W\\d_]", lambda _: draw.choice(ALPHABET), text))
+            continue
+        if way == 1:
+            shuffled = draw.sample(ALPHABET, len(ALPHABET))
+            out.append(text.lower().translate({ord(a): b for a, b in zip(ALPHABET, shuffled, strict=True)}))
+            continue
+        if not scripts:
+            continue
+        first, n = draw.choice(scripts)
+        if n <= 64:
+            to = {c: chr(first + draw.randrange(n)) for c in set(text) if c.isalpha()}
+            out.append("".join(to.get(c, c) for c in text))
+        else:
+            out.append("".join(chr(first + draw.randrange(n)) for c in text[::3] if c.isalpha()))
+    return out
+
+
+def learn_known_languages(docs: DataFrame) -> Model:
+    """A model of the languages in ``lang`` and of ``OTHER``, what ``foreign_texts`` makes of the same sample."""
+    texts, languages = training_sample(docs)
+    if not texts:
+        return train(texts, languages)
+    foreign = foreign_texts(texts)
+    return train([*texts, *foreign], [*languages, *[OTHER] * len(foreign)])
+
+
+def in_known_language(docs: DataFrame, model: Model, most_other: float = MOST_OTHER) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and is in a language of ``model``, unchanged.
+
+    A text is in none if the mean probability of ``OTHER`` over its windows is above ``most_other``; texts of
+    fewer than ``LEAST_CHARS`` characters tell too little for that and stay. Without any language to know,
+    every text with a letter stays.
+    """
+    if OTHER not in model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+    found = identify(packed(docs), model, "row")
+    foreign = (F.col("lang_pred") == OTHER) & (F.col("score") > most_other) & (F.char_length("row.text") >= LEAST_CHARS)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & ~foreign).select("row.*")
 
 
 def learn_languages(docs: DataFrame) -> Model:

@@ -152,6 +152,34 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
 
 
+UNSEEN = [
+    "Η γρήγορη καφέ αλεπού πηδά πάνω από το τεμπέλικο σκυλί και φεύγει μακριά",
+    "これは日本語の文章です。今日は天気がとても良いので散歩に行きました。",
+    "Съешь же ещё этих мягких французских булок, да выпей чаю",
+    "qwrt zxcv bnmp lkjh gfds qwrt zxcv bnmp",
+    "xkcd jqzv wvbn plmk zzxq rtyp ghjk mnbv",
+]
+
+
+def test_texts_in_no_known_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    model = lang_cnn.learn_known_languages(docs)
+    strange = [(-1 - i, None, t) for i, t in enumerate([*UNSEEN, "Der schnelle braune Fuchs", "2026", None])]
+    mixed = docs.unionByName(spark.createDataFrame(strange, docs.schema))
+    kept = {r.doc_id for r in lang_cnn.in_known_language(mixed, model).select("doc_id").collect()}
+    lettered = {r.doc_id for r in docs.filter(F.col("text").rlike(r"\p{L}")).collect()}
+    assert kept == lettered | {-1 - len(UNSEEN)}
+
+
+def test_foreign_texts_use_no_script_of_the_corpus():
+    texts = [prose("a", i, 20) + " привет" for i in range(400)]
+    foreign = lang_cnn.foreign_texts(texts)
+    assert len(foreign) == 200 and foreign == lang_cnn.foreign_texts(texts)
+    other_script = [t for i, t in enumerate(foreign) if i % 4 > 1]
+    assert not any(re.search("[а-я]", t) for t in other_script) and not set(texts) & set(foreign)
+    assert lang_cnn.foreign_texts([]) == []
+
+
 # --- personal data ---
 
 
