@@ -1,8 +1,8 @@
 """URL filter: path rules first, then naive Bayes over the words of hosts and paths.
 
 Names such as ``cheappillsonline`` are split into words by a unigram Viterbi: the split of highest
-probability under word counts of a corpus. A multinomial naive Bayes over these words and the tokens of
-the path then says whether a url is to be blocked.
+probability under word counts of a corpus. A multinomial naive Bayes over these words of host and path
+then says whether a url is to be blocked.
 
 Everything is computed on distinct names, hosts and path shapes; pages only look up their two scores.
 """
@@ -21,10 +21,6 @@ from tablewright.llm.common import map_arrow
 
 from tablewright.session import materialize
 
-#: Longest word of the unigram model, and longest name that is split (the limit of a DNS label).
-MAX_WORD = 20
-MAX_NAME = 63
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Fixed seed words: urls whose host or path has one are the labelled examples of the class to block.
@@ -37,6 +33,10 @@ SEED_WORDS = (
 SEED_COUNT = 1000
 
 
+#: Added to every token's count when those of an example add up to one.
+EVEN_ALPHA = 0.02
+
+
 class Rule(NamedTuple):
     """``pattern`` is a host, then a path prefix that starts with ``/``; it holds for subdomains too."""
 
@@ -66,9 +66,9 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule], value: str)
 
 
 def corpus_words(docs: DataFrame, column: str = "text") -> DataFrame:
-    """(word, n) of the lower-case a-z words of up to MAX_WORD letters; null texts have none."""
+    """(word, n) of the lower-case a-z words; null texts have none."""
     words = F.split(F.translate(F.coalesce(F.col(column).cast("string"), F.lit("")), UPPER, LOWER), "[^a-z]+")
-    rows = docs.select(F.explode(words).alias("word")).filter(f"length(word) between 1 and {MAX_WORD}")
+    rows = docs.select(F.explode(words).alias("word")).filter("word <> ''")
     return rows.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -76,17 +76,26 @@ def split_name(name: str, counts: dict[str, int], total: int) -> list[str]:
     """Most probable words that add up to ``name``; of equal splits the one whose last words are longest.
 
     An unseen word of k letters has probability 10 / (total * 10 ** k), so it costs more than seen words.
+    Of all unseen last words, the best begins where the split before it lost least for each letter, so only
+    that one is tried, and words of any length are allowed.
     """
+    each, unseen = math.log(10), math.log(10 / total)
+    sizes = sorted({len(w) for w in counts}, reverse=True)
     best, back = [0.0], [0]
+    lead, lead_at = 0.0, 0
     for end in range(1, len(name) + 1):
-        top, start = -math.inf, 0
-        for begin in range(max(0, end - MAX_WORD), end):
-            n = counts.get(name[begin:end], 0)
-            p = math.log(n / total) if n else math.log(10 / total) - (end - begin) * math.log(10)
-            if best[begin] + p > top:
-                top, start = best[begin] + p, begin
+        top, start = best[lead_at] + unseen - (end - lead_at) * each, lead_at
+        for size in sizes:
+            begin = end - size
+            n = counts.get(name[begin:end], 0) if begin >= 0 else 0
+            if n:
+                p = best[begin] + math.log(n / total)
+                if p > top or (p == top and begin < start):
+                    top, start = p, begin
         best.append(top)
         back.append(start)
+        if top + end * each > lead:
+            lead, lead_at = top + end * each, end
     words, end = [], len(name)
     while end:
         words.append(name[back[end] : end])
@@ -97,16 +106,19 @@ def split_name(name: str, counts: dict[str, int], total: int) -> list[str]:
 def split_names(names: DataFrame, words: DataFrame, known: Sequence[str] = SEED_WORDS) -> DataFrame:
     """(name, words) for distinct a-z ``names``, each split by the counts of ``words`` (word, n).
 
-    The model never leaves the cluster whole: every name meets the counts of its own substrings, of which
-    there are at most MAX_NAME * MAX_WORD. Longer names stay one word. ``known`` words count SEED_COUNT more.
+    The model never leaves the cluster whole: every name meets the counts of its own substrings of those
+    lengths that words have; the driver sees these lengths, no more than the longest name has letters.
+    ``known`` words count SEED_COUNT more.
     """
     total = (words.agg(F.sum("n")).first()[0] or 0) + SEED_COUNT * len(known)
-    short = names.filter(f"length(name) <= {MAX_NAME}")
-    parts = short.withColumn("begin", F.explode(F.sequence(F.lit(1), F.length("name"))))
-    size = F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("name") - F.col("begin") + 1))
-    parts = parts.withColumn("size", F.explode(size)).select("name", F.expr("substring(name, begin, size)").alias("word"))
     extra = names.sparkSession.createDataFrame([(w, SEED_COUNT) for w in known], "word string, n long")
     model = words.unionByName(extra).groupBy("word").agg(F.sum("n").alias("n"))
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    lengths = model.select(F.length("word").alias("size")).distinct().filter(F.col("size") <= longest)
+    sizes = F.array(*(F.lit(r.size) for r in lengths.orderBy("size").collect())).cast("array<int>")
+    parts = names.select("name", F.explode(sizes).alias("size")).filter("size <= length(name)")
+    parts = parts.withColumn("begin", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)))
+    parts = parts.select("name", F.expr("substring(name, begin, size)").alias("word"))
     seen = parts.distinct().join(model, "word").groupBy("name")
     seen = seen.agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("counts"))
     rows = names.join(seen, "name", "left").select("name", "counts")
@@ -114,7 +126,7 @@ def split_names(names: DataFrame, words: DataFrame, known: Sequence[str] = SEED_
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                split_name(name, dict(counts or ()), total) if len(name) <= MAX_NAME else [name]
+                split_name(name, dict(counts or ()), max(total, 1))
                 for name, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["name", "words"])
@@ -122,19 +134,21 @@ def split_names(names: DataFrame, words: DataFrame, known: Sequence[str] = SEED_
     return map_arrow(rows, split, "name string, words array<string>")
 
 
-def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:
-    """(host, tokens): the distinct words of the a-z runs of each host, and ``#`` if it has digits.
+def name_tokens(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, tokens) of distinct hosts and path shapes: the words of their a-z runs, in order, as often as they occur.
 
-    A token counts once for a host and once for a path, so a url that repeats one cannot outweigh others.
+    A run of digits, or the ``#`` of a shape, is the token ``#``; a run beyond ASCII is a token as it is.
     """
-    runs = hosts.select("host", F.posexplode(F.expr(r"regexp_extract_all(host, '([a-z]+|[0-9]+)', 1)")).alias("at", "name"))
-    names = runs.filter("name rlike '^[a-z]'").select("name").distinct()
-    split = split_names(names, words)
-    placed = runs.join(split, "name", "left").withColumn("words", F.coalesce("words", F.array(F.lit("#"))))
-    placed = placed.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))
-    found = placed.select("host", F.flatten(F.col("parts.words")).alias("tokens"))
-    return hosts.select("host").join(found, "host", "left").select(
-        "host", F.array_distinct(F.coalesce("tokens", F.array().cast("array<string>"))).alias("tokens")
+    found = F.regexp_extract_all(F.col("name"), F.lit(r"([a-z]+|[0-9#]+|[^\x00-\x7F]+)"), F.lit(1))
+    runs = names.select("name", F.posexplode(found).alias("at", "run"))
+    split = split_names(runs.filter("run rlike '^[a-z]'").select(F.col("run").alias("name")).distinct(), words)
+    placed = runs.join(split.withColumnRenamed("name", "run"), "run", "left")
+    other = F.when(F.col("run").rlike("^[0-9#]"), F.lit("#")).otherwise(F.col("run"))
+    placed = placed.withColumn("words", F.coalesce("words", F.array(other)))
+    placed = placed.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))
+    found = placed.select("name", F.flatten(F.col("parts.words")).alias("tokens"))
+    return names.select("name").join(found, "name", "left").select(
+        "name", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
     )
 
 
@@ -143,19 +157,17 @@ def path_shape(path: Column) -> Column:
     return F.regexp_replace(F.translate(path, UPPER, LOWER), "[0-9]+", "#")
 
 
-def path_tokens(shape: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(shape, r"[\x00-\x22\x24-\x2F\x3A-\x60\x7B-\x7F]+"), ""))
-
-
-def fit_naive_bayes(examples: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float]:
+def fit_naive_bayes(examples: DataFrame, alpha: float = 1.0, even: bool = False) -> tuple[DataFrame, float]:
     """Log odds of each token, and the prior log odds, from (tokens, weight, blocked) rows.
 
     Multinomial with ``alpha`` added to every count. Without examples of one of the classes the prior is
-    their counts plus ``alpha``, too. Null tokens count nothing.
+    their counts plus ``alpha``, too. Null tokens count nothing. If ``even``, the counts of an example are divided
+    by their sum, so that one of thousands of tokens does not outweigh all others.
     """
     sums = examples.groupBy("blocked").agg(F.sum("weight").alias("n"))
     prior = {r.blocked: r.n for r in sums.collect()}  # two rows
-    counts = examples.select("weight", "blocked", F.explode("tokens").alias("token")).filter("token is not null")
+    weight = F.col("weight") / F.size("tokens") if even else F.col("weight")
+    counts = examples.select(weight.alias("weight"), "blocked", F.explode("tokens").alias("token")).filter("token is not null")
     counts = counts.groupBy("token").agg(
         F.sum(F.when(F.col("blocked"), F.col("weight")).otherwise(0)).alias("bad"),
         F.sum(F.when(~F.col("blocked"), F.col("weight")).otherwise(0)).alias("good"),
@@ -188,14 +200,17 @@ def judge_urls(
     urls = urls.withColumn("shape", path_shape(F.col("path")))
     pairs = materialize(urls.groupBy("host", "shape").agg(F.count("*").alias("weight")), "url-shapes")
     words = materialize(corpus_words(docs), "corpus-words")
-    hosts = materialize(host_tokens(pairs.select("host").distinct(), words), "host-words")
-    shapes = pairs.select("shape").distinct().withColumn("tokens", path_tokens(F.col("shape")))
-    examples = pairs.join(hosts, "host").select("weight", F.concat("tokens", path_tokens(F.col("shape"))).alias("tokens"))
+    names = materialize(pairs.select(F.explode(F.array("host", "shape")).alias("name")).distinct(), "names")
+    tokens = materialize(name_tokens(names, words), "name-words")
+    hosts = tokens.withColumnsRenamed({"name": "host", "tokens": "host_tokens"})
+    shapes = tokens.withColumnsRenamed({"name": "shape", "tokens": "shape_tokens"})
+    examples = pairs.join(hosts, "host").join(shapes, "shape").select("weight", F.concat("host_tokens", "shape_tokens").alias("tokens"))
     seeded = F.arrays_overlap("tokens", F.array(*map(F.lit, seeds)))
-    odds, prior = fit_naive_bayes(examples.withColumn("blocked", F.coalesce(seeded, F.lit(False))))
+    odds, prior = fit_naive_bayes(examples.withColumn("blocked", F.coalesce(seeded, F.lit(False))), EVEN_ALPHA, even=True)
     odds = materialize(odds, "token-odds")
-    by_host = materialize(token_odds(hosts, "host", odds).withColumnRenamed("odds", "host_odds"), "host-odds")
-    by_shape = materialize(token_odds(shapes, "shape", odds).withColumnRenamed("odds", "shape_odds"), "shape-odds")
+    by_name = materialize(token_odds(tokens, "name", odds), "name-odds")
+    by_host = by_name.withColumnsRenamed({"name": "host", "odds": "host_odds"})
+    by_shape = by_name.withColumnsRenamed({"name": "shape", "odds": "shape_odds"})
     scored = urls.join(by_host, "host").join(by_shape, "shape")
     host, path = F.col("host"), F.col("path")
     empty = (host == "") & (path == "")

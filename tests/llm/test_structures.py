@@ -96,6 +96,44 @@ def test_names_are_split_into_their_words(spark):
         assert cost(url_filter.split_name(name, counts, sum(counts.values()))) == pytest.approx(max(map(cost, splits(name))))
 
 
+def test_names_and_words_of_any_length(spark):
+    long = "abcdefghijklmnopqrstuvwxyz"
+    words = spark.createDataFrame([(long, 500), ("the", 50), ("ring", 20)], "word string, n long")
+    name = ("the" + long + "ring") * 20
+    found = url_filter.split_names(spark.createDataFrame([(name,)], "name string"), words, []).first().words
+    assert found == ["the", long, "ring"] * 20
+
+
+def test_tokens_of_hosts_and_paths(spark):
+    words = spark.createDataFrame([("cheap", 50), ("pills", 20), ("the", 30)], "word string, n long")
+    names = ["www.cheappills.example.com", "/cheappills/the/the/#.html", "/ü/#", "", "..."]
+    rows = url_filter.name_tokens(spark.createDataFrame([(n,) for n in names], "name string"), words).collect()
+    found = {r.name: r.tokens for r in rows}
+    assert found[names[0]] == ["www", "cheap", "pills", "example", "com"]
+    assert found[names[1]] == ["cheap", "pills", "the", "the", "#", "html"]  # repeated words stay
+    assert found[names[2]] == ["ü", "#"] and found[""] == found["..."] == []
+
+
+def test_urls_of_hidden_seed_words_are_still_blocked(spark):
+    """A third of the seed words label nothing; the words around them give their urls away."""
+    draw = random.Random(8)
+    lures, plain = ["cheap", "free", "win", "bonus", "hot", "best", "online", "now"], ["news", "garden", "river", "school", "music", "city", "daily", "book"]
+    seeds = ["casino", "poker", "pills", "viagra", "loans", "jackpot", "escort", "warez", "lottery"]
+    hidden, shown = seeds[::3], [s for i, s in enumerate(seeds) if i % 3]
+    urls, kind = [], []
+    for i in range(1800):
+        k = (0, 0, 1)[i % 12] if i % 12 < 3 else 2  # shown seed words, hidden ones, none
+        own, word = (plain, draw.choice(plain)) if k == 2 else (lures, draw.choice(hidden if k else shown))
+        name = "".join(draw.sample([word, *draw.sample(own, 2)], 3))
+        urls.append((i, f"http://{name}{i}.example.com/{draw.choice(own)}{draw.choice(own)}/{i}"))
+        kind.append(k)
+    docs = spark.createDataFrame([(" ".join(lures + plain + seeds),)] * 5, "text string")
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    verdict = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, docs, [], shown).collect()}
+    share = [np.mean([verdict[i] == "block" for i in range(1800) if kind[i] == k]) for k in range(3)]
+    assert share[0] == 1 and share[1] > 0.95 and share[2] < 0.02
+
+
 def test_naive_bayes_equals_a_plain_version(spark):
     rows = [(["a", "b"], 3, True), (["a", "a", "c"], 2, False), ([], 1, False), (None, 4, True)]
     odds, prior = url_filter.fit_naive_bayes(spark.createDataFrame(rows, "tokens array<string>, weight long, blocked boolean"))
