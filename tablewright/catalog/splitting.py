@@ -1,10 +1,14 @@
 """Splits, samples, folds and joins of scored tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablewright.catalog.registry import LINE_KEY_SQL, bucket_sql, query
 from tablewright.operators import joins, split
 from tablewright.plans.standins import LINE_FRACTIONS, LINE_KEYS, line_keys, table
+from tablewright.session import scratch_path
+from tablewright.sources import write_bucketed
 
 LINE_COLUMNS = [*LINE_KEYS, *LINE_FRACTIONS]
 
@@ -46,14 +50,14 @@ def join_predictions(spark, folder):
     return joins.join_predictions(by_price, by_customer, "o_orderkey")
 
 
-@query(
-    """select o_orderkey, o_totalprice / 500000 as proba_price,
+FAN_IN_SQL = """select o_orderkey, o_totalprice / 500000 as proba_price,
               case when o_totalprice / 500000 > 0.5 then 1.0 else 0.0 end::double as pred_price,
               length(o_orderpriority) / 20.0::double as proba_priority,
               case when length(o_orderpriority) / 20.0::double > 0.5 then 1.0 else 0.0 end::double as pred_priority
        from orders"""
-)
-def multi_label_fan_in(spark, folder):
+
+
+def _orders_and_scores(spark, folder):
     orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice", "o_orderpriority")
     scores = {
         "price": F.col("o_totalprice") / 500000,
@@ -67,4 +71,25 @@ def multi_label_fan_in(spark, folder):
         )
         for label, s in scores.items()
     ]
-    return joins.multi_label_fan_in(orders.select("o_orderkey"), scored, "o_orderkey")
+    return orders.select("o_orderkey"), scored
+
+
+@query(FAN_IN_SQL)
+def multi_label_fan_in(spark, folder):
+    ids, scored = _orders_and_scores(spark, folder)
+    return joins.multi_label_fan_in(ids, scored, "o_orderkey")
+
+
+@query(FAN_IN_SQL)
+def fan_in_saved(spark, folder):
+    """The same from tables saved in buckets, which join without a shuffle."""
+    ids, scored = _orders_and_scores(spark, folder)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = []
+    for df in (ids, *scored):
+        names.append(f"scores_{uuid.uuid4().hex}")
+        write_bucketed(df, names[-1], "o_orderkey", buckets, scratch_path(spark, "scores"))
+    wide = joins.fan_in_saved(spark, names, "o_orderkey")
+    for name in names:  # only its entry in the catalog: the files stay until the driver exits
+        spark.sql(f"drop table {name}")
+    return wide

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.session import materialize
@@ -32,6 +32,15 @@ def multi_label_fan_in(ids: DataFrame, scored: Sequence[DataFrame], key: str) ->
     return reduce(lambda wide, one: join_predictions(wide, one, key), scored, ids)
 
 
+def fan_in_saved(spark: SparkSession, tables: Sequence[str], key: str) -> DataFrame:
+    """The wide table of ``tables``, saved by ``sources.write_bucketed`` with one key and number of buckets.
+
+    Their files are merged bucket by bucket: no join shuffles or broadcasts a row.  Tables with other buckets
+    give the same rows, but Spark then shuffles them.  The join is inner, so null keys match nothing.
+    """
+    return reduce(lambda wide, name: join_predictions(wide, spark.table(name).hint("merge"), key), tables[1:], spark.table(tables[0]))
+
+
 # Largest table that is broadcast, in rows of about 100 bytes.
 MOST_BROADCAST_ROWS = 500_000
 

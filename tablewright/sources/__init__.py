@@ -11,6 +11,7 @@ from tablewright.sources.readers import (
     scan_csv_text,
 )
 from tablewright.sources.writers import (
+    write_bucketed,
     write_coefficients,
     write_confusion,
     write_metrics,
@@ -29,6 +30,7 @@ __all__ = [
     "scan_csv_header",
     "scan_csv_headerless",
     "scan_csv_text",
+    "write_bucketed",
     "write_coefficients",
     "write_confusion",
     "write_metrics",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import jobs
+from tablewright.operators import joins
 from tablewright.session import materialize, scratch_path, shared_folder, spread
 from tablewright.sources import (
     CENSUS,
@@ -15,6 +16,7 @@ from tablewright.sources import (
     read_results,
     scan_csv_header,
     scan_csv_headerless,
+    write_bucketed,
     write_metrics,
 )
 
@@ -222,3 +224,26 @@ def test_bad_lines_are_quarantined(spark, tmp_path):
     plain = scan_csv_headerless(spark, str(tmp_path / "plain.csv"), ["n", "s"], bad_lines=True)
     good, counts = quarantine(plain, str(tmp_path / "bad2"))
     assert [tuple(r) for r in good.collect()] == [("1", "a")] and counts.first()["bad_lines"] == 2
+
+
+def test_saved_scores_join_without_a_shuffle(spark, tmp_path):
+    ids = spark.range(500).selectExpr("cast(id as bigint) as row", "id % 7 as part")
+    tables = []
+    for i in range(6):
+        scored = ids.select("row", (F.col("row") / (i + 2)).alias(f"proba_{i}")).filter(F.col("row") % 11 != i)
+        scored = scored.unionByName(spark.createDataFrame([(None, 0.5)], f"row long, proba_{i} double"))
+        tables.append(f"saved_scores_{i}")
+        write_bucketed(scored, tables[-1], "row", 8, str(tmp_path / str(i)))
+    try:
+        wide = joins.fan_in_saved(spark, tables, "row")
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan and "Broadcast" not in plan
+        rows = {r.row: r for r in wide.collect()}
+        assert set(rows) == {r for r in range(500) if r % 11 > 5}
+        assert all(r[f"proba_{i}"] == r.row / (i + 2) for r in rows.values() for i in range(6))
+        assert all(len(list((tmp_path / str(i)).glob("*.parquet"))) <= 8 for i in range(6))
+        with pytest.raises(Exception, match="already exists"):
+            write_bucketed(spark.table(tables[0]), tables[0], "row", 8, str(tmp_path / "again"))
+    finally:
+        for name in tables:
+            spark.sql(f"drop table if exists {name}")
