@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -28,6 +29,9 @@ from tablewright.session import materialize
 # Fixed value: size of the hashed text features.
 TEXT_FEATURES = 10_000
 
+# Characters of text whose word counts one task holds, at some 30 bytes of memory each.
+TASK_CHARACTERS = 4_000_000
+
 # --- text, as tables -------------------------------------------------------
 
 
@@ -43,10 +47,22 @@ def term_frequency(df: DataFrame, key: str, text: str) -> DataFrame:
     smaller than their word counts; the counting then needs no shuffle of its own.
     So ``key`` must identify the text: all texts of one key go to one task.
     """
-    words = df.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("term"))
+    words = _by_key(df, key, text).select(key, F.explode(tokens(text)).alias("term"))
     return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _by_key(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, text)`` shuffled by key, into parts that grow in number and not in size.
+
+    Counting holds all word counts of a part in memory, and these are many times the size of the shuffled
+    text, which is all that Spark could go by.  So a pass over the texts measures them first.
+    """
+    texts = df.select(key, text)
+    characters = texts.agg(F.sum(F.length(text))).first()[0] or 0
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(max(least, ceil(characters / TASK_CHARACTERS)), key)
+
+
 def hashed_term_frequency(
     df: DataFrame, key: str, text: str, size: int = TEXT_FEATURES
 ) -> DataFrame:
@@ -54,7 +70,7 @@ def hashed_term_frequency(
 
     Words that share a slot add up.
     """
-    words = df.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("term"))
+    words = _by_key(df, key, text).select(key, F.explode(tokens(text)).alias("term"))
     slot = hash_bucket("term", salt="slot", buckets=size).cast("int")
     return words.groupBy(key, slot.alias("slot")).agg(F.count(F.lit(1)).alias("tf"))
 

@@ -92,6 +92,20 @@ def test_hashed_counts_cover_all_words(spark):
         assert table.agg(F.sum("tf")).first()[0] == n_words
 
 
+@pytest.mark.parametrize("count", [features.term_frequency, features.hashed_term_frequency])
+def test_parts_of_a_word_count_grow_in_number(spark, count, monkeypatch):
+    """More text makes more tasks, not larger ones; a repeated key and a null key still count as one each."""
+    monkeypatch.setattr(features, "TASK_CHARACTERS", 100)
+    rows = [(i, "one two two " + "x" * 20) for i in range(100)] + [(7, "two"), (None, "two"), (None, "two one"), (200, None)]
+    texts = spark.createDataFrame(rows, "id int, text string")
+    table = count(texts, "id", "text")
+    assert table.rdd.getNumPartitions() >= 30
+    assert count(texts.limit(0), "id", "text").count() == 0
+    sums = {r["id"]: r["n"] for r in table.groupBy("id").agg(F.sum("tf").alias("n")).collect()}
+    assert sums == {**dict.fromkeys(range(100), 4), 7: 5, None: 3}
+    assert table.count() == table.select(*table.columns[:2]).distinct().count()
+
+
 def test_tf_idf_drops_unseen_words(spark):
     train = spark.createDataFrame([(1, "a b"), (2, "b")], "id int, text string")
     test = spark.createDataFrame([(9, "b b new")], "id int, text string")
