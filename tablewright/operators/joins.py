@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,9 @@ def fan_in_saved(spark: SparkSession, tables: Sequence[str], key: str) -> DataFr
 # Largest table that is broadcast, in rows of about 100 bytes.
 MOST_BROADCAST_ROWS = 500_000
 
+# Rows of about 100 bytes that one task of a shuffled join sorts.
+TASK_ROWS = 1_000_000
+
 
 def frequent_keys(facts: DataFrame, key: str, share: float = 0.001) -> DataFrame:
     """``(key)``: every key with more than ``share`` of the rows, and perhaps some others; null is no key.
@@ -68,16 +72,20 @@ def lookup_hot_keys(
     A table counted to be small is broadcast: the facts pass once and are not shuffled.  Beyond that the
     facts are written, so they are computed once, and their frequent keys found on the written table, known
     to ``table`` or not.  These are fewer than ``1 / hot_share``: their rows of ``table`` are broadcast, and the
-    facts that hold them, which are most of the rows, stay where they are.  Only the others are shuffled.
+    facts that hold them, which are most of the rows, stay where they are.  Only the others are shuffled, to
+    parts whose number grows with the rows, as each task sorts its part.
     Null keys are not shuffled either; ``how`` is ``inner`` or ``left``.
     """
-    if table.count() <= most_broadcast_rows:
+    size = table.count()
+    if size <= most_broadcast_rows:
         return facts.join(F.broadcast(table), key, how)
     facts = materialize(facts, "facts")
+    parts = max(facts.sparkSession.sparkContext.defaultParallelism, ceil((facts.count() + size) / TASK_ROWS))
     hot = materialize(frequent_keys(facts, key, hot_share), "frequent-keys")
     known = F.broadcast(materialize(table.join(F.broadcast(hot), key, "left_semi"), "frequent-rows"))
     often = facts.join(F.broadcast(hot), key, "left_semi").join(known, key, how)
-    rest = facts.filter(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    rest = facts.filter(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
+    rest = rest.repartition(parts, key).join(table.repartition(parts, key), key, how)
     out = often.unionByName(rest)
     if how == "left":
         out = out.unionByName(facts.filter(F.col(key).isNull()).join(known, key, how))

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -6,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from tablewright.operators import features
+from tablewright.operators import features, joins
 from tablewright.operators.joins import frequent_keys, lookup_hot_keys
 from tablewright.session import materialize
 
@@ -106,6 +107,16 @@ def test_parts_of_a_word_count_grow_in_number(spark, count, monkeypatch):
     assert table.count() == table.select(*table.columns[:2]).distinct().count()
 
 
+def test_parts_of_a_large_lookup_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    facts = spark.range(3000).select("id", (F.col("id") % 700).cast("string").alias("k"))
+    table = facts.select("k").distinct().withColumn("w", F.length("k"))
+    got = lookup_hot_keys(facts, table, "k", hot_share=0.5, most_broadcast_rows=0)
+    assert "hashpartitioning(k" in (plan := got._jdf.queryExecution().executedPlan().toString())
+    assert {int(n) for n in re.findall(r"hashpartitioning\(k#\d+, (\d+)\), REPARTITION_BY_NUM", plan)} == {37}
+    assert got.count() == 3000
+
+
 def test_tf_idf_drops_unseen_words(spark):
     train = spark.createDataFrame([(1, "a b"), (2, "b")], "id int, text string")
     test = spark.createDataFrame([(9, "b b new")], "id int, text string")
