@@ -7,15 +7,17 @@ Any number of models can be evaluated together through the ``by`` columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.order_bins import add_order_bins, bin_count
+from tablewright.operators.joins import TASK_ROWS
+from tablewright.operators.order_bins import MOST_BINS, add_order_bins, bin_count
 from tablewright.operators.profile import histogram
 from tablewright.session import materialize
 
-#: Bins of a ranking per shuffle partition, so that hashing them to tasks evens out.
+#: Bins of a ranking per task, so that hashing them to tasks evens out.
 BINS_PER_TASK = 16
 
 # --- confusion -------------------------------------------------------------
@@ -155,7 +157,8 @@ def _ranked_cells(
     """``(*by, _score_bin, target, prediction, count, p, n, pairs)``: all that the metrics need, in one pass.
 
     Scores are cut into bins of rising score; p and n are a bin's positives and negatives, pairs those of its
-    pairs that are ordered right.  Rows go to their bin in a single shuffle.  Scores that many rows share show
+    pairs that are ordered right.  Rows go to their bin in a single shuffle, to parts whose number grows with
+    the rows, as each task sorts its part.  Scores that many rows share show
     up as repeated cut points; only those, and the rows that do not rank, are merged per task first.  Ties
     count half.
     """
@@ -170,22 +173,25 @@ def _ranked_cells(
         target.alias("target"),
         guess.alias("prediction"),
     )
-    binned, common = add_order_bins(rows, ["_score"], bins=BINS_PER_TASK * bin_count(df.sparkSession), common=True)
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, ceil(df.count() / TASK_ROWS))
+    bins = BINS_PER_TASK * max(bin_count(spark), min(MOST_BINS, parts))
+    binned, common = add_order_bins(rows, ["_score"], bins=bins, common=True)
     keys = [*by, "_score_bin", "_score", "target", "prediction", "_class"]
     often = F.col("_score").isNull() | F.col("_score").isin(common)
     merged = binned.filter(often).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     lone = binned.filter(~often).withColumn("count", F.lit(1).cast("bigint"))
     # From here on everything of a bin is in one task: no further shuffle.
-    cells = lone.unionByName(merged).repartition(*by, "_score_bin").groupBy(*keys).agg(F.sum("count").alias("count"))
+    cells = lone.unionByName(merged).repartition(parts, *by, "_score_bin")
     cells = cells.select(
         *[k for k in keys if k != "_class"],
         "count",
         F.when(F.col("_class") == 1, F.col("count")).otherwise(0).alias("p"),
         F.when(F.col("_class") == 0, F.col("count")).otherwise(0).alias("n"),
     )
-    inside = Window.partitionBy(*by, "_score_bin")
-    up_to = F.sum("n").over(inside.orderBy("_score").rangeBetween(Window.unboundedPreceding, 0))
-    ties = F.sum("n").over(Window.partitionBy(*by, "_score_bin", "_score"))
+    inside = Window.partitionBy(*by, "_score_bin").orderBy("_score")
+    up_to = F.sum("n").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    ties = F.sum("n").over(inside.rangeBetween(Window.currentRow, Window.currentRow))
     cells = cells.withColumn("pairs", F.col("p").cast("double") * (up_to - ties / 2))
     return cells.groupBy(*by, "_score_bin", "target", "prediction").agg(*[F.sum(c).alias(c) for c in ("count", "p", "n", "pairs")])
 
@@ -193,7 +199,7 @@ def _ranked_cells(
 def _areas(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     """``(*by, auc)`` from ranked cells; a group without a ranked pair has a null.
 
-    Bins are summed up first: ``BINS_PER_TASK`` per shuffle partition and group reach the sorted window.
+    Bins are summed up first: ``BINS_PER_TASK`` per task and group reach the sorted window.
     """
     bins = cells.groupBy(*by, "_score_bin").agg(*[F.sum(c).alias(c) for c in ("p", "n", "pairs")])
     up_to = F.sum("n").over(Window.partitionBy(*by).orderBy("_score_bin"))

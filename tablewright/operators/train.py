@@ -156,15 +156,15 @@ def cross_validate(
             model = model.copy()
             model.setRawPredictionCol(f"raw_{i}").setProbabilityCol(f"proba_{i}").setPredictionCol(f"pred_{i}")
             scored = model.transform(scored)
-            reg_param = F.lit(float(params[estimator.regParam])).alias("reg_param")
-            points.append(F.struct(reg_param, vector_element(f"raw_{i}", 1).alias("score")))
+            # A number, as Spark would shuffle once more for the fractions of a key.
+            points.append(F.struct(F.lit(i).alias("point"), vector_element(f"raw_{i}", 1).alias("score")))
         scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
         scores.append(materialize(scored, "fold-scores"))
         discard(table)
-    areas = auc_roc(union_all(*scores), label, "score", ["reg_param", "fold"]).collect()
+    areas = auc_roc(union_all(*scores), label, "score", ["point", "fold"]).collect()
     for table in scores:
         discard(table)
-    rows = [(r["reg_param"], r["fold"], r["auc"]) for r in areas]
+    rows = [(float(grid[r["point"]][estimator.regParam]), r["fold"], r["auc"]) for r in areas]
     return spark.createDataFrame(rows, "reg_param double, fold int, auc double")
 
 

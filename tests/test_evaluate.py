@@ -146,3 +146,13 @@ def test_coefficient_reports(spark):
     features = table.filter("feature <> 'intercept'")
     top = ordering.top_k_abs(features, "coefficient", ["feature"], 2).collect()
     assert [r["feature"] for r in top] == ["a", "c"]
+
+
+def test_parts_of_a_ranking_grow_in_number(spark, scored, monkeypatch):
+    want = {r["model"]: r["auc"] for r in evaluate.auc_roc(scored, "label", "score", ["model"]).collect()}
+    monkeypatch.setattr(evaluate, "TASK_ROWS", 100)
+    cells = evaluate._ranked_cells(scored, "label", "prediction", "score", ["model"])
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "model#" in plan and "_score_bin" in plan and ", 30), REPARTITION_BY_NUM" in plan
+    got = {r["model"]: r["auc"] for r in evaluate.auc_roc(scored, "label", "score", ["model"]).collect()}
+    assert got == pytest.approx(want)

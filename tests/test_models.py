@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from tablewright.operators import joins, score, split, train
+from tablewright.operators import evaluate, joins, score, split, train
 from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.features import fit_stages, table_stages, text_stages
 from tablewright.plans import comments, income, risk
@@ -137,6 +137,23 @@ def test_cross_validation_equals_spark(spark):
     assert [means[0.01], means[0.2]] == pytest.approx(theirs.avgMetrics, abs=1e-4)
 
 
+def test_scores_of_a_grid_are_shuffled_once(spark, monkeypatch):
+    """The ranks of all folds and grid points need no shuffle by anything but bins, before the few sums of the bins."""
+    plans = []
+
+    def ranked(df, label, score, by):
+        plans.append(evaluate._ranked_cells(df, label, None, score, by)._jdf.queryExecution().executedPlan().toString())
+        return auc_roc(df, label, score, by)
+
+    monkeypatch.setattr(train, "auc_roc", ranked)
+    rows = spark.range(600).selectExpr("cast(id % 7 as double) a", "cast(id % 5 < 2 as double) label", "cast(id % 3 as int) fold")
+    estimator = train.logreg("label", maxIter=3)
+    found = train.cross_validate(rows.cache(), table_stages([], ["a"]), estimator, train.param_grid(estimator, (0.01, 0.2)))
+    assert sorted((r["reg_param"], r["fold"]) for r in found.collect()) == [(p, k) for p in (0.01, 0.2) for k in range(3)]
+    after = plans[0].split("REPARTITION_BY_NUM")[0]
+    assert "REPARTITION_BY_NUM" in plans[0] and "Exchange" not in after.rsplit("Exchange", 1)[0]
+
+
 def test_income_models(spark):
     rows = income_rows(spark, FOLDER)
     task = (rows, INCOME_CATEGORICAL, INCOME_NUMERIC, "label", line_keys())
