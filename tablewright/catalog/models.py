@@ -14,7 +14,7 @@ from tablewright.operators.score import risk_score as add_risk
 from tablewright.operators.score import score as score_rows
 from tablewright.operators.score import score_linear, weights_of
 from tablewright.operators.slots import SlotStages
-from tablewright.operators.split import kfold_assign, split_train_test
+from tablewright.operators.split import in_train, kfold_assign, split_train_test
 from tablewright.plans import comments, income, risk
 from tablewright.plans.standins import (
     INCOME_CATEGORICAL,
@@ -288,7 +288,11 @@ def tuned_logreg_metrics(spark, folder):
 
 
 def _income_vectors(spark, folder):
-    train, test = split_train_test(income_rows(spark, folder, for_training=True), line_keys(), 80, income.SPLIT_SEED)
+    marked = income_rows(spark, folder, for_training=True).select(
+        *INCOME_CATEGORICAL, *INCOME_NUMERIC, "label", in_train(line_keys(), 80, income.SPLIT_SEED).alias("learn")
+    )
+    rows = materialize(marked, "income-rows")  # the join and the keys' hashes run once
+    train, test = rows.filter("learn"), rows.filter("not learn")
     prepared = fit_stages(table_stages(INCOME_CATEGORICAL, INCOME_NUMERIC), train)
     vectors = materialize(prepared.transform(train).select("features", "label"), "income-train")
     return vectors, prepared.transform(test).select("features", "label")
@@ -302,6 +306,7 @@ def _held_out_counts(model, test):
     counts = score_rows(model, test).groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == F.col("prediction")).cast("bigint")).alias("hits")
     )
+    counts = materialize(counts, "held-out-counts")  # all rows are scored once
     totals = counts.agg(F.sum("hits") / F.sum("n")).first()[0]
     return counts.select("label", "n", F.lit(bool(totals > 0.8)).alias("learned"))
 
