@@ -174,7 +174,7 @@ def _ranked_cells(
         guess.alias("prediction"),
     )
     spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, ceil(df.count() / TASK_ROWS))
+    parts = ceil(df.count() / TASK_ROWS)
     bins = BINS_PER_TASK * max(bin_count(spark), min(MOST_BINS, parts))
     binned, common = add_order_bins(rows, ["_score"], bins=bins, common=True)
     keys = [*by, "_score_bin", "_score", "target", "prediction", "_class"]
@@ -182,7 +182,9 @@ def _ranked_cells(
     merged = binned.filter(often).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     lone = binned.filter(~often).withColumn("count", F.lit(1).cast("bigint"))
     # From here on everything of a bin is in one task: no further shuffle.
-    cells = lone.unionByName(merged).repartition(parts, *by, "_score_bin")
+    few = parts <= min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = lone.unionByName(merged)  # Spark's own number of parts is enough for few rows
+    cells = cells.repartition(*by, "_score_bin") if few else cells.repartition(parts, *by, "_score_bin")
     cells = cells.select(
         *[k for k in keys if k != "_class"],
         "count",
