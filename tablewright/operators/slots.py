@@ -100,9 +100,12 @@ class Slots:
             missing = F.raise_error(F.lit(f"null in feature column {c}")).cast("double")
             return F.coalesce(F.col(c).cast("double"), missing)
 
-        set_slots = F.array_compact(F.array(*[F.col(f"_slot_{c}") for c, *_ in self.columns]) if self.columns else F.array())
+        set_slots = F.array(*[F.col(f"_slot_{c}") for c, *_ in self.columns])
+        if self.columns:  # few rows lack a slot, and taking nulls out is not compiled
+            missing = reduce(lambda a, b: a | b, [F.col(f"_slot_{c}").isNull() for c, *_ in self.columns])
+            set_slots = F.when(missing, F.array_compact(set_slots)).otherwise(set_slots)
         numbers = F.array(*[number(c) for c in self.stages.numeric]).cast("array<double>")
-        ones = F.transform(set_slots, lambda _: F.lit(1.0))
+        ones = F.array_repeat(F.lit(1.0), F.size(set_slots))
         vector = F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(self.size).alias("size"),

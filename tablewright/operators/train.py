@@ -118,7 +118,7 @@ def feature_table(prepared: PipelineModel | Slots, df: DataFrame, *keep: str) ->
 
 def cross_validate(
     df: DataFrame,
-    stages: Sequence | SlotStages,
+    stages: Sequence | SlotStages | None,
     estimator: LogisticRegression,
     grid: Sequence[dict],
     fold: str = "fold",
@@ -127,22 +127,28 @@ def cross_validate(
 ) -> DataFrame:
     """``(reg_param, fold, auc)`` for every grid point and fold, with the exact area.
 
-    ``stages`` are stages of ``pyspark.ml``, or :class:`SlotStages`, or what these have fitted per fold.
-    They are fitted on the training rows of each fold only, once per fold rather than once per fit; all grid
-    points share the fold's feature table.  A fit is a chain of short jobs, so up to ``parallelism`` of them run
-    side by side.  Folds follow each other, and a fold's feature table goes when it is done: only scores are
+    ``stages`` are stages of ``pyspark.ml``, or :class:`SlotStages`, or what these have fitted per fold, or None if
+    ``df`` is a written table that holds the vectors.  Stages are fitted on the training rows of each fold only, once
+    per fold rather than once per fit; all grid points share the fold's feature table.  Slots without a least count
+    are the same for all folds but for categories that a fold does not train on.  Those never vary there, so their
+    weight is 0, as if they had no slot: all folds share one feature table.
+    A fit is a chain of short jobs, so up to ``parallelism`` of them run
+    side by side.  Folds follow each other, and a feature table goes when it is done: only scores are
     kept, and all areas come from one aggregation over them.
     """
     spark = df.sparkSession
     label = estimator.getLabelCol()
     scores = []
-    if isinstance(stages, SlotStages):
+    shared = df if stages is None else None
+    if isinstance(stages, SlotStages) and stages.least_count <= 1:
+        shared = feature_table(stages.fit(df), df, label, fold)
+    elif isinstance(stages, SlotStages):
         stages = stages.fit_folds(df, fold, folds)
-    fitted = stages if stages and isinstance(stages[0], Slots) else None
+    fitted = stages if stages and shared is None and isinstance(stages[0], Slots) else None
     for k in range(folds):
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
-        if fitted:  # these write their vectors, so those of both sides are one table
-            table = feature_table(fitted[k], df, label, fold)
+        if fitted or shared is not None:  # the vectors of both sides are one table
+            table = shared if shared is not None else feature_table(fitted[k], df, label, fold)
             train, valid = table.filter(F.col(fold) != k).drop(fold), table.filter(F.col(fold) == k).drop(fold)
         else:
             prepared = fit_stages(stages, train)
@@ -160,7 +166,10 @@ def cross_validate(
             points.append(F.struct(F.lit(i).alias("point"), vector_element(f"raw_{i}", 1).alias("score")))
         scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
         scores.append(materialize(scored, "fold-scores"))
-        discard(table)
+        if shared is None:
+            discard(table)
+    if shared is not None and shared is not df:
+        discard(shared)
     areas = auc_roc(union_all(*scores), label, "score", ["point", "fold"]).collect()
     for table in scores:
         discard(table)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import train as ops
 from tablewright.operators.features import feature_names, fit_stages, table_stages
-from tablewright.operators.slots import RARE, SlotStages
+from tablewright.operators.slots import RARE, Slots, SlotStages
+from tablewright.plans import income
 from tablewright.session import materialize
 
 
@@ -98,3 +99,27 @@ def test_cross_validation_over_slots(spark, rows):
     ]
     ours, theirs = ({(r.reg_param, r.fold): r.auc for r in g.collect()} for g in grids)
     assert len(ours) == 6 and ours == pytest.approx(theirs, abs=1e-6)
+
+
+def test_folds_share_one_table_of_vectors(spark, rows, monkeypatch):
+    # A category of one fold only, which sets a slot in the shared table and none in a table of the other folds.
+    fold = F.when(F.col("b") == 1, 0).otherwise(F.col("id") % 3).cast("int")
+    folded = materialize(rows.withColumn("fold", fold), "folded")
+    estimator = ops.logreg("label", maxIter=30)
+    grid = ops.param_grid(estimator, (0.01, 0.1))
+    theirs = ops.cross_validate(folded, table_stages(["a", "b"], ["x"]), estimator, grid)
+    written, transform = [], Slots.transform
+    monkeypatch.setattr(Slots, "transform", lambda self, df, *more: written.append(self.size) or transform(self, df, *more))
+    ours = ops.cross_validate(folded, SlotStages(("a", "b"), ("x",)), estimator, grid)
+    assert len(written) == 1
+    ours, theirs = ({(r.reg_param, r.fold): r.auc for r in g.collect()} for g in (ours, theirs))
+    assert len(ours) == 6 and ours == pytest.approx(theirs, abs=1e-6)
+
+
+@pytest.mark.parametrize("least, tables", [(1, 2), (30, 5)])
+def test_the_tuned_fit_writes_vectors_once(spark, rows, monkeypatch, least, tables):
+    written, transform = [], Slots.transform
+    monkeypatch.setattr(Slots, "transform", lambda self, df, *more: written.append(self.size) or transform(self, df, *more))
+    result = income.fit_tuned_logreg(rows, ["a", "b"], ["x"], "label", ["id"], reg_params=(0.1,), max_iter=10, least_count=least)
+    assert len(written) == tables and result.grid.count() == 3
+    assert result.coefficients.count() == written[-1] + 1
