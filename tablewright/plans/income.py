@@ -130,15 +130,16 @@ def fit_tuned_logreg(
     Categories stay in written tables; those of fewer than ``least_count`` rows share a slot per column.
     """
     train, test = _split_table(df, [*categorical, *numeric, label], keys, folds, seed)
-    fitted = SlotStages(tuple(categorical), tuple(numeric), least_count).fit_folds(train, "fold", folds)
+    stages = SlotStages(tuple(categorical), tuple(numeric), least_count)
+    # One table for all folds and the last fit, unless rare categories differ by fold.
+    fitted = [stages.fit(train)] if least_count <= 1 else stages.fit_folds(train, "fold", folds)
+    prepared = fitted[-1]  # on all training rows
+    vectors = feature_table(prepared, train, label, "fold")
     estimator = logreg(label, maxIter=max_iter)
-    grid = cross_validate(
-        train, fitted, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism
-    )
+    rows, stages = (vectors, None) if least_count <= 1 else (train, fitted)
+    grid = cross_validate(rows, stages, estimator, param_grid(estimator, reg_params), "fold", folds, parallelism)
     best = best_params(grid)
     reg_param = best.first()["reg_param"]
-    prepared = fitted[-1]  # on all training rows
-    vectors = feature_table(prepared, train, label)
     model = fit_logreg(vectors, label, maxIter=max_iter, regParam=reg_param)
     scored = materialize(
         score_models({"LR": model}, feature_table(prepared, test, label), label), "income-scored"
