@@ -134,7 +134,8 @@ def resample(docs: DataFrame, target_ids: DataFrame, share: float, seed: int = 1
     rows = docs.select("doc_id", "text", F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("tie"))
     weighed = weigh(rows, log_ratio(raw, target), "doc_id", "tie")
     weighed = weighed.withColumn("key", F.col("log_weight") + gumbel("tie", seed=seed))
-    weighed = materialize(weighed.withColumn("place", sortable(F.col("key"))), "weighed")
+    # Few numbers a row, read many times: files as large as the session advises, not a small one for each split of the texts.
+    weighed = materialize(weighed.withColumn("place", sortable(F.col("key"))).hint("rebalance"), "weighed")
     n = weighed.count()
     k = int(share * n)
     if k <= 0:

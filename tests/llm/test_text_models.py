@@ -401,3 +401,10 @@ def test_sampling_follows_the_weights(spark):
     docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad stuff there") for i in range(400)], "doc_id long, text string")
     rows = importance.resample(docs, docs.filter("doc_id % 2 = 1"), 0.25).collect()
     assert sum(r.selected and r.doc_id % 2 == 1 for r in rows) >= 90
+
+
+def test_weights_are_written_to_few_files(spark):
+    docs = spark.range(960).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"))
+    rows = importance.resample(docs.repartition(24, "doc_id"), docs.filter("doc_id % 2 = 1"), 0.25)
+    assert len(rows.inputFiles()) == 1
+    assert rows.count() == 960 and rows.filter("selected").count() == 240
