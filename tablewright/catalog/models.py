@@ -294,7 +294,7 @@ def _income_vectors(spark, folder):
     rows = materialize(marked, "income-rows")  # the join and the keys' hashes run once
     train, test = rows.filter("learn"), rows.filter("not learn")
     prepared = fit_stages(table_stages(INCOME_CATEGORICAL, INCOME_NUMERIC), train)
-    vectors = materialize(prepared.transform(train).select("features", "label"), "income-train")
+    vectors = ops.tree_table(prepared.transform(train), "label")
     return vectors, prepared.transform(test).select("features", "label")
 
 

@@ -35,6 +35,9 @@ REG_PARAMS = (0.01, 0.1, 0.2)
 CV_MAX_ITER = 110
 TREES = 100
 
+# Bytes of memory for the rows that one task of a fit of trees keeps.
+TREE_TASK_BYTES = 128 * 1024 * 1024
+
 
 def logreg(label: str, features: str = "features", **params) -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol=label, **params)
@@ -87,6 +90,17 @@ def fit_multilabel(
     return dict(zip(labels, _in_threads(fits, parallelism, train.sparkSession)))
 
 
+def tree_table(df: DataFrame, label: str, trees: int = TREES) -> DataFrame:
+    """``(features, <label>)`` as a written table for a fit of trees, dealt to tasks that grow in number and not in size.
+
+    A fit keeps a whole number per slot and per tree for every row, many times the size of the written vector,
+    which is all that Spark could go by: tables of few bytes would be few tasks, too few to keep all cores busy,
+    each with more rows than fit in memory.
+    """
+    row_bytes = 100 + 4 * (len(feature_names(df)) + trees)
+    return materialize(df.select("features", label), "tree-table", max(1, TREE_TASK_BYTES // row_bytes))
+
+
 def fit_random_forest(
     train: DataFrame, label: str, trees: int = TREES, seed: int = 47, **params
 ) -> Model:

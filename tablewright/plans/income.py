@@ -28,6 +28,7 @@ from tablewright.operators.train import (
     fit_random_forest,
     logreg,
     param_grid,
+    tree_table,
 )
 from tablewright.session import materialize
 from tablewright.sources.layouts import CENSUS
@@ -170,7 +171,7 @@ def compare_trees(
     """
     train, test = _split_table(df, [*categorical, *numeric, label], keys, 1, seed)
     prepared = fit_stages(table_stages(categorical, numeric), train)
-    vectors = materialize(prepared.transform(train).select("features", label), "income-train")
+    vectors = tree_table(prepared.transform(train), label, trees)
     models = {
         "RF": fit_random_forest(vectors, label, trees, seed, **params),
         "DT": fit_decision_tree(vectors, label, seed, **params),

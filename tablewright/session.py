@@ -74,16 +74,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, task_rows: int | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and gives Catalyst the
     true size of the table, so it broadcasts the table only if it really is small.
+    With ``task_rows``, no task that reads the table gets more rows than that, however few bytes they take.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if task_rows is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.write.option("maxRecordsPerFile", task_rows).parquet(path)
+    # Spark deals files to tasks by their bytes.  Where opening a file counts as much as a task may read, each task
+    # gets one file; that setting belongs to a session, so the table has one of its own.
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    return own.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:

@@ -176,6 +176,31 @@ def test_income_models(spark):
     assert raw["DT"] < areas["DT"]
 
 
+def test_trees_learn_from_parts_of_few_rows(spark, monkeypatch):
+    """A fit of trees gets parts of a bounded number of rows, every row once, however few bytes they take."""
+    seen = {}
+
+    def noting(name, fit):
+        def noted(df, *args, **params):
+            seen[name] = [len(part) for part in df.rdd.glom().collect()]
+            return fit(df, *args, **params)
+
+        return noted
+
+    monkeypatch.setattr(train, "TREE_TASK_BYTES", 100 * 200, raising=False)  # a row takes 152 bytes
+    monkeypatch.setattr(income, "fit_random_forest", noting("RF", income.fit_random_forest))
+    monkeypatch.setattr(income, "fit_decision_tree", noting("DT", income.fit_decision_tree))
+    rows = spark.range(3000).selectExpr(
+        "id", "concat('c', id % 11) c", "cast(id % 17 as double) x", "cast(id % 17 < 9 as int) label"
+    )
+    result = income.compare_trees(rows.coalesce(2), ["c"], ["x"], "label", ["id"], trees=2)
+    learned = rows.filter(split.in_train(["id"], 80, income.SPLIT_SEED)).count()
+    for parts in (seen["RF"], seen["DT"]):
+        assert sum(parts) == learned and max(parts) <= 131  # the limit for 152 bytes a row
+    assert result.scored.count() == 2 * (3000 - learned)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == spark.newSession().conf.get("spark.sql.files.openCostInBytes")
+
+
 def test_heart_rows_with_nulls_go(spark):
     from tablewright.sources import HEART
 
