@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import vector_element
+from tablewright.operators import forest
 from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.features import feature_names, fit_stages
 from tablewright.operators.joins import union_all
@@ -104,9 +105,11 @@ def tree_table(df: DataFrame, label: str, trees: int = TREES) -> DataFrame:
 def fit_random_forest(
     train: DataFrame, label: str, trees: int = TREES, seed: int = 47, **params
 ) -> Model:
-    return RandomForestClassifier(
+    """A forest as that of ``pyspark.ml``, counted block by block where ``forest`` knows the parameters."""
+    estimator = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, seed=seed, **params
-    ).fit(train)
+    )
+    return forest.fit(estimator, train) if forest.takes(estimator, train) else estimator.fit(train)
 
 
 def fit_decision_tree(train: DataFrame, label: str, seed: int = 47, **params) -> Model:
