@@ -21,11 +21,18 @@ from pyspark.sql import types as T
 
 from tablewright.operators.features import category_counts, number_categories
 from tablewright.operators.joins import MOST_BROADCAST_ROWS
-from tablewright.session import materialize, scratch_path
+from tablewright.session import file_by_file, materialize, scratch_path
 
 #: Most frequent categories of a column with a large dictionary, which are broadcast.
 COMMON = 1000
 
+#: Bytes of memory for an entry of a sparse vector, and for the rest of a row, in a fit.
+ENTRY_BYTES = 12
+ROW_BYTES = 24
+
+#: Bytes of memory for the rows that one task of a fit keeps.
+FIT_TASK_BYTES = 64 * 1024 * 1024
+
 #: Name of the slot that rare categories share. A fixed word, so that reports can show it.
 RARE = "(rare)"
 
@@ -85,7 +92,10 @@ class Slots:
         return mine.select("category", slot.alias("slot"), "idx")
 
     def transform(self, df: DataFrame, name: str = "features") -> DataFrame:
-        """``df`` with a vector column, written. Unseen and null categories set no slot; a null number is an error."""
+        """``df`` with a vector column, written. Unseen and null categories set no slot; a null number is an error.
+
+        The vectors of a task that reads the table take at most ``FIT_TASK_BYTES``, however few they take there.
+        """
         columns = df.columns
         small = [c for c, _, _, n in self.columns if n <= self.stages.most_broadcast_rows]
         large = [c for c, _, _, n in self.columns if n > self.stages.most_broadcast_rows]
@@ -112,7 +122,8 @@ class Slots:
             F.concat(F.lit(list(range(len(self.stages.numeric)))).cast("array<int>"), set_slots.cast("array<int>")).alias("indices"),
             F.concat(numbers, ones).alias("values"),
         )
-        return _as_vectors(rows.select(*columns, vector.alias(name)), name)
+        most = (len(self.stages.numeric) + len(self.stages.categorical)) * ENTRY_BYTES + ROW_BYTES
+        return _as_vectors(rows.select(*columns, vector.alias(name)), name, max(1, FIT_TASK_BYTES // most))
 
     def _join_large(self, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Adds ``_slot_<column>`` of columns whose dictionaries are too large to broadcast.
@@ -156,9 +167,10 @@ class Slots:
         return named.select(F.col("name").alias("feature"), "coefficient").unionByName(last)
 
 
-def _as_vectors(df: DataFrame, name: str) -> DataFrame:
+def _as_vectors(df: DataFrame, name: str, task_rows: int) -> DataFrame:
     """Writes the struct of a sparse vector, and reads it as the vector that files hold in this form."""
-    path = scratch_path(df.sparkSession, "vectors")
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "vectors")
+    df.write.option("maxRecordsPerFile", task_rows).parquet(path)
     fields = [T.StructField(name, VectorUDT()) if f.name == name else f for f in df.schema]
-    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+    return file_by_file(spark).read.schema(T.StructType(fields)).parquet(path)

@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import vector_element
@@ -26,7 +26,7 @@ from tablewright.operators import forest
 from tablewright.operators.evaluate import auc_roc
 from tablewright.operators.features import feature_names, fit_stages
 from tablewright.operators.joins import union_all
-from tablewright.operators.slots import Slots, SlotStages
+from tablewright.operators.slots import ENTRY_BYTES, ROW_BYTES, Slots, SlotStages
 from tablewright.session import discard, materialize
 
 # Regularization of the text models, the grid searched and the iteration
@@ -133,6 +133,27 @@ def feature_table(prepared: PipelineModel | Slots, df: DataFrame, *keep: str) ->
     return materialize(prepared.transform(df).select("features", *keep), "feature-table")
 
 
+def storage_bytes(spark: SparkSession) -> int:
+    """Memory of all executors in which Spark may keep tables."""
+    context = spark.sparkContext._jsc.sc()
+    kept = {}
+    found = context.getExecutorMemoryStatus().iterator()
+    while found.hasNext():
+        executor = found.next()
+        kept[executor._1()] = executor._2()._1()
+    if len(kept) > 1:  # else the driver runs the tasks
+        kept.pop(context.env().blockManager().blockManagerId().hostPort(), None)
+    return sum(kept.values())
+
+
+def fits_at_once(train: DataFrame, fits: int) -> int:
+    """How many of these fits fit in memory side by side, as each keeps all rows of ``train``; at least one."""
+    entries = F.size(F.unwrap_udt("features")["values"])
+    sums = train.agg(F.count(F.lit(1)).alias("rows"), F.sum(entries).alias("entries")).first()
+    kept = sums["rows"] * ROW_BYTES + (sums["entries"] or 0) * ENTRY_BYTES
+    return max(1, min(fits, storage_bytes(train.sparkSession) // max(1, kept)))
+
+
 def cross_validate(
     df: DataFrame,
     stages: Sequence | SlotStages | None,
@@ -150,7 +171,7 @@ def cross_validate(
     are the same for all folds but for categories that a fold does not train on.  Those never vary there, so their
     weight is 0, as if they had no slot: all folds share one feature table.
     A fit is a chain of short jobs, so up to ``parallelism`` of them run
-    side by side.  Folds follow each other, and a feature table goes when it is done: only scores are
+    side by side, but no more than find memory for the rows they keep.  Folds follow each other, and a feature table goes when it is done: only scores are
     kept, and all areas come from one aggregation over them.
     """
     spark = df.sparkSession
@@ -172,7 +193,7 @@ def cross_validate(
             train = table = feature_table(prepared, train, label)
             valid = prepared.transform(valid).select("features", label)
         fits = [partial(estimator.copy(params).fit, train) for params in grid]
-        models = _in_threads(fits, parallelism, spark)
+        models = _in_threads(fits, min(parallelism, fits_at_once(train, len(fits))), spark)
         scored = valid
         points = []
         for i, (params, model) in enumerate(zip(grid, models, strict=True)):
@@ -182,7 +203,8 @@ def cross_validate(
             # A number, as Spark would shuffle once more for the fractions of a key.
             points.append(F.struct(F.lit(i).alias("point"), vector_element(f"raw_{i}", 1).alias("score")))
         scored = scored.select(F.lit(k).alias("fold"), label, F.inline(F.array(*points)))
-        scores.append(materialize(scored, "fold-scores"))
+        # Scoring keeps nothing, so it needs no small parts, and many small files would cost more than they hold.
+        scores.append(materialize(scored.coalesce(max(1, spark.sparkContext.defaultParallelism)), "fold-scores"))
         if shared is None:
             discard(table)
     if shared is not None and shared is not df:

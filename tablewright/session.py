@@ -87,11 +87,18 @@ def materialize(df: DataFrame, name: str, task_rows: int | None = None) -> DataF
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     df.write.option("maxRecordsPerFile", task_rows).parquet(path)
-    # Spark deals files to tasks by their bytes.  Where opening a file counts as much as a task may read, each task
-    # gets one file; that setting belongs to a session, so the table has one of its own.
+    return file_by_file(spark).read.schema(df.schema).parquet(path)
+
+
+def file_by_file(spark: SparkSession) -> SparkSession:
+    """A session whose tasks read one file each, however few bytes it has.
+
+    Spark deals files to tasks by their bytes.  Where opening a file counts as much as a task may read, each task
+    gets one file; that setting belongs to a session.
+    """
     own = spark.newSession()
     own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
-    return own.read.schema(df.schema).parquet(path)
+    return own
 
 
 def discard(df: DataFrame) -> None:
