@@ -125,3 +125,17 @@ def test_an_entry_of_all_rows_is_counted_once(spark):
         forest.BLOCK_ROWS = kept
     sizes = [len(pickle.loads(b["data"])[0][1]) for b in blocks]
     assert sum(sizes) == 1000 and max(sizes) <= 300 and len({b["block"] for b in blocks}) == len(blocks)
+
+
+def test_both_models_of_a_comparison_score_all_held_out_rows(spark, monkeypatch):
+    """The forest of a comparison is counted in blocks too, and ranks as well as the single tree or better."""
+    from tablewright.operators.split import in_train
+    from tablewright.plans import income
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda *_: pytest.fail("rows went to pyspark.ml"))
+    rows = spark.range(2000).selectExpr("id", "concat('c', id % 5) c", "cast(id % 17 as double) x", "cast(id % 17 < 9 as int) label")
+    result = income.compare_trees(rows, ["c"], ["x"], "label", ["id"], trees=10)
+    held = rows.filter(~in_train(["id"], 80, income.SPLIT_SEED)).count()
+    assert {(r["model"], r["count"]) for r in result.scored.groupBy("model").count().collect()} == {("RF", held), ("DT", held)}
+    areas = {r["model"]: r["value"] for r in result.metrics.filter("metric = 'areaUnderROC'").collect()}
+    assert areas["DT"] == 1.0 and areas["RF"] > 0.99
